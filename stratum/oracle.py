@@ -357,3 +357,192 @@ def gold_sql() -> dict[str, str]:
         "policy_billing_summary": POLICY_BILLING_SUMMARY,
         "member_claim_activity": MEMBER_CLAIM_ACTIVITY,
     }
+
+
+# ---------------------------------------------------------------- operator queries
+
+_EV = "SELECT user_id, ts, event_type, value FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL"
+
+LATEST_PER_KEY = """
+SELECT user_id, event_id, ts, event_type, value FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+  FROM events) WHERE rn = 1
+"""
+
+SCD1_LATEST = f"""
+SELECT user_id, event_type, value FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id
+      ORDER BY ts DESC, event_type DESC NULLS LAST, value DESC NULLS LAST) AS rn
+  FROM ({_EV})) WHERE rn = 1
+"""
+
+_SCD2_FULL = f"""
+WITH one AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, ts
+        ORDER BY event_type DESC NULLS LAST, value DESC NULLS LAST) AS rn
+    FROM ({_EV})) WHERE rn = 1
+),
+hist AS (
+  SELECT user_id, event_type, value, ts AS __START_AT,
+         LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts) AS __END_AT
+  FROM one
+)"""
+
+SCD2_HISTORY = _SCD2_FULL + "\nSELECT * FROM hist\n"
+SCD2_CURRENT = _SCD2_FULL + "\nSELECT * FROM hist WHERE __END_AT IS NULL\n"
+
+SCD2_PARTIAL_UPDATE = """
+WITH ev AS (
+  SELECT user_id, ts,
+         CASE WHEN event_type <> 'view' THEN event_type END AS event_type,
+         CASE WHEN event_type = 'purchase' THEN value END AS value
+  FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL
+),
+one AS (SELECT user_id, ts, MAX(event_type) AS event_type, MAX(value) AS value FROM ev GROUP BY user_id, ts)
+SELECT user_id,
+       LAST_VALUE(event_type IGNORE NULLS) OVER w AS event_type,
+       LAST_VALUE(value IGNORE NULLS) OVER w AS value,
+       ts AS __START_AT,
+       LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts) AS __END_AT
+FROM one
+WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+"""
+
+SCD2_COMPOSITE_KEY = """
+WITH one AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, event_type, ts
+        ORDER BY value DESC NULLS LAST, props DESC NULLS LAST) AS rn
+    FROM events WHERE user_id IS NOT NULL AND event_type IS NOT NULL AND ts IS NOT NULL) WHERE rn = 1
+)
+SELECT user_id, event_type, value, props, ts AS __START_AT,
+       LEAD(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts) AS __END_AT
+FROM one
+"""
+
+SEQUENCE_FALLBACK = """
+WITH e AS (
+  SELECT event_id, user_id, event_type, value,
+         COALESCE(CASE WHEN event_type <> 'signup' THEN ts END,
+                  CASE WHEN event_type <> 'error' THEN ts - INTERVAL 1 SECOND END) AS seq
+  FROM events
+),
+one AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, seq
+        ORDER BY event_id DESC NULLS LAST, event_type DESC NULLS LAST, value DESC NULLS LAST) AS rn
+    FROM e WHERE user_id IS NOT NULL AND seq IS NOT NULL) WHERE rn = 1
+)
+SELECT user_id, event_id, event_type, value, seq AS __START_AT,
+       LEAD(seq) OVER (PARTITION BY user_id ORDER BY seq) AS __END_AT
+FROM one
+"""
+
+_U = "upper(md5(CAST(event_id AS VARCHAR)))"
+_DASHED = (f"substr({_U}, 1, 8) || '-' || substr({_U}, 9, 4) || '-' || substr({_U}, 13, 4)"
+           f" || '-' || substr({_U}, 17, 4) || '-' || substr({_U}, 21, 12)")
+
+UUID_TEXT = f"""
+SELECT event_id,
+       CASE WHEN event_type <> 'error' THEN {_DASHED} ELSE '' END AS event_uuid,
+       CASE WHEN event_type <> 'error' THEN {_DASHED} END AS event_uuid_or_null
+FROM events
+"""
+
+HEX_TEXT = f"SELECT event_id, CASE WHEN event_type <> 'error' THEN {_U} END AS event_uuid FROM events"
+
+EPOCH_CONVERSION = "SELECT event_id, ts AS created_at, CAST(ts AS DATE) AS event_day FROM events"
+
+PERCENT_RANK_GLOBAL = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       PERCENT_RANK() OVER (ORDER BY CASE WHEN l_returnflag <> 'N' THEN l_extendedprice END ASC NULLS FIRST) AS pct_rank
+FROM lineitem
+"""
+
+CONDITIONAL_COUNTS = """
+SELECT o_custkey AS customer,
+       COUNT(*) AS orders,
+       COUNT(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS finished,
+       CAST(SUM(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS open_sum,
+       COUNT(DISTINCT o_orderpriority) AS priorities,
+       COUNT(DISTINCT CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END) AS pending_priorities,
+       MIN(CAST(o_orderdate AS DATE)) AS first_order,
+       MAX(CAST(o_orderdate AS DATE)) AS last_order
+FROM orders GROUP BY o_custkey
+"""
+
+_CLAIM_WINDOWS = f"""
+WITH {CLAIM},
+c AS (SELECT claim_id, member_id, service_date, total_charge, total_benefit FROM claim WHERE __END_AT IS NULL),
+w AS (
+  SELECT claim_id, member_id,
+    CAST(ROW_NUMBER() OVER (PARTITION BY member_id ORDER BY service_date, claim_id) AS INTEGER) AS member_claim_seq,
+    CAST(date_diff('day', LAG(service_date) OVER (PARTITION BY member_id ORDER BY service_date, claim_id),
+                   service_date) AS INTEGER) AS days_since_prev_claim,
+    CAST(date_diff('day', service_date,
+                   LEAD(service_date) OVER (PARTITION BY member_id ORDER BY service_date, claim_id)) AS INTEGER) AS days_to_next_claim,
+    CAST(SUM(total_charge) OVER (PARTITION BY member_id ORDER BY service_date, claim_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(20,2)) AS member_running_total_charge,
+    CAST(SUM(total_benefit) OVER (PARTITION BY member_id ORDER BY service_date, claim_id
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(20,2)) AS member_running_total_benefit,
+    SUM(total_charge) OVER (PARTITION BY member_id ORDER BY service_date, claim_id
+         ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS mv_sum,
+    COUNT(total_charge) OVER (PARTITION BY member_id ORDER BY service_date, claim_id
+         ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS mv_cnt,
+    COUNT(*) OVER (PARTITION BY member_id) AS member_total_claims,
+    CAST(SUM(total_charge) OVER (PARTITION BY member_id) AS DECIMAL(20,2)) AS member_lifetime_charge,
+    COUNT(total_charge) OVER (PARTITION BY member_id) AS all_cnt,
+    CAST(RANK() OVER (PARTITION BY member_id ORDER BY total_charge DESC NULLS LAST) AS INTEGER) AS member_charge_rank
+  FROM c
+),
+e AS (
+  SELECT *,
+    CAST({avg2('mv_sum', 'mv_cnt')} AS DECIMAL(14,2)) AS member_moving_avg_charge_3,
+    CAST({avg2('member_lifetime_charge', 'all_cnt')} AS DECIMAL(14,2)) AS member_avg_charge
+  FROM w
+)"""
+
+
+def _from_windows(cols: str) -> str:
+    return _CLAIM_WINDOWS + f"\nSELECT {cols} FROM e\n"
+
+
+def _quality_sql() -> str:
+    from stratum.operators.quality import SILVER_RULES
+    parts = []
+    for t in ("claim", "claim_assessment", "benefit_usage"):
+        for name, expr in SILVER_RULES[t]:
+            ok = f"COALESCE(({expr}), false)"
+            parts.append(
+                f"SELECT '{t}' AS table_name, '{name}' AS rule, "
+                f"CAST(COUNT(*) FILTER (WHERE {ok}) AS BIGINT) AS passed, "
+                f"CAST(COUNT(*) FILTER (WHERE NOT {ok}) AS BIGINT) AS failed FROM {t}")
+    return f"WITH {CLAIM}, {CLAIM_ASSESSMENT}, {BENEFIT_USAGE}\n" + "\nUNION ALL\n".join(parts)
+
+
+def operator_sql() -> dict[str, str]:
+    return {
+        "latest_per_key": LATEST_PER_KEY,
+        "scd1_latest": SCD1_LATEST,
+        "scd2_history": SCD2_HISTORY,
+        "scd2_partial_update": SCD2_PARTIAL_UPDATE,
+        "scd2_current": SCD2_CURRENT,
+        "scd2_composite_key": SCD2_COMPOSITE_KEY,
+        "sequence_fallback": SEQUENCE_FALLBACK,
+        "uuid_text": UUID_TEXT,
+        "hex_text": HEX_TEXT,
+        "epoch_conversion": EPOCH_CONVERSION,
+        "expectation_counts": _quality_sql(),
+        "expectation_passthrough": f"WITH {CLAIM_ASSESSMENT} SELECT * FROM claim_assessment",
+        "member_sequence_gaps": _from_windows(
+            "claim_id, member_id, member_claim_seq, days_since_prev_claim, days_to_next_claim"),
+        "running_totals": _from_windows(
+            "claim_id, member_running_total_charge, member_running_total_benefit"),
+        "moving_average": _from_windows("claim_id, member_moving_avg_charge_3"),
+        "partition_totals": _from_windows(
+            "claim_id, member_total_claims, member_lifetime_charge, member_avg_charge"),
+        "charge_rank": _from_windows("claim_id, member_charge_rank"),
+        "percent_rank_global": PERCENT_RANK_GLOBAL,
+        "conditional_counts": CONDITIONAL_COUNTS,
+    }
