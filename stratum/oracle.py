@@ -546,3 +546,73 @@ def operator_sql() -> dict[str, str]:
         "percent_rank_global": PERCENT_RANK_GLOBAL,
         "conditional_counts": CONDITIONAL_COUNTS,
     }
+
+
+# ---------------------------------------------------------------- ingest, flows, landing
+
+_ORDERS_MONTH = "strftime(o_orderdate, '%Y-%m')"
+_ORDERS_OUT = ("o_orderkey, o_custkey, o_orderstatus, o_totalprice, {d} AS o_orderdate, "
+               "{p} AS o_orderpriority, " + _ORDERS_MONTH + " AS extraction_month")
+
+_MONTHS = """
+table_months AS (
+  SELECT 'claims' AS schema_name, 'orders' AS table_name, strftime(o_orderdate, '%Y-%m') AS month FROM orders
+  UNION SELECT 'claims', 'lineitem', strftime(l_shipdate, '%Y-%m') FROM lineitem
+  UNION SELECT 'web', 'events', strftime(ts, '%Y-%m') FROM events
+)"""
+
+_TRACKED = f"""
+WITH {_MONTHS},
+n AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT schema_name, table_name FROM table_months)),
+tracked AS (
+  SELECT month AS simulation_month,
+         CAST((SELECT n FROM n) AS INTEGER) AS total_tables_found,
+         CAST(COUNT(*) AS INTEGER) AS tables_with_files,
+         CAST((SELECT n FROM n) - COUNT(*) AS INTEGER) AS tables_skipped,
+         CAST(COUNT(*) AS INTEGER) AS total_files_transferred,
+         'success' AS status
+  FROM table_months WHERE month <= '2001-08' GROUP BY month
+)"""
+
+
+def flow_sql() -> dict[str, str]:
+    plain = _ORDERS_OUT.format(d="o_orderdate", p="o_orderpriority")
+    return {
+        "ingest_parquet_incremental": f"SELECT {plain} FROM orders",
+        "ingest_json_incremental": f"SELECT {plain} FROM orders",
+        "ingest_csv_incremental":
+            f"SELECT {_ORDERS_OUT.format(d='CAST(o_orderdate AS DATE)', p='o_orderpriority')} FROM orders",
+        "schema_evolution": "SELECT " + _ORDERS_OUT.format(
+            d="o_orderdate",
+            p=f"CASE WHEN {_ORDERS_MONTH} <= '1997-12' THEN NULL ELSE o_orderpriority END") + " FROM orders",
+        "lineage_columns": f"SELECT o_orderkey, {_ORDERS_MONTH} AS extraction_month, true AS path_has_month, "
+                           "true AS path_ends_with_name, true AS stamped FROM orders",
+        "scd2_streaming": SCD2_HISTORY,
+        "scd1_streaming": SCD1_LATEST,
+        "append_epoch_conversion": "SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_day, "
+                                   "ts AS created_at FROM events",
+        "uuid_append_flow": HEX_TEXT,
+        "month_inventory": f"WITH {_MONTHS} SELECT schema_name, table_name, month, CAST(1 AS BIGINT) AS files "
+                           "FROM table_months",
+        "dry_run_listing": f"WITH {_MONTHS} SELECT schema_name, table_name, COUNT(DISTINCT month) AS months, "
+                           "MIN(month) AS first_month, MAX(month) AS last_month FROM table_months "
+                           "GROUP BY schema_name, table_name",
+        "next_month": f"""WITH {_MONTHS}, m AS (SELECT DISTINCT month FROM table_months)
+            SELECT (SELECT MAX(month) FROM m WHERE month <= '2001-08') AS last_processed,
+                   (SELECT MIN(month) FROM m WHERE month > '2001-08') AS next_month,
+                   CAST((SELECT COUNT(*) FROM m WHERE month > '2001-08') AS INTEGER) AS remaining_months""",
+        "months_up_to": f"WITH {_MONTHS} SELECT DISTINCT month FROM table_months WHERE month > '2001-08'",
+        "tracker_history": _TRACKED + """
+            SELECT * FROM tracked ORDER BY simulation_month DESC LIMIT 50""",
+        "tracker_overview": _TRACKED + """
+            SELECT COUNT(*) AS months_processed, MIN(simulation_month) AS first_month,
+                   MAX(simulation_month) AS latest_month,
+                   CAST(SUM(total_files_transferred) AS BIGINT) AS total_files,
+                   AVG(tables_with_files) AS avg_tables_with_files,
+                   AVG(tables_skipped) AS avg_tables_skipped,
+                   CAST(SUM(CASE WHEN status = 'success' THEN 1 ELSE 0 END) AS BIGINT) AS successful_runs,
+                   CAST(SUM(CASE WHEN status = 'partial' THEN 1 ELSE 0 END) AS BIGINT) AS partial_runs,
+                   CAST(SUM(CASE WHEN status = 'failed' THEN 1 ELSE 0 END) AS BIGINT) AS failed_runs
+            FROM tracked""",
+        "released_rows": f"SELECT {plain} FROM orders WHERE {_ORDERS_MONTH} <= '2001-08'",
+    }

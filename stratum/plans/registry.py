@@ -189,3 +189,231 @@ def q_conditional_counts(spark, sf):
         F.min(F.to_date("o_orderdate")).alias("first_order"),
         F.max(F.to_date("o_orderdate")).alias("last_order"),
     )
+
+
+# ---------------------------------------------------------------- ingest
+
+from stratum.plans import feeds, landing  # noqa: E402
+from stratum.session import scratch_dir  # noqa: E402
+from stratum.sources import ingest as ing  # noqa: E402
+from stratum.streaming import flows  # noqa: E402
+
+ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+               "o_orderpriority"]
+SPLIT_MONTH = "1997-12"
+
+
+def _orders_feed(spark, sf):
+    return feeds.with_month(domain.table(spark, sf, "orders"), "o_orderdate")
+
+
+def _two_run_ingest(spark, sf, fmt, first_cols=None, second_reorder=False, name="ingest"):
+    root = scratch_dir(spark, name)
+    spec = ing.FeedSpec(f"{root}/incoming/claims/orders", f"{root}/bronze/orders",
+                        f"{root}/checkpoints/orders", fmt=fmt)
+    o = _orders_feed(spark, sf)
+    if fmt == "csv":
+        o = o.withColumn("o_orderdate", F.to_date("o_orderdate"))
+    first = o.where(F.col(feeds.MONTH) <= SPLIT_MONTH)
+    if first_cols is not None:
+        first = first.select(*first_cols, feeds.MONTH)
+    second = o.where(F.col(feeds.MONTH) > SPLIT_MONTH)
+    if second_reorder:
+        second = second.select(*reversed(second.columns))
+    feeds.write_months(first, spec.source_path, fmt)
+    ing.ingest(spark, spec)
+    ing.ingest(spark, spec)          # nothing new: must be a no-op
+    feeds.write_months(second, spec.source_path, fmt)
+    ing.ingest(spark, spec)
+    return ing.read_bronze(spark, spec.target_path)
+
+
+def q_ingest_parquet_incremental(spark, sf):
+    b = _two_run_ingest(spark, sf, "parquet", name="ingest-parquet")
+    return b.select(*ORDERS_COLS, feeds.MONTH)
+
+
+def q_ingest_json_incremental(spark, sf):
+    b = _two_run_ingest(spark, sf, "json", name="ingest-json")
+    return b.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                    F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"),
+                    "o_orderpriority", feeds.MONTH)
+
+
+def q_ingest_csv_incremental(spark, sf):
+    b = _two_run_ingest(spark, sf, "csv", second_reorder=True, name="ingest-csv")
+    return b.select(F.col("o_orderkey").cast("long").alias("o_orderkey"),
+                    F.col("o_custkey").cast("long").alias("o_custkey"),
+                    "o_orderstatus", "o_totalprice",
+                    F.col("o_orderdate").cast("date").alias("o_orderdate"),
+                    "o_orderpriority", feeds.MONTH)
+
+
+def q_schema_evolution(spark, sf):
+    first = [c for c in ORDERS_COLS if c != "o_orderpriority"]
+    b = _two_run_ingest(spark, sf, "parquet", first_cols=first, name="ingest-evolve")
+    return b.select(*ORDERS_COLS, feeds.MONTH)
+
+
+def q_lineage_columns(spark, sf):
+    """Every bronze row names its file, and the file sits in its month folder."""
+    b = _two_run_ingest(spark, sf, "parquet", name="ingest-lineage")
+    return b.select(
+        "o_orderkey", feeds.MONTH,
+        F.col("_source_file_path").contains(F.concat(F.lit("extraction_month="), F.col(feeds.MONTH)))
+        .alias("path_has_month"),
+        F.col("_source_file_path").endswith(F.col("_source_file_name")).alias("path_ends_with_name"),
+        F.col("_processing_timestamp").isNotNull().alias("stamped"))
+
+
+# ---------------------------------------------------------------- streaming CDC
+
+ARRIVAL_ORDER = ("purchase", "view", "click", "error", "signup")
+
+
+def _event_arrivals(spark, sf, root):
+    """Events delivered one source system (event type) at a time: arrival order is not
+    sequence order, so most batches carry late events."""
+    src = f"{root}/arrivals"
+    e = change_log(spark, sf).join(
+        events(spark, sf).select("user_id", "ts", F.col("event_type").alias("__t")), ["user_id", "ts"])
+    for t in ARRIVAL_ORDER:
+        e.where(F.col("__t") == t).drop("__t").coalesce(1).write.mode("append").parquet(src)
+    return src, change_log(spark, sf).schema
+
+
+def _streaming_cdc(spark, sf, scd_type, name):
+    root = scratch_dir(spark, name)
+    src, schema = _event_arrivals(spark, sf, root)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src))
+    spec = flows.CdcSpec(keys=("user_id",), sequence="ts", except_cols=("ts",), scd_type=scd_type,
+                         target_path=f"{root}/silver", changelog_path=f"{root}/changelog",
+                         checkpoint=f"{root}/checkpoint", key_buckets=8, seq_chunks=4)
+    flows.run_cdc_flow(spark, stream, spec)
+    # replaying a batch changes nothing: rerun the writer for batch 0 from the log
+    replay = spark.read.parquet(spec.changelog_path).where(F.col(flows.BATCH) == 0) \
+        .drop(flows.BATCH, flows.KEY_BUCKET)
+    flows.cdc_batch_writer(spark, spec)(replay, 0)
+    return flows.read_scd(spark, spec.target_path)
+
+
+def q_scd2_streaming(spark, sf):
+    return _streaming_cdc(spark, sf, 2, "cdc-scd2").select(
+        "user_id", "event_type", "value", cdc.START_AT, cdc.END_AT)
+
+
+def q_scd1_streaming(spark, sf):
+    return _streaming_cdc(spark, sf, 1, "cdc-scd1").select("user_id", "event_type", "value")
+
+
+# ---------------------------------------------------------------- append flows
+
+def _event_log_bronze(spark, sf, path):
+    e = events(spark, sf)
+    (e.select("event_id", "user_id", "event_type", "value",
+              F.unix_micros(F.col("ts").cast("timestamp")).alias("created_at"),
+              F.unix_date(F.to_date("ts")).alias("event_day"),
+              F.col("event_id").cast("string").alias("_event_id"),
+              F.lit("insert").alias("_event_type"),
+              F.lit("loader").alias("created_by"))
+     .write.mode("overwrite").parquet(path))
+
+
+def q_append_epoch_conversion(spark, sf):
+    root = scratch_dir(spark, "append-epoch")
+    _event_log_bronze(spark, sf, f"{root}/bronze")
+    schema = spark.read.parquet(f"{root}/bronze").schema
+    stream = flows.prepare_epoch_append(
+        spark.readStream.schema(schema).parquet(f"{root}/bronze"), epoch_day_columns=["event_day"])
+    rules = quality.rules_from_pairs([("value_non_negative", "value >= 0"),
+                                      ("event_day_not_null", "event_day IS NOT NULL")])
+    flows.run_append_flow(stream, f"{root}/silver", f"{root}/checkpoint", rules, "events")
+    out = spark.read.parquet(f"{root}/silver")
+    return out.select("event_id", "user_id", "event_type", "value", "event_day",
+                      F.col("created_at").cast("timestamp_ntz").alias("created_at"))
+
+
+def q_uuid_append_flow(spark, sf):
+    """Append-only flow turning binary UUIDs into hex text, audit columns dropped."""
+    root = scratch_dir(spark, "append-uuid")
+    src = _uuid_source(spark, sf).select(
+        "event_id", "event_uuid", F.lit(None).cast("timestamp").alias("__START_AT"),
+        F.lit(None).cast("timestamp").alias("__END_AT"), F.lit("loader").alias("created_by"))
+    src.write.mode("overwrite").parquet(f"{root}/bronze")
+    stream = flows.prepare_append(spark.readStream.schema(src.schema).parquet(f"{root}/bronze"),
+                                  uuid_columns=["event_uuid"])
+    flows.run_append_flow(stream, f"{root}/silver", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/silver")
+
+
+# ---------------------------------------------------------------- landing
+
+def _vault(spark, sf, root):
+    vault = f"{root}/vault"
+    feeds.write_months(feeds.with_month(domain.table(spark, sf, "orders"), "o_orderdate"),
+                       f"{vault}/claims/orders")
+    feeds.write_months(feeds.with_month(domain.table(spark, sf, "lineitem"), "l_shipdate"),
+                       f"{vault}/claims/lineitem")
+    feeds.write_months(feeds.with_month(domain.table(spark, sf, "events"), "ts"),
+                       f"{vault}/web/events", fmt="json")
+    return landing.LandingConfig(vault=vault, incoming=f"{root}/incoming",
+                                 tracker=f"{root}/tracker",
+                                 formats={("web", "events"): "json"})
+
+
+def q_month_inventory(spark, sf):
+    cfg = _vault(spark, sf, scratch_dir(spark, "landing-inv"))
+    return (landing.inventory(spark, cfg.vault)
+            .groupBy("schema_name", "table_name", "month")
+            .agg(F.count(F.lit(1)).alias("files")))
+
+
+def q_dry_run_listing(spark, sf):
+    cfg = _vault(spark, sf, scratch_dir(spark, "landing-dry"))
+    return landing.dry_run_listing(landing.inventory(spark, cfg.vault))
+
+
+LANDING_CEILING = "2001-08"   # last month of orders; lineitem runs three months longer
+
+
+def _released(spark, sf, name):
+    cfg = _vault(spark, sf, scratch_dir(spark, name))
+    landing.run(spark, cfg, up_to="1998-12")           # M5: all months up to a ceiling
+    landing.run(spark, cfg)                            # M3: the next month only
+    landing.run(spark, cfg, up_to=LANDING_CEILING)     # M5 again from the new position
+    landing.run(spark, cfg, specific="1996-02")        # M4: explicit month, re-released
+    return cfg
+
+
+def q_next_month(spark, sf):
+    cfg = _released(spark, sf, "landing-next")
+    inv = landing.inventory(spark, cfg.vault)
+    last = landing.last_processed(spark, cfg)
+    nxt = landing.next_month(inv, last)
+    todo = landing.months_to_process(spark, cfg, inv, up_to="9999-12")
+    return spark.createDataFrame([(last, nxt, len(todo))],
+                                 "last_processed string, next_month string, remaining_months int")
+
+
+def q_months_up_to(spark, sf):
+    cfg = _released(spark, sf, "landing-upto")
+    inv = landing.inventory(spark, cfg.vault)
+    todo = landing.months_to_process(spark, cfg, inv, up_to="9999-12")
+    return spark.createDataFrame([(m,) for m in todo], "month string")
+
+
+def q_tracker_history(spark, sf):
+    cfg = _released(spark, sf, "landing-hist")
+    return landing.tracker_history(spark, cfg).drop("mb_transferred", "last_updated")
+
+
+def q_tracker_overview(spark, sf):
+    cfg = _released(spark, sf, "landing-over")
+    return landing.tracker_overview(spark, cfg).drop("total_mb")
+
+
+def q_released_rows(spark, sf):
+    """M6: rows in the incoming area equal the vault rows of the released months."""
+    cfg = _released(spark, sf, "landing-rows")
+    inc = spark.read.parquet(f"{cfg.incoming}/claims/orders")
+    return inc.select(*ORDERS_COLS, F.col(feeds.MONTH).cast("string").alias(feeds.MONTH))
