@@ -616,3 +616,31 @@ def flow_sql() -> dict[str, str]:
             FROM tracked""",
         "released_rows": f"SELECT {plain} FROM orders WHERE {_ORDERS_MONTH} <= '2001-08'",
     }
+
+
+# month replay: claim_line arrives through the partial-update SCD2 flow, so rows
+# sharing (key, sequence) merge column by column (greatest non-NULL value).
+CLAIM_LINE_PARTIAL = f"""
+claim_line_ev AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS claim_line_id,
+         l_shipdate AS seq, l_orderkey AS claim_id,
+         {_money('l_extendedprice')} AS charge_amount,
+         {_money('l_extendedprice - l_quantity * 10')} AS benefit_amount,
+         {_money('l_quantity * 10')} AS gap_amount
+  FROM lineitem
+),
+claim_line_one AS (
+  SELECT claim_line_id, seq, MAX(claim_id) AS claim_id, MAX(charge_amount) AS charge_amount,
+         MAX(benefit_amount) AS benefit_amount, MAX(gap_amount) AS gap_amount
+  FROM claim_line_ev GROUP BY claim_line_id, seq
+),
+claim_line AS (
+  SELECT claim_line_id, claim_id, charge_amount, benefit_amount, gap_amount,
+         LEAD(seq) OVER (PARTITION BY claim_line_id ORDER BY seq) AS __END_AT
+  FROM claim_line_one
+)"""
+
+
+def replay_sql() -> dict[str, str]:
+    assert CLAIM_LINE in CLAIM_SUMMARY
+    return {"month_replay_gold": CLAIM_SUMMARY.replace(CLAIM_LINE, CLAIM_LINE_PARTIAL)}

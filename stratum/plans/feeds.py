@@ -27,3 +27,103 @@ def write_months(df: DataFrame, path: str, fmt: str = "parquet", one_file_per_mo
     if fmt == "csv":
         w = w.option("header", True)
     w.format(fmt).save(path)
+
+
+# ---------------------------------------------------------------- claims-domain bronze feeds
+#
+# The reference's bronze shapes (change-event logs with epoch ints and audit
+# columns), derived row for row from the driver tables.
+
+def _null(t: str) -> "F.Column":
+    return F.lit(None).cast(t)
+
+
+def _event_cols(key_text, ts_us) -> list:
+    return [F.concat(F.lit("ev-"), key_text).alias("_event_id"),
+            F.lit("insert").alias("_event_type"),
+            ts_us.alias("_event_timestamp"),
+            F.lit("w1").alias("_event_worker_id"),
+            F.lit("loader").alias("created_by"),
+            _null("string").alias("modified_by")]
+
+
+def claim_bronze(orders: DataFrame) -> DataFrame:
+    o = orders
+    day = F.unix_date(F.to_date("o_orderdate"))
+    created = F.unix_micros(F.col("o_orderdate").cast("timestamp"))
+    fraud = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
+    return o.select(
+        F.col("o_orderkey").alias("claim_id"),
+        F.concat(F.lit("CLM-"), F.col("o_orderkey").cast("string")).alias("claim_number"),
+        F.col("o_custkey").alias("policy_id"), F.col("o_custkey").alias("member_id"),
+        _null("string").alias("coverage_id"),
+        F.col("o_orderpriority").alias("claim_type"),
+        F.when(F.col("o_orderstatus") == "F", "Paid").when(F.col("o_orderstatus") == "O", "Assessed")
+         .otherwise("Lodged").alias("claim_status"),
+        day.alias("service_date"), (day + 2).alias("lodgement_date"),
+        F.when(F.col("o_orderstatus") != "P", day + 9).alias("assessment_date"),
+        F.when(F.col("o_orderstatus") == "F", day + 16).alias("payment_date"),
+        F.concat(F.lit("PRV-"), F.col("o_custkey").cast("string")).alias("provider_id"),
+        _null("string").alias("hospital_id"),
+        F.col("o_totalprice").alias("total_charge"),
+        (F.col("o_totalprice") - F.floor(F.col("o_totalprice") / 10)).alias("total_benefit"),
+        F.floor(F.col("o_totalprice") / 10).cast("double").alias("total_gap"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", 500.0).otherwise(0.0).alias("excess_applied"),
+        F.lit(0.0).alias("co_payment_applied"),
+        _null("int").alias("rejection_reason_id"), _null("string").alias("rejection_notes"),
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "online")
+         .otherwise("branch").alias("claim_channel"),
+        _null("string").alias("pay_to"),
+        fraud.alias("is_fraud"), F.when(fraud, "inflation").alias("fraud_type"),
+        _null("double").alias("fraud_original_charge"), _null("double").alias("fraud_inflation_amount"),
+        _null("double").alias("fraud_inflation_ratio"), _null("string").alias("fraud_source_claim_id"),
+        _null("string").alias("fraud_ring_id"),
+        created.alias("created_at"), _null("bigint").alias("modified_at"),
+        *_event_cols(F.col("o_orderkey").cast("string"), created),
+        F.date_format("o_orderdate", "yyyy-MM").alias(MONTH),
+    )
+
+
+def claim_line_bronze(lineitem: DataFrame) -> DataFrame:
+    li = lineitem
+    created = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
+    gap = F.col("l_quantity") * 10
+    return li.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("claim_line_id"),
+        F.col("l_orderkey").alias("claim_id"), F.col("l_linenumber").alias("line_number"),
+        F.col("l_partkey").cast("string").alias("item_code"), _null("string").alias("item_description"),
+        _null("int").alias("clinical_category_id"), _null("int").alias("benefit_category_id"),
+        F.unix_date(F.to_date("l_shipdate")).alias("service_date"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_extendedprice").alias("charge_amount"), _null("double").alias("schedule_fee"),
+        (F.col("l_extendedprice") - gap).alias("benefit_amount"), gap.alias("gap_amount"),
+        F.col("l_linestatus").alias("line_status"), _null("int").alias("rejection_reason_id"),
+        F.col("l_suppkey").cast("string").alias("provider_id"),
+        _null("string").alias("provider_number"), _null("string").alias("tooth_number"),
+        _null("string").alias("body_part"),
+        created.alias("created_at"), _null("bigint").alias("modified_at"),
+        *_event_cols(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), created),
+        F.date_format("l_shipdate", "yyyy-MM").alias(MONTH),
+    )
+
+
+def claim_assessment_bronze(lineitem: DataFrame) -> DataFrame:
+    li = lineitem
+    at = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
+    aid = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return li.select(
+        aid.alias("assessment_id"), F.col("l_orderkey").alias("claim_id"),
+        F.when(F.col("l_linestatus") == "F", "auto").otherwise("manual").alias("assessment_type"),
+        at.alias("assessment_date"),
+        F.concat(F.lit("assessor-"), F.col("l_suppkey").cast("string")).alias("assessed_by"),
+        F.col("l_extendedprice").alias("original_benefit"),
+        (F.col("l_extendedprice") - F.col("l_quantity")).alias("adjusted_benefit"),
+        _null("string").alias("adjustment_reason"), _null("boolean").alias("waiting_period_check"),
+        _null("boolean").alias("benefit_limit_check"), _null("boolean").alias("eligibility_check"),
+        F.when(F.col("l_returnflag") == "A", "approved").when(F.col("l_returnflag") == "R", "rejected")
+         .otherwise("pending_review").alias("outcome"),
+        _null("string").alias("notes"),
+        at.alias("created_at"),
+        *_event_cols(aid, at)[:5],
+        F.date_format("l_shipdate", "yyyy-MM").alias(MONTH),
+    )

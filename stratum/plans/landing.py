@@ -152,6 +152,11 @@ def release(spark: SparkSession, cfg: LandingConfig, month_list: list[str],
         src = f"{_strip(cfg.vault)}/{schema}/{table}"
         dst = f"{_strip(cfg.incoming)}/{schema}/{table}"
         fmt = _fmt(cfg, schema, table)
+        # A month already delivered is not delivered again: downstream file
+        # tracking would see new file names and take its rows twice.
+        tm = [m for m in tm if not _fs_exists(spark, f"{dst}/{MONTH}={m}")]
+        if not tm:
+            continue
         try:
             df = _read_months(spark, fmt, src, tm).withColumn(MONTH, F.col(MONTH).cast("string"))
             w = (df.write.mode("overwrite")
@@ -236,6 +241,12 @@ def tracker_overview(spark: SparkSession, cfg: LandingConfig) -> DataFrame:
     )
 
 
+def _fs_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
 def _fs_delete(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
