@@ -22,7 +22,8 @@ def write_months(df: DataFrame, path: str, fmt: str = "parquet", one_file_per_mo
     predictable for fixtures (it routes each month through one task, so it is
     for derived test feeds, not for production releases)."""
     if one_file_per_month:
-        df = df.repartition(MONTH)
+        # an explicit count keeps AQE from folding all months into one writer task
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism, MONTH)
     w = df.write.mode(mode).partitionBy(MONTH)
     if fmt == "csv":
         w = w.option("header", True)

@@ -193,12 +193,25 @@ def release(spark: SparkSession, cfg: LandingConfig, month_list: list[str],
                 F.when(F.col("errors") > 0,
                        F.when(F.col("files_ok") > 0, "partial").otherwise("failed"))
                 .otherwise("success").alias("status")))
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("simulation_month").parquet(cfg.tracker))
+    _write_tracker(spark, cfg, rows, month_list)
     inv.unpersist()
     return read_tracker(spark, cfg).where(F.col("simulation_month").isin(month_list))
 
 
+def _write_tracker(spark: SparkSession, cfg: LandingConfig, new_rows: DataFrame,
+                   month_list: list[str]) -> None:
+    """Replace the rows of ``month_list``; keep the others.
+
+    The tracker holds one row per calendar month (bounded by the calendar, not
+    by data volume), so it is rewritten whole as one small file.  The kept rows
+    are materialized first because the write replaces the files they come from.
+    """
+    kept = read_tracker(spark, cfg).where(~F.col("simulation_month").isin(month_list)).collect()
+    fresh = new_rows.select(*[f.name for f in TRACKER_SCHEMA.fields]).collect()
+    merged = spark.createDataFrame([tuple(r) for r in kept + fresh], TRACKER_SCHEMA)
+    merged.coalesce(1).write.mode("overwrite").parquet(cfg.tracker)
+
+
 def run(spark: SparkSession, cfg: LandingConfig, specific: str | None = None,
         up_to: str | None = None, only_success: bool = False) -> list[str]:
     """Choose months (M3/M4/M5) and release them; returns the released months."""
@@ -256,8 +269,8 @@ def _fs_delete(spark: SparkSession, path: str) -> None:
 
 
 def reset_month(spark: SparkSession, cfg: LandingConfig, month: str) -> None:
-    """Forget one month in the tracker (its partition of the tracker table)."""
-    _fs_delete(spark, f"{_strip(cfg.tracker)}/simulation_month={month}")
+    """Forget one month in the tracker."""
+    _write_tracker(spark, cfg, spark.createDataFrame([], TRACKER_SCHEMA), [month])
 
 
 def restart(spark: SparkSession, cfg: LandingConfig) -> None:
