@@ -5,8 +5,8 @@ Semantics (batch; the streaming flows give the same answer over all events so fa
 * Events with a NULL key or NULL sequence are set aside (see :func:`invalid_events`).
 * One version per distinct (keys, sequence).  Several events with the same
   (keys, sequence) collapse deterministically: full-row updates keep the row with
-  the greatest business-column tuple; partial updates keep, per column, the
-  greatest non-NULL value.
+  the greatest business-column tuple (NULL lowest); partial updates keep, per
+  column, the greatest non-NULL value.
 * Partial updates (``ignore_null_updates``): a NULL means "unchanged", so each
   column carries the last non-NULL value forward in sequence order.
 * Type 2: ``__START_AT`` = sequence, ``__END_AT`` = next sequence of the same key,
@@ -57,19 +57,6 @@ def valid_events(events: DataFrame, keys: str | Sequence[str], seq: str) -> Data
     return events.where(ok)
 
 
-def collapse_same_sequence(events: DataFrame, keys: Sequence[str], seq: str,
-                           partial: bool) -> DataFrame:
-    """One row per (keys, seq), chosen deterministically (see module doc)."""
-    business = [c for c in events.columns if c not in keys and c != seq]
-    grp = events.groupBy(*keys, seq)
-    if partial:
-        return grp.agg(*[F.max(c).alias(c) for c in business])
-    if not business:
-        return grp.agg().select(*keys, seq)
-    return (grp.agg(F.max(F.struct(*business)).alias("__row"))
-            .select(*keys, seq, "__row.*"))
-
-
 def scd1(events: DataFrame, keys: str | Sequence[str], seq: str,
          except_cols: Sequence[str] = ()) -> DataFrame:
     """Current state per key: the event with the greatest sequence wins.
@@ -134,52 +121,83 @@ def scd2(events: DataFrame, keys: str | Sequence[str], seq: str, *,
          start_col: str = START_AT, end_col: str = END_AT) -> DataFrame:
     """Full version history (SCD type 2) from change events.
 
-    ``chunks > 1`` splits each key's timeline into sequence ranges so that no
-    task ever has to hold all versions of a hot key (module doc).  ``splits``
-    may be given to skip the quantile pass (the streaming flow fixes them).
+    One hash exchange on ``(keys, chunk)`` and one sort serve the whole
+    computation: a first window (ordered by sequence, then business columns
+    descending) keeps one row per (key, sequence) -- in partial mode the peers
+    of a sequence are merged column by column with a ``RANGE CURRENT ROW``
+    frame -- and a second window over the same order gives ``lead`` and the
+    forward fill.  ``chunks > 1`` splits each key's timeline into sequence
+    ranges so that no task holds all versions of a hot key (module doc);
+    ``splits`` may be given to skip the quantile pass.
     """
     keys = _as_list(keys)
     valid = valid_events(events, keys, seq)
     if splits is None:
         # one narrow scan of the sequence column, before any shuffle
         splits = sequence_splits(valid, seq, chunks) if chunks > 1 else []
-    ev = collapse_same_sequence(valid, keys, seq, partial)
-    business = [c for c in ev.columns if c not in keys and c != seq]
-    seq_type = ev.schema[seq].dataType
-    ev = ev.withColumn(_CHUNK, _chunk_of(F.col(seq), seq_type, splits))
+    business = [c for c in valid.columns if c not in keys and c != seq]
+    seq_type = valid.schema[seq].dataType
+    ev = valid.withColumn(_CHUNK, _chunk_of(F.col(seq), seq_type, splits))
+    part = [*keys, _CHUNK]
 
-    w_local = Window.partitionBy(*keys, _CHUNK).orderBy(seq)
-    w_fill = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = [F.lead(seq).over(w_local).alias("__next_local")]
+    # 1) one row per (key, sequence)
     if partial:
-        local += [F.last(c, ignorenulls=True).over(w_fill).alias(c) for c in business]
+        w1 = Window.partitionBy(*part).orderBy(seq)
+        peers = w1.rangeBetween(Window.currentRow, Window.currentRow)
+        merged = [F.max(c).over(peers).alias(c) for c in business]
     else:
-        local += [F.col(c) for c in business]
-    scanned = ev.select(*keys, seq, _CHUNK, *local)
+        w1 = Window.partitionBy(*part).orderBy(
+            F.col(seq).asc(), *[F.col(c).desc_nulls_last() for c in business])
+        merged = [F.col(c) for c in business]
+    one = (ev.select(*part, seq, *merged, F.lag(seq).over(w1).alias("__prev"))
+           .where(F.col("__prev").isNull() | (F.col("__prev") != F.col(seq)))
+           .drop("__prev"))
+
+    # 2) next sequence and forward fill inside each (key, chunk)
+    w2 = Window.partitionBy(*part).orderBy(seq)
+    filled = [F.last(c, ignorenulls=True).over(
+        w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(c)
+        for c in business] if partial else [F.col(c) for c in business]
+    local = [F.lead(seq).over(w2).alias("__next_local")]
+    if splits:
+        local.append(F.min(seq).over(
+            w2.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__first"))
+    scanned = one.select(*part, seq, *filled, *local)
 
     if not splits:
         out = scanned.withColumn("__next", F.col("__next_local"))
     else:
-        # Per (key, chunk) summary: first sequence, last non-NULL value per column.
-        summ_aggs = [F.min(seq).alias("__first")]
-        if partial:
-            summ_aggs += [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(f"__last_{c}")
-                          for c in business]
-        summary = ev.groupBy(*keys, _CHUNK).agg(*summ_aggs)
+        # 3) stitch chunk edges.  Only the last row of each (key, chunk) needs a
+        #    new end (the next chunk's first sequence): a window over just those
+        #    rows, at most `chunks` per key.  In partial mode rows that still hold
+        #    a NULL after the local fill take the last non-NULL value of earlier
+        #    chunks; only those rows are joined with the small carry table.
         w_chunks = Window.partitionBy(*keys).orderBy(_CHUNK)
         w_before = w_chunks.rowsBetween(Window.unboundedPreceding, -1)
-        carry = [F.lead("__first").over(w_chunks).alias("__next_chunk_first")]
-        if partial:
-            carry += [F.last(f"__last_{c}", ignorenulls=True).over(w_before).alias(f"__carry_{c}")
-                      for c in business]
-        summary = summary.select(*keys, _CHUNK, *carry)
-        joined = scanned.join(summary, [*keys, _CHUNK], "left")
-        fixed = [F.coalesce("__next_local", "__next_chunk_first").alias("__next")]
-        if partial:
-            fixed += [F.coalesce(F.col(c), F.col(f"__carry_{c}")).alias(c) for c in business]
+        is_last = F.col("__next_local").isNull()
+        edges = scanned.where(is_last).select(
+            "*", F.lead("__first").over(w_chunks).alias("__next_chunk_first"),
+            *([F.last(c, ignorenulls=True).over(w_before).alias(f"__carry_{c}") for c in business]
+              if partial else []))
+        inner = scanned.where(~is_last).withColumn("__next", F.col("__next_local"))
+        last_rows = edges.select(*part, seq, *business,
+                                 F.col("__next_chunk_first").alias("__next"),
+                                 *[f"__carry_{c}" for c in business] if partial else [])
+        if not partial:
+            out = inner.select(*part, seq, *business, "__next").unionByName(
+                last_rows.select(*part, seq, *business, "__next"))
         else:
-            fixed += [F.col(c) for c in business]
-        out = joined.select(*keys, seq, *fixed)
+            carry = edges.select(*part, *[f"__carry_{c}" for c in business])
+            has_null = F.lit(False)
+            for c in business:
+                has_null = has_null | F.col(c).isNull()
+            complete = inner.where(~has_null).select(*part, seq, *business, "__next")
+            gaps = (inner.where(has_null).select(*part, seq, *business, "__next")
+                    .join(carry, part, "left"))
+            fill = lambda df: df.select(
+                *part, seq, *[F.coalesce(F.col(c), F.col(f"__carry_{c}")).alias(c) for c in business],
+                "__next")
+            out = complete.unionByName(fill(gaps)).unionByName(fill(last_rows))
 
     out = out.select(*keys, *business, F.col(seq),
                      F.col(seq).alias(start_col), F.col("__next").alias(end_col))
