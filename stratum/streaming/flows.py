@@ -14,7 +14,7 @@ Runners:
 
 * :func:`run_append_flow`  map-only stream -> parquet sink (append), checkpointed,
   expectations observed per micro-batch
-* :func:`run_cdc_flow`     change-log + recompute-by-bucket in ``foreachBatch``
+* :func:`run_cdc_flow`     change log + recompute of touched keys in ``foreachBatch``
   (design below), giving exactly the batch SCD result over all events so far.
 
 CDC micro-batch (batch id ``b``):
@@ -22,14 +22,16 @@ CDC micro-batch (batch id ``b``):
 1. tag events with ``_key_bucket = pmod(xxhash64(keys), N)`` and write them to the
    change log partitioned by ``(_key_bucket, _batch_id=b)`` with dynamic overwrite
    (a retried batch rewrites the same partitions);
-2. recompute the touched buckets from the change log (partition pruning reads
-   only those buckets) with the batch operator, and overwrite those partitions
-   of the silver table;
+2. re-run the batch operator over the full history of the keys in this batch
+   (partition pruning reads only their buckets, a semi-join keeps only their
+   events), keep the other keys' rows of those buckets, cut lineage with a
+   reliable ``checkpoint()`` and overwrite those partitions of the silver table;
 3. write the batch's expectation counts to the metrics table partition
    ``_batch_id=b``.
-Late events need no special case: they land in the log and their bucket is
+Late events need no special case: they land in the log and their key is
 recomputed.  No driver-side state; the bucket list collected per batch is at
-most ``N`` integers.
+most ``N`` integers.  Without a MERGE-capable table format the touched bucket
+partitions are rewritten whole; ``N`` sets that granularity.
 """
 
 from __future__ import annotations
@@ -154,26 +156,64 @@ def _bucket(keys: Sequence[str], n: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
 
 
+def _scd(spec: CdcSpec, events: DataFrame) -> DataFrame:
+    keys = list(spec.keys)
+    if spec.scd_type == 1:
+        return cdc.scd1(events, keys, spec.sequence, except_cols=spec.except_cols)
+    return cdc.scd2(events, keys, spec.sequence, partial=spec.partial,
+                    except_cols=spec.except_cols, chunks=spec.seq_chunks)
+
+
 def rebuild_buckets(spark: SparkSession, spec: CdcSpec, buckets: list[int] | None) -> DataFrame:
-    """Batch recompute of the SCD table for the given buckets (all when None)."""
+    """Batch recompute of the SCD table for whole buckets (all when None)."""
     log = spark.read.parquet(spec.changelog_path)
     if buckets is not None:
         log = log.where(F.col(KEY_BUCKET).isin(buckets))
-    events = log.drop(BATCH)
+    out = _scd(spec, log.drop(BATCH, KEY_BUCKET))
+    return out.withColumn(KEY_BUCKET, _bucket(list(spec.keys), spec.key_buckets))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def rebuild_keys(spark: SparkSession, spec: CdcSpec, buckets: list[int],
+                 touched_keys: DataFrame, batch_id: int) -> DataFrame:
+    """New content of the touched bucket partitions.
+
+    The full history of the touched keys is read back from the change log
+    (partition pruning on the buckets, then a join on the keys) and re-run
+    through the SCD operator; rows of other keys in those buckets are kept as
+    they are.  Lineage is cut by writing the result as a staging table in the
+    shared folder (it overwrites the partitions it was read from); a retried
+    batch rewrites the same staging folder.
+    """
     keys = list(spec.keys)
-    business = [c for c in events.columns if c != KEY_BUCKET]
-    events = events.select(*business, KEY_BUCKET)
-    if spec.scd_type == 1:
-        out = cdc.scd1(events.drop(KEY_BUCKET), keys, spec.sequence, except_cols=spec.except_cols)
-    else:
-        out = cdc.scd2(events.drop(KEY_BUCKET), keys, spec.sequence, partial=spec.partial,
-                       except_cols=spec.except_cols, chunks=spec.seq_chunks)
-    return out.withColumn(KEY_BUCKET, _bucket(keys, spec.key_buckets))
+    log = (spark.read.parquet(spec.changelog_path).where(F.col(KEY_BUCKET).isin(buckets))
+           .drop(BATCH, KEY_BUCKET))
+    rebuilt = _scd(spec, log.join(touched_keys, keys, "left_semi")) \
+        .withColumn(KEY_BUCKET, _bucket(keys, spec.key_buckets))
+    if _exists(spark, spec.target_path):
+        old = (spark.read.parquet(spec.target_path).where(F.col(KEY_BUCKET).isin(buckets))
+               .join(touched_keys, keys, "left_anti"))
+        rebuilt = old.unionByName(rebuilt, allowMissingColumns=True)
+    staging = f"{spec.target_path.rstrip('/')}_staging/batch={batch_id}"
+    rebuilt.write.mode("overwrite").parquet(staging)
+    return spark.read.parquet(staging)
 
 
 def cdc_batch_writer(spark: SparkSession, spec: CdcSpec):
     """The ``foreachBatch`` function of a CDC flow (exposed for tests and replays)."""
-
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = (batch.withColumn(KEY_BUCKET, _bucket(spec.keys, spec.key_buckets))
                   .withColumn(BATCH, F.lit(batch_id).cast("long")))
@@ -183,16 +223,18 @@ def cdc_batch_writer(spark: SparkSession, spec: CdcSpec):
              .partitionBy(KEY_BUCKET, BATCH).parquet(spec.changelog_path))
             touched = sorted(r[0] for r in tagged.select(KEY_BUCKET).distinct().collect())
             if spec.rules and spec.metrics_path:
-                (quality.metrics_rows(batch, list(spec.rules), spec.table, batch_id)
+                (quality.metrics_rows(tagged, list(spec.rules), spec.table, batch_id)
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(spec.metrics_path))
+            if touched:
+                keys = (cdc.valid_events(tagged, list(spec.keys), spec.sequence)
+                        .select(*spec.keys).distinct())
+                rebuilt = rebuild_keys(spark, spec, touched, keys, batch_id)
+                (rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(KEY_BUCKET).parquet(spec.target_path))
+                _delete(spark, f"{spec.target_path.rstrip('/')}_staging/batch={batch_id}")
         finally:
             tagged.unpersist()
-        if not touched:
-            return
-        rebuilt = rebuild_buckets(spark, spec, touched)
-        (rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(KEY_BUCKET).parquet(spec.target_path))
 
     return write
 
