@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from stratum.functions import days_between, flag
 from stratum.operators.cdc import current_versions
 from stratum.operators.latest import latest_per_key
+from stratum.operators import ordered
 from stratum.operators.rank import percent_rank_global
 
 # Status literals the gold views compare against (case-sensitive).
@@ -138,12 +139,20 @@ def policy_billing_summary(invoice: DataFrame, payment: DataFrame,
                     "last_payment_date", rate.alias("payment_rate_pct"))
 
 
-def member_windows(claims: DataFrame) -> DataFrame:
+def member_windows(claims: DataFrame, chunks: int = 1) -> DataFrame:
     """Per-member sequence, gap, running, moving, lifetime and rank columns.
 
-    All windows share the partition key ``member_id`` so Catalyst plans one
-    exchange; the ``(service_date, claim_id)`` order is total.
+    ``chunks <= 1``: plain windows that share the partition key ``member_id`` so
+    Catalyst plans one exchange; the ``(service_date, claim_id)`` order is total.
+    ``chunks > 1``: the split form of :mod:`stratum.operators.ordered` -- same
+    values, but a member holding a large share of all claims is scanned in
+    ``chunks`` parallel date ranges instead of one task.
     """
+    if chunks > 1:
+        seq = ordered.sequence_windows(claims, "member_id", ("service_date", "claim_id"),
+                                       "total_charge", "total_benefit", chunks)
+        return ordered.rank_desc_within(seq, "member_id", "total_charge",
+                                        "member_charge_rank", chunks)
     w = Window.partitionBy("member_id").orderBy("service_date", "claim_id")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     moving3 = w.rowsBetween(-2, Window.currentRow)
@@ -167,7 +176,7 @@ def member_windows(claims: DataFrame) -> DataFrame:
 def member_claim_activity(claim: DataFrame, claim_line: DataFrame,
                           claim_assessment: DataFrame, *,
                           distributed_percent_rank: bool = True,
-                          rank_buckets: int = 64) -> DataFrame:
+                          rank_buckets: int = 64, member_chunks: int = 16) -> DataFrame:
     """One row per current claim with per-member trend windows and risk flags."""
     c = current_versions(claim)
     ca = latest_assessment(claim_assessment, ["outcome", "assessment_type"]).select(
@@ -183,7 +192,7 @@ def member_claim_activity(claim: DataFrame, claim_line: DataFrame,
                     ca["assessment_type"], _zero_if_null("line_count").alias("line_count"),
                     days_between(c["assessment_date"], "lodgement_date").alias("days_to_assess"),
                     days_between("payment_date", c["assessment_date"]).alias("days_to_pay")))
-    enriched = member_windows(base)
+    enriched = member_windows(base, member_chunks)
 
     if distributed_percent_rank:
         ranked = percent_rank_global(enriched, "member_lifetime_charge", "__pr",

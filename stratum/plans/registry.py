@@ -139,10 +139,13 @@ def q_expectation_passthrough(spark, sf):
 
 # ---------------------------------------------------------------- windows
 
+MEMBER_CHUNKS = 8
+
+
 def _member_windows(spark, sf):
     claims = cdc.current_versions(domain.claim(spark, sf)).select(
         "claim_id", "member_id", "service_date", "total_charge", "total_benefit")
-    return gold.member_windows(claims)
+    return gold.member_windows(claims, MEMBER_CHUNKS)
 
 
 def q_member_sequence_gaps(spark, sf):

@@ -136,3 +136,21 @@ def test_distributed_percent_rank_equals_builtin(spark):
         assert rows(got, "id", "pr") == rows(want, "id", "pr")
     one = spark.createDataFrame([(1, 3.0)], "id int, x double")
     assert percent_rank_global(one, "x", "pr").first()["pr"] == 0.0
+
+
+def test_split_member_windows_equal_plain_on_hot_member(spark):
+    rnd = random.Random(11)
+    data = []
+    for i in range(600):                       # member 1 owns most claims
+        m = 1 if i < 400 else rnd.randrange(2, 40)
+        charge = None if rnd.random() < 0.05 else D(str(rnd.choice([100, 250, rnd.randrange(1, 10**6) / 100])))
+        data.append((i, m, d(2024, 1, 1) + dt.timedelta(days=rnd.randrange(0, 90)), charge,
+                     D(str(rnd.randrange(0, 10**4) / 100))))
+    claims = spark.createDataFrame(
+        data, "claim_id long, member_id long, service_date date, total_charge decimal(10,2), "
+              "total_benefit decimal(10,2)")
+    plain = gold.member_windows(claims, 1)
+    for chunks in (3, 16, 64):
+        split = gold.member_windows(claims, chunks)
+        assert sorted(split.columns) == sorted(plain.columns)
+        assert rows(split, *plain.columns) == rows(plain)
