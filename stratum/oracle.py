@@ -245,7 +245,7 @@ SELECT policy_id, member_id, benefit_category_id, benefit_year, limit_type,
        CAST(approved_claim_count AS BIGINT) AS approved_claim_count,
        first_usage_date, last_usage_date,
        CAST(CASE WHEN annual_limit > 0 AND limit_type = 'Dollar'
-            THEN {pct2('total_usage_amount', 'annual_limit')} END AS DECIMAL(33,2)) AS utilization_pct
+            THEN {pct2('total_usage_amount', 'annual_limit')} END AS DECIMAL(27,2)) AS utilization_pct
 FROM usage_agg
 """
 
@@ -282,7 +282,7 @@ SELECT i.policy_id,
        CAST(COALESCE(p.total_payment_amount, 0) AS DECIMAL(20,2)) AS total_payment_amount,
        p.last_payment_date,
        CAST(CASE WHEN i.total_invoiced_amount > 0
-            THEN {pct2('i.total_paid_amount', 'i.total_invoiced_amount')} ELSE 0 END AS DECIMAL(33,2)) AS payment_rate_pct
+            THEN {pct2('i.total_paid_amount', 'i.total_invoiced_amount')} ELSE 0 END AS DECIMAL(27,2)) AS payment_rate_pct
 FROM invoice_agg i LEFT JOIN payment_agg p ON i.policy_id = p.policy_id
 """
 
@@ -324,8 +324,8 @@ w AS (
 ),
 enriched AS (
   SELECT *,
-    CAST({avg2('mv_sum', 'mv_cnt')} AS DECIMAL(14,2)) AS member_moving_avg_charge_3,
-    CAST({avg2('member_lifetime_charge', 'all_cnt')} AS DECIMAL(14,2)) AS member_avg_charge
+    CAST({avg2('mv_sum', 'mv_cnt')} AS DECIMAL(11,2)) AS member_moving_avg_charge_3,
+    CAST({avg2('member_lifetime_charge', 'all_cnt')} AS DECIMAL(11,2)) AS member_avg_charge
   FROM w
 )"""
 
@@ -338,7 +338,7 @@ SELECT claim_id, claim_number, policy_id, member_id, claim_type, claim_status,
        member_claim_seq, days_since_prev_claim, days_to_next_claim,
        member_running_total_charge, member_running_total_benefit, member_moving_avg_charge_3,
        member_total_claims, member_lifetime_charge, member_avg_charge,
-       CAST(total_charge - member_avg_charge AS DECIMAL(15,2)) AS charge_variance_from_avg,
+       CAST(total_charge - member_avg_charge AS DECIMAL(13,2)) AS charge_variance_from_avg,
        member_charge_rank, days_to_assess, days_to_pay,
        {round_double2('PERCENT_RANK() OVER (ORDER BY member_lifetime_charge ASC NULLS FIRST) * 100')} AS member_cost_percentile,
        is_fraud, fraud_type,
@@ -498,8 +498,8 @@ w AS (
 ),
 e AS (
   SELECT *,
-    CAST({avg2('mv_sum', 'mv_cnt')} AS DECIMAL(14,2)) AS member_moving_avg_charge_3,
-    CAST({avg2('member_lifetime_charge', 'all_cnt')} AS DECIMAL(14,2)) AS member_avg_charge
+    CAST({avg2('mv_sum', 'mv_cnt')} AS DECIMAL(11,2)) AS member_moving_avg_charge_3,
+    CAST({avg2('member_lifetime_charge', 'all_cnt')} AS DECIMAL(11,2)) AS member_avg_charge
   FROM w
 )"""
 

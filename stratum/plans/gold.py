@@ -13,6 +13,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratum.functions import days_between, flag
 from stratum.operators.cdc import current_versions
@@ -85,17 +86,31 @@ def benefit_utilization(benefit_usage: DataFrame, claim: DataFrame,
     cc = current_versions(claim).select("claim_id", "claim_status")
     bu = benefit_usage.join(cc, "claim_id", "left")
     keys = ["policy_id", "member_id", "benefit_category_id", "benefit_year", "limit_type"]
-    agg = bu.groupBy(*keys).agg(
-        F.sum("usage_amount").alias("total_usage_amount"),
-        F.sum("usage_count").alias("total_usage_count"),
+    # Two exact COUNT(DISTINCT claim_id) variants without Expand: the current
+    # status is one value per claim, so aggregate per (keys, claim) first and
+    # count claims in the second step.  Both steps combine map-side.
+    per_claim = bu.groupBy(*keys, "claim_id").agg(
+        F.sum("usage_amount").alias("usage_amount"),
+        F.sum("usage_count").alias("usage_count"),
         F.max("annual_limit").alias("annual_limit"),
         F.min("remaining_limit").alias("remaining_limit"),
-        F.count_distinct("claim_id").alias("claim_count"),
-        F.count_distinct(F.when(F.col("claim_status").isin(*approved_statuses),
-                                F.col("claim_id"))).alias("approved_claim_count"),
+        F.max(F.col("claim_status").isin(*approved_statuses)).alias("approved"),
         F.min("usage_date").alias("first_usage_date"),
         F.max("usage_date").alias("last_usage_date"),
     )
+    amount_t = benefit_usage.schema["usage_amount"].dataType
+    sum_t = (T.DecimalType(min(38, amount_t.precision + 10), amount_t.scale)
+             if isinstance(amount_t, T.DecimalType) else amount_t)
+    agg = per_claim.groupBy(*keys).agg(
+        F.sum("usage_amount").cast(sum_t).alias("total_usage_amount"),  # type of one SUM
+        F.sum("usage_count").alias("total_usage_count"),
+        F.max("annual_limit").alias("annual_limit"),
+        F.min("remaining_limit").alias("remaining_limit"),
+        F.count("claim_id").alias("claim_count"),
+        F.count_if(F.col("claim_id").isNotNull() & F.col("approved")).alias("approved_claim_count"),
+        F.min("first_usage_date").alias("first_usage_date"),
+        F.max("last_usage_date").alias("last_usage_date"),
+    )
     pct = F.when((F.col("annual_limit") > 0) & (F.col("limit_type") == dollar_type),
                  F.round(F.col("total_usage_amount") / F.col("annual_limit") * 100, 2))
     return agg.select(*keys, "total_usage_amount", "total_usage_count", "annual_limit",

@@ -77,22 +77,32 @@ def compare(spark, sf_dir, names=None, verbose=True):
                 print(f"{name}: {results[name]} ({time.time()-t0:.1f}s)", flush=True)
             continue
         try:
-            cur = con.execute(sqls[name])
-            dcols = [d[0] for d in cur.description]
-            drows = cur.fetchall()
+            tbl = con.execute(sqls[name]).to_arrow_table()
+            if hasattr(tbl, "read_all"):
+                tbl = tbl.read_all()
+            dcols = tbl.column_names
+            drows = [tuple(r.values()) for r in tbl.to_pylist()]
+            dtypes = {f.name: str(f.type) for f in tbl.schema}
         except Exception as e:  # noqa: BLE001
             results[name] = f"DUCK ERROR {str(e)[:300]}"
             if verbose:
                 print(name, results[name], flush=True)
             continue
         ok_cols = sorted(scols) == sorted(dcols)
+        from pyspark.sql.pandas.types import to_arrow_type
+        stypes = {f.name: str(to_arrow_type(f.dataType)) for f in df.schema.fields}
+        bad_types = {c: (stypes.get(c), dtypes.get(c)) for c in stypes
+                     if stypes.get(c) != dtypes.get(c)
+                     and not (stypes.get(c, "").startswith("timestamp") and dtypes.get(c, "").startswith("timestamp"))}
         hs, ls = rows_digest(scols, srows)
         hd, ld = rows_digest(dcols, drows)
         ok = ok_cols and len(srows) == len(drows) and hs == hd
         results[name] = "OK" if ok else "MISMATCH"
         if verbose:
             print(f"{name}: {results[name]} rows spark={len(srows)} duck={len(drows)} "
-                  f"cols_ok={ok_cols} ({time.time()-t0:.1f}s)", flush=True)
+                  f"cols_ok={ok_cols} types_ok={not bad_types} ({time.time()-t0:.1f}s)", flush=True)
+            if bad_types:
+                print("  types (spark, duck):", bad_types)
             if not ok_cols:
                 print("  spark-only", sorted(set(scols) - set(dcols)),
                       "duck-only", sorted(set(dcols) - set(scols)))
