@@ -30,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratum.operators import skew
+
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 
@@ -117,10 +119,14 @@ def _bsearch(x: Column, splits: list[float], lo: int, hi: int) -> Column:
 
 def scd2(events: DataFrame, keys: str | Sequence[str], seq: str, *,
          partial: bool = False, except_cols: Sequence[str] = (),
-         chunks: int = 1, splits: list[float] | None = None,
+         chunks: int = 1, splits: list[float] | None = None, hot_rows: int | None = None,
          start_col: str = START_AT, end_col: str = END_AT) -> DataFrame:
     """Full version history (SCD type 2) from change events.
 
+    With ``chunks > 1`` the split plan is used when a key holds more than
+    ``hot_rows`` events (default: session setting, see :mod:`stratum.operators.skew`;
+    ``0`` forces it).
+
     One hash exchange on ``(keys, chunk)`` and one sort serve the whole
     computation: a first window (ordered by sequence, then business columns
     descending) keeps one row per (key, sequence) -- in partial mode the peers
@@ -133,8 +139,10 @@ def scd2(events: DataFrame, keys: str | Sequence[str], seq: str, *,
     keys = _as_list(keys)
     valid = valid_events(events, keys, seq)
     if splits is None:
-        # one narrow scan of the sequence column, before any shuffle
-        splits = sequence_splits(valid, seq, chunks) if chunks > 1 else []
+        splits = []
+        if chunks > 1 and skew.needs_split(valid, keys, hot_rows):
+            # one narrow scan of the sequence column, before any shuffle
+            splits = sequence_splits(valid, seq, chunks)
     business = [c for c in valid.columns if c not in keys and c != seq]
     seq_type = valid.schema[seq].dataType
     ev = valid.withColumn(_CHUNK, _chunk_of(F.col(seq), seq_type, splits))

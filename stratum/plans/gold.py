@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions import days_between, flag
-from stratum.operators.cdc import current_versions
+from stratum.operators.cdc import current_versions, sequence_splits
 from stratum.operators.latest import latest_per_key
-from stratum.operators import ordered
+from stratum.operators import ordered, skew
 from stratum.operators.rank import percent_rank_global
+from stratum.session import materialize
 
 # Status literals the gold views compare against (case-sensitive).
 APPROVED_CLAIM_STATUSES = ("Assessed", "Paid")
@@ -154,7 +155,8 @@ def policy_billing_summary(invoice: DataFrame, payment: DataFrame,
                     "last_payment_date", rate.alias("payment_rate_pct"))
 
 
-def member_windows(claims: DataFrame, chunks: int = 1) -> DataFrame:
+def member_windows(claims: DataFrame, chunks: int = 1, date_splits: list[float] | None = None,
+                   charge_splits: list[float] | None = None) -> DataFrame:
     """Per-member sequence, gap, running, moving, lifetime and rank columns.
 
     ``chunks <= 1``: plain windows that share the partition key ``member_id`` so
@@ -165,9 +167,9 @@ def member_windows(claims: DataFrame, chunks: int = 1) -> DataFrame:
     """
     if chunks > 1:
         seq = ordered.sequence_windows(claims, "member_id", ("service_date", "claim_id"),
-                                       "total_charge", "total_benefit", chunks)
+                                       "total_charge", "total_benefit", chunks, date_splits)
         return ordered.rank_desc_within(seq, "member_id", "total_charge",
-                                        "member_charge_rank", chunks)
+                                        "member_charge_rank", chunks, charge_splits)
     w = Window.partitionBy("member_id").orderBy("service_date", "claim_id")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     moving3 = w.rowsBetween(-2, Window.currentRow)
@@ -191,8 +193,15 @@ def member_windows(claims: DataFrame, chunks: int = 1) -> DataFrame:
 def member_claim_activity(claim: DataFrame, claim_line: DataFrame,
                           claim_assessment: DataFrame, *,
                           distributed_percent_rank: bool = True,
-                          rank_buckets: int = 64, member_chunks: int = 16) -> DataFrame:
-    """One row per current claim with per-member trend windows and risk flags."""
+                          rank_buckets: int = 64, member_chunks: int = 16,
+                          hot_rows: int | None = None,
+                          materialize_base: bool = True) -> DataFrame:
+    """One row per current claim with per-member trend windows and risk flags.
+
+    ``materialize_base`` writes the joined per-claim frame once to the shared
+    folder: the split windows, the charge rank and the percent rank each
+    aggregate it and join back, which would otherwise re-run its joins.
+    """
     c = current_versions(claim)
     ca = latest_assessment(claim_assessment, ["outcome", "assessment_type"]).select(
         "claim_id", F.col("outcome").alias("assessment_outcome"), "assessment_type")
@@ -207,11 +216,25 @@ def member_claim_activity(claim: DataFrame, claim_line: DataFrame,
                     ca["assessment_type"], _zero_if_null("line_count").alias("line_count"),
                     days_between(c["assessment_date"], "lodgement_date").alias("days_to_assess"),
                     days_between("payment_date", c["assessment_date"]).alias("days_to_pay")))
-    enriched = member_windows(base, member_chunks)
+    if materialize_base:
+        base = materialize(base, "member-claims")
+    # Split points come from the narrow current-claims frame: a quantile pass over
+    # the joined frame would recompute all of its joins once more.  The split
+    # plan is chosen only when some member holds more than `hot_rows` claims.
+    date_splits = charge_splits = lifetime_splits = None
+    if member_chunks > 1 and not skew.needs_split(c, ["member_id"], hot_rows):
+        member_chunks = 1
+    if member_chunks > 1:
+        date_splits = sequence_splits(c, "service_date", member_chunks)
+        charge_splits = ordered.value_splits(c, "total_charge", member_chunks)
+    if distributed_percent_rank and rank_buckets > 1:
+        lifetimes = c.groupBy("member_id").agg(F.sum("total_charge").alias("__lt"))
+        lifetime_splits = ordered.value_splits(lifetimes, "__lt", rank_buckets)
+    enriched = member_windows(base, member_chunks, date_splits, charge_splits)
 
     if distributed_percent_rank:
         ranked = percent_rank_global(enriched, "member_lifetime_charge", "__pr",
-                                     buckets=rank_buckets)
+                                     buckets=rank_buckets, splits=lifetime_splits)
     else:
         ranked = enriched.withColumn(
             "__pr", F.percent_rank().over(Window.orderBy("member_lifetime_charge")))

@@ -20,7 +20,7 @@ from stratum.operators.latest import latest_per_key
 from stratum.operators.rank import percent_rank_global
 from stratum.plans import domain, gold
 
-SCD2_CHUNKS = 8
+SCD2_CHUNKS = 8   # with hot_rows=0 the split plan always runs, so the oracle checks it
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,23 +52,23 @@ def q_scd1_latest(spark, sf):
 
 def q_scd2_history(spark, sf):
     return cdc.scd2(change_log(spark, sf), "user_id", "ts", except_cols=["ts"],
-                    chunks=SCD2_CHUNKS)
+                    chunks=SCD2_CHUNKS, hot_rows=0)
 
 
 def q_scd2_partial_update(spark, sf):
     return cdc.scd2(partial_change_log(spark, sf), "user_id", "ts", partial=True,
-                    except_cols=["ts"], chunks=SCD2_CHUNKS)
+                    except_cols=["ts"], chunks=SCD2_CHUNKS, hot_rows=0)
 
 
 def q_scd2_current(spark, sf):
     hist = cdc.scd2(change_log(spark, sf), "user_id", "ts", except_cols=["ts"],
-                    chunks=SCD2_CHUNKS)
+                    chunks=SCD2_CHUNKS, hot_rows=0)
     return cdc.current_versions(hist)
 
 
 def q_scd2_composite_key(spark, sf):
     e = events(spark, sf).select("user_id", "event_type", "ts", "value", "props")
-    return cdc.scd2(e, ["user_id", "event_type"], "ts", except_cols=["ts"], chunks=SCD2_CHUNKS)
+    return cdc.scd2(e, ["user_id", "event_type"], "ts", except_cols=["ts"], chunks=SCD2_CHUNKS, hot_rows=0)
 
 
 def q_sequence_fallback(spark, sf):
@@ -81,7 +81,7 @@ def q_sequence_fallback(spark, sf):
     seq = F.coalesce(F.col("modified_at").cast("timestamp_ntz"), F.col("created_at").cast("timestamp_ntz"))
     ev = e.withColumn("_sequence_timestamp", seq).drop("modified_at", "created_at")
     return cdc.scd2(ev, "user_id", "_sequence_timestamp", except_cols=["_sequence_timestamp"],
-                    chunks=SCD2_CHUNKS)
+                    chunks=SCD2_CHUNKS, hot_rows=0)
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -291,7 +291,8 @@ def _streaming_cdc(spark, sf, scd_type, name):
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src))
     spec = flows.CdcSpec(keys=("user_id",), sequence="ts", except_cols=("ts",), scd_type=scd_type,
                          target_path=f"{root}/silver", changelog_path=f"{root}/changelog",
-                         checkpoint=f"{root}/checkpoint", key_buckets=8, seq_chunks=4)
+                         checkpoint=f"{root}/checkpoint", key_buckets=8, seq_chunks=4,
+                         hot_rows=0)
     flows.run_cdc_flow(spark, stream, spec)
     # replaying a batch changes nothing: rerun the writer for batch 0 from the log
     replay = spark.read.parquet(spec.changelog_path).where(F.col(flows.BATCH) == 0) \

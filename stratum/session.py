@@ -66,3 +66,16 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared root for one run."""
     return os.path.join(shared_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    Cuts lineage where one intermediate feeds several aggregate-and-join-back
+    branches (each branch would otherwise recompute it), and survives executor
+    loss because the files live in shared storage, unlike a local checkpoint.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, f"materialized-{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -147,6 +147,7 @@ class CdcSpec:
     except_cols: tuple[str, ...] = (SEQ,)
     key_buckets: int = 64
     seq_chunks: int = 1
+    hot_rows: int | None = None
     rules: tuple[quality.Rule, ...] = field(default_factory=tuple)
     metrics_path: str | None = None
     table: str = "table"
@@ -161,7 +162,7 @@ def _scd(spec: CdcSpec, events: DataFrame) -> DataFrame:
     if spec.scd_type == 1:
         return cdc.scd1(events, keys, spec.sequence, except_cols=spec.except_cols)
     return cdc.scd2(events, keys, spec.sequence, partial=spec.partial,
-                    except_cols=spec.except_cols, chunks=spec.seq_chunks)
+                    except_cols=spec.except_cols, chunks=spec.seq_chunks, hot_rows=spec.hot_rows)
 
 
 def rebuild_buckets(spark: SparkSession, spec: CdcSpec, buckets: list[int] | None) -> DataFrame:

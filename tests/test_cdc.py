@@ -74,9 +74,9 @@ def test_scd2_invariants_and_chunk_independence(spark, seed, partial):
     data = _random_log(seed, 4, 60)
     ev = spark.createDataFrame(data, SCHEMA)
     plain = cdc.scd2(ev, "k", "seq", partial=partial, chunks=1)
-    chunked = cdc.scd2(ev, "k", "seq", partial=partial, chunks=5)
+    chunked = cdc.scd2(ev, "k", "seq", partial=partial, chunks=5, hot_rows=0)
     shuffled = cdc.scd2(spark.createDataFrame(random.Random(seed).sample(data, len(data)), SCHEMA),
-                        "k", "seq", partial=partial, chunks=3)
+                        "k", "seq", partial=partial, chunks=3, hot_rows=0)
     p = rows(plain)
     assert p == rows(chunked) == rows(shuffled)
     by_key = {}
@@ -96,7 +96,9 @@ def test_chunked_scd2_splits_a_hot_key(spark):
     data += [(f"c{i}", dt.datetime(2024, 1, 2), "x", i) for i in range(50)]
     ev = spark.createDataFrame(data, SCHEMA)
     a = cdc.scd2(ev, "k", "seq", chunks=1)
-    b = cdc.scd2(ev, "k", "seq", chunks=16)
+    b = cdc.scd2(ev, "k", "seq", chunks=16, hot_rows=0)
+    assert rows(a) == rows(cdc.scd2(ev, "k", "seq", chunks=16, hot_rows=100))   # 400 > 100: split
+    assert rows(a) == rows(cdc.scd2(ev, "k", "seq", chunks=16))                 # small: plain
     assert rows(a) == rows(b)
     splits = cdc.sequence_splits(ev, "seq", 16)
     assert len(splits) >= 8

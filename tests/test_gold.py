@@ -66,9 +66,10 @@ def test_claim_summary_edges(spark):
 
 def test_member_claim_activity_edges(spark):
     c, l, a = fixtures(spark)
-    for distributed in (True, False):
+    for distributed, hot in ((True, 0), (False, None)):
         out = {r["claim_id"]: r for r in
-               gold.member_claim_activity(c, l, a, distributed_percent_rank=distributed, rank_buckets=3).collect()}
+               gold.member_claim_activity(c, l, a, distributed_percent_rank=distributed, rank_buckets=3,
+                                          hot_rows=hot).collect()}
         assert [out[i]["member_claim_seq"] for i in (1, 2, 3, 4)] == [1, 2, 3, 4]
         assert out[2]["days_since_prev_claim"] == 0 and out[2]["rapid_reclaim_flag"] is True
         assert out[3]["days_since_prev_claim"] == 7 and out[3]["rapid_reclaim_flag"] is False

@@ -25,7 +25,7 @@ def _run(spark, root, data, splits, partial, scd_type=2):
     spec = flows.CdcSpec(keys=("k",), sequence="seq", except_cols=("seq",), partial=partial,
                          scd_type=scd_type, target_path=f"{root}/silver",
                          changelog_path=f"{root}/log", checkpoint=f"{root}/ckpt", key_buckets=4,
-                         seq_chunks=3)
+                         seq_chunks=3, hot_rows=0)
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
     flows.run_cdc_flow(spark, stream, spec)
     return spec
