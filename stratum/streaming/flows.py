@@ -119,20 +119,55 @@ def with_processing_time(df: DataFrame) -> DataFrame:
 
 def run_append_flow(stream: DataFrame, target_path: str, checkpoint: str,
                     rules: list[quality.Rule] | None = None, name: str = "flow",
-                    timeout_s: float | None = None) -> StreamingQuery:
-    """Map-only stream to an append parquet sink; expectations observed, never dropped."""
+                    timeout_s: float | None = None,
+                    metrics_path: str | None = None) -> StreamingQuery:
+    """Map-only stream to an append parquet sink; expectations observed, never dropped.
+
+    Per micro-batch failure counts arrive in the query progress; with
+    ``metrics_path`` they are written to the metrics table (one row per batch
+    and rule, partition ``batch_id`` replaced on a re-run).
+    """
     out = stream
+    obs = f"{name}_expectations"
     if rules:
-        out = quality.observe_expectations(out, rules, f"{name}_expectations")
+        out = quality.observe_expectations(out, rules, obs)
     q = (out.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start(target_path))
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise q.exception()
+    if rules and metrics_path:
+        write_observed_metrics(stream.sparkSession, q, rules, obs, name, metrics_path)
     return q
 
 
+def observed_metric_rows(q: StreamingQuery, rules: list[quality.Rule], obs: str, table: str):
+    """``(table, batch_id, rule, passed, failed)`` from the query's progress reports.
+
+    Bounded by (micro-batches of this run) x (rules); nothing row-level."""
+    out = []
+    for p in q.recentProgress:
+        m = (p.observedMetrics or {}).get(obs)
+        if m is None:
+            continue
+        total = int(m["rows"])
+        for r in rules:
+            failed = int(m[r.name])
+            out.append((table, int(p.batchId), r.name, total - failed, failed))
+    return out
+
+
+def write_observed_metrics(spark: SparkSession, q: StreamingQuery, rules, obs, table, path) -> None:
+    rows = observed_metric_rows(q, rules, obs, table)
+    if not rows:
+        return
+    (spark.createDataFrame(rows, "table string, batch_id long, rule string, passed long, failed long")
+     .withColumn("ts", F.current_timestamp())
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(path))
+
+
 # ---------------------------------------------------------------- CDC flows
 
 @dataclass(frozen=True)
