@@ -61,3 +61,23 @@ def test_config_validation_and_bootstrap(spark, scratch):
     assert config.bootstrap(spark, cfg)                                # idempotent
     config.write_view(spark.createDataFrame([(1,)], "x int"), cfg, "v")
     assert spark.table("t_gold.v").count() == 1
+
+
+def test_sql_text_over_batch_and_stream_views(spark, scratch):
+    from stratum.sources.sql import run_sql, run_sql_file
+    path = f"{scratch}.sql"
+    with open(path, "w") as fh:
+        fh.write("WITH cur AS (SELECT * FROM {src} WHERE __END_AT IS NULL)\n"
+                 "SELECT claim_id, COUNT(*) AS line_count FROM cur GROUP BY claim_id")
+    lines = spark.createDataFrame([(1, None), (1, None), (2, dt.datetime(2024, 1, 1))],
+                                  "claim_id long, __END_AT timestamp")
+    out = run_sql_file(spark, path, {"cl": lines}, {"src": "cl"})
+    assert rows(out) == [(1, 2)]
+    src = f"{scratch}/s"
+    lines.write.parquet(src)
+    stream = spark.readStream.schema(lines.schema).parquet(src)
+    st = run_sql(spark, "SELECT claim_id FROM cl_stream WHERE __END_AT IS NULL", {"cl_stream": stream})
+    assert st.isStreaming
+    q = st.writeStream.format("memory").queryName("sql_stream_t").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert rows(spark.table("sql_stream_t")) == [(1,), (1,)]
