@@ -446,7 +446,7 @@ def replay(spark, sf, name="replay"):
         key_buckets=8, seq_chunks=4)
     for ceiling in REPLAY_CEILINGS:
         landing.run(spark, lcfg, up_to=ceiling)
-        pipeline.run_all(spark, pcfg)
+        pipeline.run_all(spark, pcfg, only=("claim_summary",))
     return pcfg
 
 

@@ -49,13 +49,16 @@ def shared_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, change logs and scratch tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names it).  Only when it is
-    unset -- local tests -- a fresh folder under the system temp dir is made
-    and recorded in the session so that later calls agree.
+    unset on a local master -- tests -- a fresh folder under the system temp dir
+    is made and recorded in the session so that later calls agree; on a cluster
+    an unset value is an error, never a machine-local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="stratum-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
