@@ -19,7 +19,7 @@ from stratum.functions import days_between, flag
 from stratum.operators.cdc import current_versions, sequence_splits
 from stratum.operators.latest import latest_per_key
 from stratum.operators import ordered, skew
-from stratum.operators.rank import percent_rank_global
+from stratum.operators.rank import percent_rank_table
 from stratum.session import materialize
 
 # Status literals the gold views compare against (case-sensitive).
@@ -222,20 +222,27 @@ def member_claim_activity(claim: DataFrame, claim_line: DataFrame,
     # Split points come from the narrow current-claims frame: a quantile pass over
     # the joined frame would recompute all of its joins once more.  The split
     # plan is chosen only when some member holds more than `hot_rows` claims.
-    date_splits = charge_splits = lifetime_splits = None
+    date_splits = charge_splits = None
     if member_chunks > 1 and not skew.needs_split(c, ["member_id"], hot_rows):
         member_chunks = 1
     if member_chunks > 1:
         date_splits = sequence_splits(c, "service_date", member_chunks)
         charge_splits = ordered.value_splits(c, "total_charge", member_chunks)
-    if distributed_percent_rank and rank_buckets > 1:
-        lifetimes = c.groupBy("member_id").agg(F.sum("total_charge").alias("__lt"))
-        lifetime_splits = ordered.value_splits(lifetimes, "__lt", rank_buckets)
     enriched = member_windows(base, member_chunks, date_splits, charge_splits)
 
     if distributed_percent_rank:
-        ranked = percent_rank_global(enriched, "member_lifetime_charge", "__pr",
-                                     buckets=rank_buckets, splits=lifetime_splits)
+        # Every claim of a member carries the member's lifetime charge, so rank the
+        # members (weighted by their claim count) and join back on member_id: the
+        # claim rows are already hash-partitioned by member from the windows.
+        charge_t = c.schema["total_charge"].dataType
+        members = c.groupBy("member_id").agg(
+            F.sum("total_charge").cast(T.DecimalType(min(38, charge_t.precision + 10), charge_t.scale))
+            .alias("__lt"),
+            F.count(F.lit(1)).alias("__claims"))
+        by_value = percent_rank_table(members, "__lt", "__pr", "__claims", buckets=rank_buckets)
+        member_pr = (members.join(by_value, members["__lt"].eqNullSafe(by_value["__lt"]), "left")
+                     .select("member_id", "__pr"))
+        ranked = enriched.join(member_pr, "member_id", "left")
     else:
         ranked = enriched.withColumn(
             "__pr", F.percent_rank().over(Window.orderBy("member_lifetime_charge")))

@@ -155,3 +155,16 @@ def test_split_member_windows_equal_plain_on_hot_member(spark):
         split = gold.member_windows(claims, chunks)
         assert sorted(split.columns) == sorted(plain.columns)
         assert rows(split, *plain.columns) == rows(plain)
+
+
+def test_weighted_percent_rank_table_equals_expanded_builtin(spark):
+    from stratum.operators.rank import percent_rank_table
+    rnd = random.Random(5)
+    members = [(m, rnd.choice([None, float(rnd.randrange(20))]), rnd.randrange(1, 6)) for m in range(120)]
+    mdf = spark.createDataFrame(members, "m int, lt double, n int")
+    expanded = spark.createDataFrame([(m, lt) for m, lt, n in members for _ in range(n)], "m int, lt double")
+    want = {r["lt"]: r["pr"] for r in
+            expanded.withColumn("pr", F.percent_rank().over(Window.orderBy("lt"))).select("lt", "pr").distinct().collect()}
+    for buckets in (1, 5):
+        got = {r["lt"]: r["pr"] for r in percent_rank_table(mdf, "lt", "pr", "n", buckets=buckets).collect()}
+        assert got == want
