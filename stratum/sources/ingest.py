@@ -49,22 +49,49 @@ class FeedSpec:
 # ---------------------------------------------------------------- schema record
 
 def _record_path(spec: FeedSpec) -> str:
-    return spec.checkpoint.rstrip("/") + "/_schema_record"
+    return spec.checkpoint.rstrip("/") + "/_schema_record.json"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def read_schema_record(spark: SparkSession, spec: FeedSpec) -> T.StructType | None:
-    try:
-        rows = spark.read.text(_record_path(spec)).collect()
-    except Exception:  # noqa: BLE001 - no record yet
+    """The feed's schema record: a small JSON file beside the checkpoint, read
+    through the Hadoop file system (any shared storage), no Spark job."""
+    p, fs = _fs(spark, _record_path(spec))
+    if not fs.exists(p):
         return None
-    if not rows:
-        return None
-    return T.StructType.fromJson(json.loads(rows[0][0]))
+    jvm = spark._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        text = "".join(iter(reader.readLine, None))
+    finally:
+        reader.close()
+    return T.StructType.fromJson(json.loads(text)) if text else None
 
 
 def _write_schema_record(spark: SparkSession, spec: FeedSpec, schema: T.StructType) -> None:
-    (spark.createDataFrame([(json.dumps(schema.jsonValue()),)], "value string")
-     .coalesce(1).write.mode("overwrite").text(_record_path(spec)))
+    p, fs = _fs(spark, _record_path(spec))
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(json.dumps(schema.jsonValue()).encode("utf-8")))
+    finally:
+        out.close()
+
+
+def bronze_schema(spark: SparkSession, spec: FeedSpec) -> T.StructType | None:
+    """Schema of the bronze rows written so far (record + rescue + lineage columns)."""
+    record = read_schema_record(spark, spec)
+    if record is None:
+        return None
+    tail = [T.StructField(RESCUED, T.StringType()), T.StructField(MONTH_COL, T.StringType()),
+            T.StructField("_source_file_path", T.StringType()),
+            T.StructField("_source_file_name", T.StringType()),
+            T.StructField("_processing_timestamp", T.TimestampType())]
+    return T.StructType(list(record.fields) + tail)
 
 
 def evolve(record: T.StructType | None, seen: T.StructType) -> T.StructType:
@@ -175,8 +202,10 @@ def ingest(spark: SparkSession, spec: FeedSpec, timeout_s: float | None = None)
         df = read_new_files(spark, paths, spec)
         data_cols = [c for c in df.columns if c not in ("_source_file_path", "_source_file_name")]
         seen = T.StructType([df.schema[c] for c in data_cols if c != MONTH_COL])
-        record = evolve(read_schema_record(spark, spec), seen)
-        _write_schema_record(spark, spec, record)
+        old = read_schema_record(spark, spec)
+        record = evolve(old, seen)
+        if old is None or record != old:
+            _write_schema_record(spark, spec, record)
         # align() keeps only record columns; carry the lineage through it
         lineage = [T.StructField("_source_file_path", T.StringType()),
                    T.StructField("_source_file_name", T.StringType())]
