@@ -185,6 +185,7 @@ class CdcSpec:
     hot_rows: int | None = None
     rules: tuple[quality.Rule, ...] = field(default_factory=tuple)
     metrics_path: str | None = None
+    rejected_path: str | None = None      # events with a NULL key or sequence, per batch
     table: str = "table"
 
 
@@ -258,6 +259,10 @@ def cdc_batch_writer(spark: SparkSession, spec: CdcSpec):
             (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(KEY_BUCKET, BATCH).parquet(spec.changelog_path))
             touched = sorted(r[0] for r in tagged.select(KEY_BUCKET).distinct().collect())
+            if spec.rejected_path:
+                (cdc.invalid_events(tagged, list(spec.keys), spec.sequence).drop(KEY_BUCKET)
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(BATCH).parquet(spec.rejected_path))
             if spec.rules and spec.metrics_path:
                 (quality.metrics_rows(tagged, list(spec.rules), spec.table, batch_id)
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

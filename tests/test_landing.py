@@ -57,3 +57,19 @@ def test_failed_month_is_not_retried_by_default(spark, scratch):
     assert landing.last_processed(spark, cfg) == "2020-01"
     landing.restart(spark, cfg)
     assert landing.last_processed(spark, cfg) is None
+
+
+def test_month_status_partial_and_failed(spark, scratch):
+    cfg = _vault(spark, scratch)
+    bad = f"{cfg.vault}/s/b/extraction_month=2020-01/broken.parquet"
+    with open(bad, "w") as fh:
+        fh.write("not parquet")
+    landing.run(spark, cfg, specific="2020-01")
+    t = {r.simulation_month: r for r in landing.read_tracker(spark, cfg).collect()}
+    assert t["2020-01"].status == "partial"              # table a moved, table b failed
+    only_b = landing.LandingConfig(f"{cfg.vault}/s_only", f"{scratch}/inc2", f"{scratch}/trk2")
+    import shutil
+    shutil.copytree(f"{cfg.vault}/s/b", f"{cfg.vault}/s_only/s/b")
+    landing.run(spark, only_b, specific="2020-01")
+    t2 = {r.simulation_month: r for r in landing.read_tracker(spark, only_b).collect()}
+    assert t2["2020-01"].status == "failed" and t2["2020-01"].total_files_transferred == 0

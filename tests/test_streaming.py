@@ -54,3 +54,16 @@ def test_stream_scd1(spark, scratch):
     spec = _run(spark, scratch, data, [list(range(0, 150)), list(range(150, 300))], False, scd_type=1)
     want = cdc.scd1(spark.createDataFrame(data, SCHEMA), "k", "seq", except_cols=["seq"])
     assert rows(flows.read_scd(spark, spec.target_path), *want.columns) == rows(want)
+
+
+def test_rejected_events_are_kept_per_batch(spark, scratch):
+    data = [("a", dt.datetime(2024, 1, 1), "x", 1), (None, dt.datetime(2024, 1, 2), "y", 2),
+            ("b", None, "z", 3)]
+    src = f"{scratch}/src"
+    spark.createDataFrame(data, SCHEMA).coalesce(1).write.parquet(src)
+    spec = flows.CdcSpec(keys=("k",), sequence="seq", except_cols=("seq",), target_path=f"{scratch}/silver",
+                         changelog_path=f"{scratch}/log", checkpoint=f"{scratch}/ckpt", key_buckets=2,
+                         rejected_path=f"{scratch}/rejected")
+    flows.run_cdc_flow(spark, spark.readStream.schema(SCHEMA).parquet(src), spec)
+    assert rows(flows.read_scd(spark, spec.target_path), "k", "a") == [("a", "x")]
+    assert rows(spark.read.parquet(spec.rejected_path), "a", flows.BATCH) == [("y", 0), ("z", 0)]
