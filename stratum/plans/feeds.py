@@ -128,3 +128,84 @@ def claim_assessment_bronze(lineitem: DataFrame) -> DataFrame:
         *_event_cols(aid, at)[:5],
         F.date_format("l_shipdate", "yyyy-MM").alias(MONTH),
     )
+
+
+def _uuid(*parts) -> "F.Column":
+    """16-byte binary id derived from the row's natural key."""
+    return F.unhex(F.md5(F.concat_ws("|", *[F.col(p).cast("string") if isinstance(p, str) else p
+                                            for p in parts])))
+
+
+def _cdc_struct(ts) -> "F.Column":
+    return F.struct(ts.alias("__cdc_timestamp_value"))
+
+
+def invoice_bronze(orders: DataFrame) -> DataFrame:
+    total = F.col("o_totalprice").cast("decimal(10,2)")
+    paid = F.when(F.col("o_orderstatus") == "F", total).otherwise(F.lit(0).cast("decimal(10,2)"))
+    day = F.to_date("o_orderdate")
+    return orders.select(
+        _uuid(F.lit("inv"), "o_orderkey").alias("invoice_id"),
+        F.concat(F.lit("INV-"), F.col("o_orderkey").cast("string")).alias("invoice_number"),
+        _uuid(F.lit("pol"), "o_custkey").alias("policy_id"),
+        day.alias("invoice_date"), F.date_add(day, 30).alias("due_date"),
+        day.alias("period_start"), F.date_add(day, 29).alias("period_end"),
+        F.when(F.col("o_orderstatus") == "F", "paid").otherwise("issued").alias("invoice_status"),
+        total.alias("gross_premium"), F.lit(0).cast("decimal(10,2)").alias("lhc_loading_amount"),
+        F.lit(0).cast("decimal(10,2)").alias("age_discount_amount"),
+        F.lit(0).cast("decimal(10,2)").alias("rebate_amount"),
+        F.lit(0).cast("decimal(10,2)").alias("other_adjustments"),
+        total.alias("net_amount"), F.lit(0).cast("decimal(10,2)").alias("gst_amount"),
+        total.alias("total_amount"), paid.alias("paid_amount"),
+        (total - paid).cast("decimal(10,2)").alias("balance_due"),
+        F.lit(0).alias("retry_attempts"), _null("date").alias("next_retry_date"),
+        (F.col("o_orderpriority") == "1-URGENT").alias("arrears_created"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+        _null("string").alias("modified_at"),
+        F.lit("loader").alias("created_by"), _null("string").alias("modified_by"),
+        _cdc_struct(F.col("o_orderdate")).alias("__START_AT"),
+        _cdc_struct(_null("timestamp_ntz")).alias("__END_AT"),
+        F.date_format("o_orderdate", "yyyy-MM").alias(MONTH),
+    )
+
+
+def payment_bronze(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    o = orders.select("o_orderkey", "o_custkey")
+    j = lineitem.join(o, lineitem["l_orderkey"] == o["o_orderkey"])
+    return j.select(
+        _uuid(F.lit("pay"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payment_id"),
+        F.concat(F.lit("PAY-"), F.col("l_orderkey").cast("string")).alias("payment_number"),
+        _uuid(F.lit("pol"), "o_custkey").alias("policy_id"),
+        _uuid(F.lit("inv"), "l_orderkey").alias("invoice_id"),
+        F.to_date("l_shipdate").alias("payment_date"),
+        F.col("l_extendedprice").cast("decimal(10,2)").alias("payment_amount"),
+        F.lit("direct_debit").alias("payment_method"),
+        F.when(F.col("l_linestatus") == "F", "Completed").otherwise("Pending").alias("payment_status"),
+        F.col("l_partkey").cast("string").alias("bank_reference"),
+        _null("string").alias("created_at"),
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("modified_at"),
+        F.lit("loader").alias("created_by"), _null("string").alias("modified_by"),
+        F.date_format("l_shipdate", "yyyy-MM").alias(MONTH),
+    )
+
+
+def benefit_usage_bronze(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    o = orders.select("o_orderkey", "o_custkey")
+    j = lineitem.join(o, lineitem["l_orderkey"] == o["o_orderkey"])
+    created = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
+    annual = F.when(F.col("l_returnflag") == "A", 150000.0).when(F.col("l_returnflag") == "R", 250000.0) \
+        .otherwise(0.0)
+    uid = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return j.select(
+        uid.alias("benefit_usage_id"),
+        F.col("o_custkey").alias("policy_id"), F.col("o_custkey").alias("member_id"),
+        F.col("l_orderkey").alias("claim_id"), F.col("l_linenumber").alias("benefit_category_id"),
+        F.year("l_shipdate").alias("benefit_year"),
+        F.unix_date(F.to_date("l_shipdate")).alias("usage_date"),
+        F.col("l_extendedprice").alias("usage_amount"), F.col("l_quantity").cast("int").alias("usage_count"),
+        annual.alias("annual_limit"), (annual - F.col("l_extendedprice")).alias("remaining_limit"),
+        F.when(F.col("l_linestatus") == "F", "Dollar").otherwise("Visits").alias("limit_type"),
+        created.alias("created_at"),
+        *_event_cols(uid, created)[:5],
+        F.date_format("l_shipdate", "yyyy-MM").alias(MONTH),
+    )
