@@ -453,3 +453,22 @@ def replay(spark, sf, name="replay"):
 def q_month_replay_gold(spark, sf):
     pcfg = replay(spark, sf, "replay-gold")
     return spark.read.parquet(pcfg.path("gold", "claim_summary"))
+
+
+def q_month_replay_billing(spark, sf):
+    """Billing feeds (binary UUIDs, full-row SCD2 flows) through landing, bronze,
+    silver and the policy billing view, in three releases."""
+    root = scratch_dir(spark, "replay-billing")
+    vault = f"{root}/vault"
+    orders, li = domain.table(spark, sf, "orders"), domain.table(spark, sf, "lineitem")
+    feeds.write_months(feeds.invoice_bronze(orders), f"{vault}/billing/invoice")
+    feeds.write_months(feeds.payment_bronze(li, orders), f"{vault}/billing/payment")
+    lcfg = landing.LandingConfig(vault, f"{root}/pipeline/incoming", f"{root}/tracker")
+    pcfg = pipeline.PipelineConfig(
+        root=f"{root}/pipeline",
+        feeds=(("billing", "invoice", "parquet"), ("billing", "payment", "parquet")),
+        key_buckets=8, seq_chunks=4, as_of=domain.AS_OF)
+    for ceiling in REPLAY_CEILINGS:
+        landing.run(spark, lcfg, up_to=ceiling)
+        pipeline.run_all(spark, pcfg, only=("policy_billing_summary",))
+    return spark.read.parquet(pcfg.path("gold", "policy_billing_summary"))
