@@ -716,4 +716,5 @@ FROM invoice_agg i LEFT JOIN payment_agg p ON i.policy_id = p.policy_id
 
 
 def billing_replay_sql() -> dict[str, str]:
-    return {"month_replay_billing": BILLING_REPLAY}
+    # the usage replay's silver rows equal the domain mapping, so the view's SQL applies
+    return {"month_replay_billing": BILLING_REPLAY, "month_replay_usage": BENEFIT_UTILIZATION}

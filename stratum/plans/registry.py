@@ -472,3 +472,22 @@ def q_month_replay_billing(spark, sf):
         landing.run(spark, lcfg, up_to=ceiling)
         pipeline.run_all(spark, pcfg, only=("policy_billing_summary",))
     return spark.read.parquet(pcfg.path("gold", "policy_billing_summary"))
+
+
+def q_month_replay_usage(spark, sf):
+    """Benefit-usage append flow (epoch days, money casts) and the claim CDC flow
+    through landing, bronze and silver into the benefit utilization view."""
+    root = scratch_dir(spark, "replay-usage")
+    vault = f"{root}/vault"
+    orders, li = domain.table(spark, sf, "orders"), domain.table(spark, sf, "lineitem")
+    feeds.write_months(feeds.claim_bronze(orders), f"{vault}/claim/claim")
+    feeds.write_months(feeds.benefit_usage_bronze(li, orders), f"{vault}/claim/benefit_usage")
+    lcfg = landing.LandingConfig(vault, f"{root}/pipeline/incoming", f"{root}/tracker")
+    pcfg = pipeline.PipelineConfig(
+        root=f"{root}/pipeline",
+        feeds=(("claim", "claim", "parquet"), ("claim", "benefit_usage", "parquet")),
+        key_buckets=8, seq_chunks=4)
+    for ceiling in REPLAY_CEILINGS:
+        landing.run(spark, lcfg, up_to=ceiling)
+        pipeline.run_all(spark, pcfg, only=("benefit_utilization",))
+    return spark.read.parquet(pcfg.path("gold", "benefit_utilization"))
