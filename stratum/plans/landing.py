@@ -140,6 +140,7 @@ def release(spark: SparkSession, cfg: LandingConfig, month_list: list[str],
     """Release ``month_list`` for every table that has files; returns the tracker rows."""
     inv = inventory(spark, cfg.vault) if inv is None else inv
     inv = inv.persist()
+    # bounded metadata: one row per table folder, one per calendar month below
     all_tables = [(r.schema_name, r.table_name) for r in tables(inv).orderBy("schema_name", "table_name").collect()]
     chosen = inv.where(F.col("month").isin(month_list))
     have = chosen.select("schema_name", "table_name", "month").distinct()

@@ -196,6 +196,7 @@ def ingest(spark: SparkSession, spec: FeedSpec, timeout_s: float | None = None)
     stats = {"batches": 0, "files": 0}
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        # file paths of this micro-batch only: at most max_files_per_trigger names
         paths = sorted(r.path for r in batch.select("path").collect())
         if not paths:
             return
