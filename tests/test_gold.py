@@ -168,3 +168,16 @@ def test_weighted_percent_rank_table_equals_expanded_builtin(spark):
     for buckets in (1, 5):
         got = {r["lt"]: r["pr"] for r in percent_rank_table(mdf, "lt", "pr", "n", buckets=buckets).collect()}
         assert got == want
+
+
+def test_split_member_windows_with_double_amounts(spark):
+    rnd = random.Random(3)
+    data = [(i, 1 if i < 150 else rnd.randrange(2, 9), d(2024, 1, 1) + dt.timedelta(days=rnd.randrange(60)),
+             None if rnd.random() < 0.05 else float(rnd.randrange(1, 500)), float(rnd.randrange(0, 50)))
+            for i in range(250)]
+    claims = spark.createDataFrame(
+        data, "claim_id long, member_id long, service_date date, total_charge double, total_benefit double")
+    plain = gold.member_windows(claims, 1)
+    split = gold.member_windows(claims, 8)
+    norm = lambda rs: [tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in rs]
+    assert norm(rows(split, *plain.columns)) == norm(rows(plain))
