@@ -12,7 +12,8 @@ def spark():
     from stratum.session import build_session
     root = tempfile.mkdtemp(prefix="stratum-tests-")
     s = build_session("local[4]", app="stratum-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": root})
+                      extra={"spark.checkpoint.dir": root,
+                             "spark.sql.warehouse.dir": f"{root}/warehouse"})
     yield s
     s.stop()
 
