@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.llm import langid
+from stratum.llm import langid, toxicity
 from stratum.llm.common import id_remainder, table
 
 
@@ -16,7 +16,15 @@ def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "prediction.*")
 
 
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = id_remainder("doc_id", 3) == 1
+    tagger = toxicity.train(docs, table(spark, sf, "labels"), ~held_out)
+    return toxicity.tag(docs.select("doc_id", "text"), tagger).select("doc_id", held_out.alias("held_out"), "toxicity.*")
+
+
 QUERIES = {
+    "op10_toxicity": op10_toxicity,
     "op3_language_id": op3_language_id,
 }
 
