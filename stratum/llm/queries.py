@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.llm import langid, toxicity
+from stratum.llm import langid, simhash, toxicity
 from stratum.llm.common import id_remainder, table
 
 
@@ -16,6 +16,10 @@ def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "prediction.*")
 
 
+def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"), shingle=4, max_bits=4)
+
+
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     held_out = id_remainder("doc_id", 3) == 1
@@ -24,6 +28,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op10_toxicity": op10_toxicity,
     "op3_language_id": op3_language_id,
 }
