@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.llm.common import Scratch, table
-from stratum.llm.stages import keep_known_languages
+from stratum.llm.stages import drop_toxic, keep_known_languages, one_of_each_class, pack_sequences, sample_mixture
 
 # (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame
 STAGES = [
     ("language_id", keep_known_languages),
+    ("toxicity", drop_toxic),
+    ("near_duplicates", one_of_each_class),
+    ("mixing", sample_mixture),
+    ("packing", pack_sequences),
 ]
 
 ORACLE_SQL = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.llm import langid, simhash, toxicity
+from stratum.llm import langid, mixing, packing, simhash, toxicity
 from stratum.llm.common import id_remainder, table
 
 
@@ -20,6 +20,15 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"), shingle=4, max_bits=4)
 
 
+def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     held_out = id_remainder("doc_id", 3) == 1
@@ -31,6 +40,8 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op10_toxicity": op10_toxicity,
     "op3_language_id": op3_language_id,
+    "op5_mixing": op5_mixing,
+    "op6_packing": op6_packing,
 }
 
 
