@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.llm import langid, mixing, packing, simhash, toxicity
+from stratum.llm import embed_join, langid, line_rules, mixing, packing, simhash, toxicity
 from stratum.llm.common import id_remainder, table
 
 
@@ -20,6 +20,10 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"), shingle=4, max_bits=4)
 
 
+def op4_embedding_join(spark: SparkSession, sf: str) -> DataFrame:
+    return embed_join.near_duplicates(table(spark, sf, "embeddings"), threshold=0.93)
+
+
 def op5_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
@@ -29,6 +33,10 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
 
+def op9_line_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return line_rules.judge(table(spark, sf, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     held_out = id_remainder("doc_id", 3) == 1
@@ -38,10 +46,12 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
-    "op10_toxicity": op10_toxicity,
     "op3_language_id": op3_language_id,
+    "op4_embedding_join": op4_embedding_join,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
+    "op9_line_rules": op9_line_rules,
+    "op10_toxicity": op10_toxicity,
 }
 
 
