@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.llm import embed_join, langid, line_rules, mixing, packing, quality, simhash, toxicity
+from stratum.llm import embed_join, html_text, langid, line_rules, mixing, packing, quality, simhash, toxicity
 from stratum.llm.common import id_remainder, table
 
 
@@ -33,6 +33,11 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
 
+def op7_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    pages = html_text.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
     held_out = id_remainder("doc_id", 3) == 1
     scored = quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"), ~held_out)
@@ -56,6 +61,7 @@ QUERIES = {
     "op4_embedding_join": op4_embedding_join,
     "op5_mixing": op5_mixing,
     "op6_packing": op6_packing,
+    "op7_html_text": op7_html_text,
     "op8_quality": op8_quality,
     "op9_line_rules": op9_line_rules,
     "op10_toxicity": op10_toxicity,
