@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.llm import embed_join, html_text, langid, line_rules, mixing, packing, quality, simhash, toxicity
+from stratum.llm import embed_join, html_text, langid, line_rules, mixing, packing, quality, simhash, toxicity, warc
 from stratum.llm.common import id_remainder, table
 
 
@@ -20,6 +20,12 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"), shingle=4, max_bits=4)
 
 
+def op2_warc(spark: SparkSession, sf: str) -> DataFrame:
+    manifest = warc.archived(table(spark, sf, "pages"))
+    return warc.read_archives(manifest, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "archive", "offset")
+
+
 def op4_embedding_join(spark: SparkSession, sf: str) -> DataFrame:
     return embed_join.near_duplicates(table(spark, sf, "embeddings"), threshold=0.93)
 
@@ -57,6 +63,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_warc": op2_warc,
     "op3_language_id": op3_language_id,
     "op4_embedding_join": op4_embedding_join,
     "op5_mixing": op5_mixing,
