@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.llm import embed_join, html_text, langid, line_rules, mixing, packing, quality, simhash, toxicity, warc
+from stratum.llm import embed_join, html_text, langid, line_rules, mixing, oracle, packing, quality, simhash, toxicity, warc
 from stratum.llm.common import id_remainder, table
 
 
@@ -23,7 +23,7 @@ def op1_simhash(spark: SparkSession, sf: str) -> DataFrame:
 def op2_warc(spark: SparkSession, sf: str) -> DataFrame:
     manifest = warc.archived(table(spark, sf, "pages"))
     return warc.read_archives(manifest, with_payload=False).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "archive", "offset")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
 def op4_embedding_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,4 +76,4 @@ QUERIES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.sql()
