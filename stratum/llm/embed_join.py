@@ -64,7 +64,7 @@ def choose_pivots(vectors: DataFrame) -> dict[str, np.ndarray]:
     wanted = F.broadcast(spark.createDataFrame([(g, w, s) for g, (w, s) in share.items()], "grp string, want int, share double"))
     draw = F.pmod(F.xxhash64("first", F.lit(17)), F.lit(1 << 40)) / float(1 << 40)
     # twice the share, so that enough are found; then the lowest draws of each group
-    rows = vectors.join(wanted, "grp").withColumn("draw", draw).where(F.col("draw") < 2 * F.col("share")).select("grp", "draw", "want", "vector").toPandas()
+    rows = vectors.join(wanted, "grp").withColumn("draw", draw).where(F.col("draw") < 2 * F.col("share")).select("grp", "draw", "want", "vector").toArrow().to_pandas()
     out = {}
     for grp, own in rows.sort_values(["grp", "draw"]).groupby("grp"):
         own = own.head(int(own["want"].iloc[0]))

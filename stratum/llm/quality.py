@@ -192,7 +192,7 @@ def classify(docs: DataFrame, labels: DataFrame, learn: Column, *, id: str = "do
               .groupBy(F.col(id).alias("id")).agg((F.min(label) > 0).cast("int").alias("y")))
     few = marked.orderBy(F.xxhash64("id", F.lit(13)), "id").limit(sample_docs)
     # at most sample_docs ids
-    rows = own.join(F.broadcast(few), "id").select("id", "figures", "y").toPandas().sort_values("id")
+    rows = own.join(F.broadcast(few), "id").select("id", "figures", "y").toArrow().to_pandas().sort_values("id")
     x = np.array(rows["figures"].tolist(), np.float64).reshape(len(rows), len(FEATURES))
     held = spark.sparkContext.broadcast(fit(x, rows["y"].to_numpy(np.float64), **options))
 

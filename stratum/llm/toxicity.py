@@ -184,18 +184,25 @@ def _labelled(docs: list[list[list[str]]], toxic: np.ndarray, share: float, lift
     A feature counts once for each different word before it, so that copies of one text
     don't make their words look like markers.
     """
-    seen = [defaultdict(set), defaultdict(set)]
-    for d, (parts, label) in enumerate(zip(docs, toxic)):
-        done, before = set(), ""
-        for raw in parts:
-            for p in raw:
-                if p not in done:
-                    done.add(p)
-                    for f in _features(p):
-                        seen[label][f].add(before)
-                before = p
     n0, n1 = max(int((toxic == 0).sum()), 1), max(int((toxic == 1).sum()), 1)
-    marks = {f for f, k in seen[1].items() if len(k) >= max(4, share * n1) and len(k) / n1 >= lift * (len(seen[0].get(f, ())) + 0.5) / n0}
+
+    def before(of: int, only: set[str] | None) -> dict[str, set[str]]:
+        seen = defaultdict(set)
+        for parts, label in zip(docs, toxic):
+            if label == of:
+                done, last = set(), ""
+                for p in chain.from_iterable(parts):
+                    if p not in done:
+                        done.add(p)
+                        for f in _features(p):
+                            if only is None or f in only:
+                                seen[f].add(last)
+                    last = p
+        return seen
+
+    often = {f: len(k) for f, k in before(1, None).items() if len(k) >= max(4, share * n1)}
+    clean = before(0, set(often))
+    marks = {f for f, k in often.items() if k / n1 >= lift * (len(clean.get(f, ())) + 0.5) / n0}
     marked: dict[str, bool] = {}
 
     def is_marked(p: str) -> bool:
@@ -219,11 +226,13 @@ def fit(texts: list[str], toxic: np.ndarray, prior: float, *, marker_share: floa
     parts = [_parts(w) for w in types]
     labels = _labelled([[parts[i] for i in own] for own in index], toxic, marker_share, marker_lift)
     # while fitting, a raw word has the features of all its parts; most have one; features of one raw word only are left out
-    found = [set(f for p in ps for f in _features(p)) for ps in parts]
-    often = Counter(f for own in found for f in own)
+    often = Counter(f for ps in parts for p in ps for f in _features(p))
     names = {f: i for i, f in enumerate(f for f, k in often.items() if k > 1)}
-    features = [np.array([names[f] for f in own if f in names], np.int64) for own in found]
+    del often
+    features = [np.array(sorted({names[f] for p in ps for f in _features(p) if f in names}), np.int32) for ps in parts]
     flat_features, owner = np.concatenate(features), np.repeat(np.arange(len(features)), [len(f) for f in features])
+    kinds = len(features)
+    del features, parts
     weights, bias = np.zeros(len(names)), -3.0
     lengths = np.array([len(w) for w in words], np.int64)
     token, label = np.concatenate(index), np.concatenate(labels).astype(np.float64)
@@ -237,9 +246,9 @@ def fit(texts: list[str], toxic: np.ndarray, prior: float, *, marker_share: floa
     b1 = b2 = 0.0
     scale = 1 / max(label.sum(), 1)
     for step in range(1, rounds + 1):
-        scores = (bias + np.bincount(owner, weights[flat_features], len(features)))[token]
+        scores = (bias + np.bincount(owner, weights[flat_features], kinds))[token]
         marginals, expected, _ = laid.marginals(scores, transitions, counts=True)
-        by_type = np.bincount(token, label - marginals, len(features))
+        by_type = np.bincount(token, label - marginals, kinds)
         gradient = scale * np.bincount(flat_features, by_type[owner], len(weights)) - l2 * weights
         g2 = scale * (observed - expected) - l2 * transitions
         m1, m2 = 0.9 * m1 + 0.1 * gradient, 0.99 * m2 + 0.01 * gradient ** 2
@@ -250,7 +259,7 @@ def fit(texts: list[str], toxic: np.ndarray, prior: float, *, marker_share: floa
         weights = weights + 0.15 * (m1 / c1) / (np.sqrt(m2 / c2) + 1e-8)
         transitions = transitions + 0.15 * (t1 / c1) / (np.sqrt(t2 / c2) + 1e-8)
         bias += 0.15 * (b1 / c1) / (np.sqrt(b2 / c2) + 1e-8)
-    scores = (bias + np.bincount(owner, weights[flat_features], len(features)))[token]
+    scores = (bias + np.bincount(owner, weights[flat_features], kinds))[token]
     marginals = laid.marginals(scores, transitions)
     clean = np.repeat(toxic == 0, lengths)
     tagger = Tagger({f: float(weights[i]) for f, i in names.items()}, float(bias), transitions, float(marginals[clean].sum() / max(clean.sum(), 1)), np.zeros(EVIDENCE + 1))
@@ -286,7 +295,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: float, l2: float = 1e-3) -> n
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, *, id: str = "doc_id", text: str = "text", label: str = "toxic",
-          sample_docs: int = 800, **options) -> Tagger:
+          sample_docs: int = 600, **options) -> Tagger:
     """Fit on at most ``sample_docs`` labelled documents of each class, those of the smallest id hashes.
 
     Only label rows where ``learn`` holds are read; null ids and labels are left out, several
@@ -302,7 +311,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, id: str = "doc_i
         return fit([], np.zeros(0, np.int64), prior)
     # at most 2 * sample_docs rows
     few = F.broadcast(spark.createDataFrame(picked, own.schema))
-    rows = docs.join(few, F.col(id) == few["id"]).select(F.col(id).alias("id"), "toxic", F.coalesce(F.col(text), F.lit("")).alias("text")).toPandas()
+    rows = docs.join(few, F.col(id) == few["id"]).select(F.col(id).alias("id"), "toxic", F.coalesce(F.col(text), F.lit("")).alias("text")).toArrow().to_pandas()
     rows = rows.drop_duplicates("text").sort_values(["id", "text"])
     return fit(rows["text"].tolist(), rows["toxic"].to_numpy(np.int64), prior, **options)
 
