@@ -214,7 +214,8 @@ def write_archives(records: DataFrame, folder: str, level: int = 3) -> DataFrame
                     path = f"{folder}/{part:06d}-{len(done):04d}-{uuid.uuid4().hex[:12]}.warc.zst"
                     fs, at = _open(path)
                     fs.create_dir(at.rpartition("/")[0], recursive=True)
-                    writer = Writer(fs.open_output_stream(at), level)
+                    # as they are: the name's ending must not make the stream compress again
+                    writer = Writer(fs.open_output_stream(at, compression=None), level)
                 page_id, url, payload, digest_, refers_to, revisit = (x.as_py() for x in row)
                 writer.add(record_bytes(page_id, url, payload, digest_, refers_to, revisit))
                 if writer.size >= ARCHIVE:
@@ -240,7 +241,7 @@ def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
             for i, path in enumerate(b.column("path").to_pylist()):
                 rows, held, total = [], 0, 0
                 fs, at = _open(path)
-                with fs.open_input_stream(at) as stream:
+                with fs.open_input_stream(at, compression=None) as stream:
                     for offset, data in read_frames(stream, path):
                         r = parse_record(data, f"{path}+{offset}")
                         f = r["fields"]

@@ -82,6 +82,10 @@ def test_pages_round_trip(spark):
         revisit = i is not None and i != f
         want.append((i or 0, "revisit" if revisit else "response", f if revisit else None, len(body), W.digest(body), None if revisit else body))
     assert [(*g[:5], None if g[5] is None else bytes(g[5])) for g in got] == sorted(want, key=str)
+    for r in manifest.collect():
+        with open(r["path"].removeprefix("file://"), "rb") as f:
+            data = f.read()
+        assert len(data) == r["bytes"] and sum(1 for _ in W.read_frames(io.BytesIO(data), "a")) == r["records"]
     assert W.read_archives(W.archived(df.limit(0))).count() == 0
     assert df.select(W.base32_sha1(F.lit(b"abc")).alias("x")).first()["x"] == W.digest(b"abc")
     only_long = W.archived(df, least_bytes=10)
