@@ -81,7 +81,7 @@ def sequence_splits(events: DataFrame, seq: str, chunks: int,
     if chunks <= 1:
         return []
     probs = [i / chunks for i in range(1, chunks)]
-    num = events.select(_seq_number(F.col(seq), events.schema[seq].dataType).alias("s"))
+    num = events.select(_seq_number(F.col(seq), events.schema[seq].dataType).cast("double").alias("s")).where("s IS NOT NULL")
     qs = num.approxQuantile("s", probs, rel_error)
     return sorted(set(float(q) for q in qs if q is not None))
 
@@ -95,17 +95,24 @@ def _seq_number(c: Column, dtype) -> Column:
         return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
     if name == "date":
         return F.unix_date(c).cast("long")
+    if name in ("string", "binary", "char", "varchar"):
+        # the first six bytes as a number: rises with the text's byte order, which Spark sorts by
+        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    if name == "struct":                    # sorted by its first field before all others
+        return _seq_number(c[dtype.fields[0].name], dtype.fields[0].dataType)
     return c.cast("double")
 
 
 def _chunk_of(c: Column, dtype, splits: list[float]) -> Column:
-    """Index of the sequence range a value falls into (binary search, JVM side)."""
+    """Index of the sequence range a value falls into (binary search, JVM side).
+
+    NULL, which Spark sorts first, has the leading range -1."""
     if not splits:
         return F.lit(0)
     num = _seq_number(c, dtype).cast("double")
     # array_position over a sorted literal array is linear; a balanced CASE tree
     # keeps it logarithmic and stays inside whole-stage codegen.
-    return _bsearch(num, splits, 0, len(splits))
+    return F.when(num.isNull(), F.lit(-1)).otherwise(_bsearch(num, splits, 0, len(splits)))
 
 
 def _bsearch(x: Column, splits: list[float], lo: int, hi: int) -> Column:

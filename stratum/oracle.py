@@ -222,9 +222,10 @@ POLICY_BILLING_SUMMARY = _billing(_PAID, "o_orderstatus = 'O' AND o_orderpriorit
                                   f"'amount': {_CHARGE}, 'state': {_STATE}, 'bank': CAST(l_partkey AS VARCHAR)")
 
 # Members as sorted lists: an element's neighbours, prefixes and rank come from its place in the list.
-_MEMBERS = f"""
-own AS (SELECT o_custkey AS m, o_orderkey AS id, {_DAY} AS d, {_money('o_totalprice')} AS x, {_OF_ORDER['total_benefit']} AS b FROM orders),
-lists AS (SELECT m, list({{'d': d, 'id': id, 'x': x, 'b': b}} ORDER BY d, id) AS l, sum(x) AS life, count(*) AS n FROM own GROUP BY m),
+def _members(member: str, day: str) -> str:
+    return f"""
+own AS (SELECT {member} AS m, o_orderkey AS id, {day} AS d, {_money('o_totalprice')} AS x, {_OF_ORDER['total_benefit']} AS b FROM orders),
+lists AS (SELECT m, list({{'d': d, 'id': id, 'x': x, 'b': b}} ORDER BY d NULLS FIRST, id) AS l, sum(x) AS life, count(*) AS n FROM own GROUP BY m),
 placed AS (SELECT m, l, life, n, unnest(range(1, n + 1)) AS i FROM lists),
 member AS (
   SELECT m, l[i].id AS id, l[i].x AS x, life, n, i::INTEGER AS member_claim_seq,
@@ -240,6 +241,9 @@ member AS (
 gaps AS (SELECT *, if(i > 1, before_, NULL) AS days_since_prev_claim, if(i < n, after_, NULL) AS days_to_next_claim FROM member),
 below AS (SELECT a.life, coalesce((SELECT sum(n) FROM lists b WHERE b.life < a.life), 0) AS rows FROM (SELECT DISTINCT life FROM lists) a)"""
 
+
+_MEMBERS = _members("o_custkey", _DAY)
+
 MEMBER_CLAIM_ACTIVITY = f"""
 WITH {_VERSION}, {_PER_CLAIM}, {_VERDICT}, {_MEMBERS}
 SELECT {_order()}, concat('PRV-', o_custkey) AS provider_id, NULL::VARCHAR AS hospital_id, a.said AS assessment_outcome, a.kind AS assessment_type,
@@ -406,6 +410,8 @@ def operator_sql() -> dict[str, str]:
         "epoch_conversion": EPOCH_CONVERSION,
         "expectation_counts": _quality_sql(),
         "expectation_passthrough": f"WITH {CLAIM_ASSESSMENT} SELECT * FROM claim_assessment",
+        "member_windows_nulls": "WITH " + _members("if(o_orderkey % 7 <> 0, o_custkey, NULL)", f"if(o_orderkey % 5 <> 0, {_DAY}, NULL)")
+        + "\nSELECT id AS claim_id, m AS member_id, * EXCLUDE (m, id, x, life, n, i, before_, after_) FROM gaps",
         "member_sequence_gaps": _from_windows(
             "id AS claim_id, m AS member_id, member_claim_seq, days_since_prev_claim, days_to_next_claim"),
         "running_totals": _from_windows(

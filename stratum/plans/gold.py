@@ -241,8 +241,9 @@ def member_claim_activity(claim: DataFrame, claim_line: DataFrame,
             F.count(F.lit(1)).alias("__claims"))
         by_value = percent_rank_table(members, "__lt", "__pr", "__claims", buckets=rank_buckets)
         member_pr = (members.join(by_value, members["__lt"].eqNullSafe(by_value["__lt"]), "left")
-                     .select("member_id", "__pr"))
-        ranked = enriched.join(member_pr, "member_id", "left")
+                     .select(members["member_id"].alias("__m"), "__pr"))
+        # null-safe: claims without a member are a group of their own
+        ranked = enriched.join(member_pr, F.col("member_id").eqNullSafe(F.col("__m")), "left").drop("__m")
     else:
         ranked = enriched.withColumn(
             "__pr", F.percent_rank().over(Window.orderBy("member_lifetime_charge")))

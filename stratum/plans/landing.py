@@ -11,11 +11,13 @@ Layout: ``<root>/<schema>/<table>/extraction_month=YYYY-MM/<files>``.
 * :func:`months_to_process` explicit month (wins, no already-done check), or all
                            unprocessed months up to a ceiling (string order), or
                            the next month
-* :func:`release`          copies the chosen months of every table that has them
-                           (one read/write job per table for all months, dynamic
-                           partition overwrite -> re-running a month is idempotent)
-                           and writes one tracker row per month, replacing that
-                           month's earlier row
+* :func:`release`          copies the files of the chosen months, byte for byte and
+                           under their names, one file per row of a distributed copy;
+                           files that lie in the incoming area with the same name and
+                           size are not copied again, so late files of a month arrive
+                           and nothing arrives twice.  A file that cannot be copied is
+                           recorded and the others go on.  One tracker row per month,
+                           replacing that month's earlier row
 * :func:`dry_run_listing`, :func:`tracker_history`, :func:`tracker_overview`,
   :func:`reset_month`, :func:`restart`
 """
@@ -24,12 +26,18 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.session import materialize
+
 MONTH = "extraction_month"
 
 # Tracker table schema.
@@ -50,7 +58,12 @@ class LandingConfig:
     vault: str                 # source root
     incoming: str              # target root
     tracker: str               # tracker table location
-    formats: dict | None = None  # (schema, table) -> format; default parquet
+    formats: dict | None = None  # (schema, table) -> format, for readers; copies do not need it
+
+    @property
+    def errors(self) -> str:
+        """Table of the files that could not be copied, one partition per month."""
+        return _strip(self.tracker) + "_errors"
 
 
 def _strip(p: str) -> str:
@@ -87,10 +100,18 @@ def months(inv: DataFrame) -> DataFrame:
 
 
 def read_tracker(spark: SparkSession, cfg: LandingConfig) -> DataFrame:
-    try:
-        return spark.read.schema(TRACKER_SCHEMA).parquet(cfg.tracker)
-    except Exception:  # noqa: BLE001 - not created yet
+    """Tracker rows; none before the first release.  A tracker that cannot be read is an error."""
+    if not _fs_exists(spark, cfg.tracker):
         return spark.createDataFrame([], TRACKER_SCHEMA)
+    return spark.read.schema(TRACKER_SCHEMA).parquet(cfg.tracker).select(*[f.name for f in TRACKER_SCHEMA.fields])
+
+
+def read_errors(spark: SparkSession, cfg: LandingConfig) -> DataFrame:
+    """month, schema_name, table_name, name, error of the files that the last release of their month could not copy."""
+    schema = "schema_name string, table_name string, name string, error string, month string"
+    if not _fs_exists(spark, cfg.errors):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(cfg.errors)
 
 
 def last_processed(spark: SparkSession, cfg: LandingConfig, only_success: bool = False) -> str | None:
@@ -123,94 +144,95 @@ def months_to_process(spark: SparkSession, cfg: LandingConfig, inv: DataFrame,
     return [nxt] if nxt else []
 
 
-def _fmt(cfg: LandingConfig, schema: str, table: str) -> str:
-    return (cfg.formats or {}).get((schema, table), "parquet")
+def _uri(path: str) -> str:
+    """A Hadoop path as a worker's file system library writes it."""
+    return re.sub(r"^file:/+", "file:///", re.sub("^s3a:", "s3:", path))
+
+
+def _copy_file(source: str, folder: str, name: str) -> None:
+    """Byte copy under a hidden name, then a rename: readers never see part of a file."""
+    fs, src = pyarrow.fs.FileSystem.from_uri(_uri(source))
+    to, dst = pyarrow.fs.FileSystem.from_uri(_uri(folder))
+    to.create_dir(dst, recursive=True)
+    part = f"{dst}/._{uuid.uuid4().hex}"
+    with fs.open_input_stream(src, compression=None) as i, to.open_output_stream(part, compression=None) as o:
+        while data := i.read(8 << 20):
+            o.write(data)
+    to.move(part, f"{dst}/{name}")
+
 
+def _copy(files: DataFrame, incoming: str) -> DataFrame:
+    """schema_name, table_name, month, name, bytes, error (null: copied) of each file."""
+    root = _strip(incoming)
 
-def _read_months(spark, fmt, path, month_list):
-    r = spark.read.format(fmt)
-    if fmt == "csv":
-        r = r.option("header", True)
-    # load only the chosen month folders: inference and listing touch nothing else
-    return r.option("basePath", path).load([f"{path}/{MONTH}={m}" for m in month_list])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            errors = []
+            for r in b.to_pylist():
+                try:
+                    _copy_file(r["path"], f"{root}/{r['schema_name']}/{r['table_name']}/{MONTH}={r['month']}", r["name"])
+                    errors.append(None)
+                except (OSError, pa.ArrowException) as e:    # this file only; recorded in the error table
+                    errors.append(f"{type(e).__name__}: {e}")
+            names = [n for n in b.schema.names if n != "path"]
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(errors, pa.string())], names=[*names, "error"])
+
+    return files.select("path", "schema_name", "table_name", "month", "name", "bytes").mapInArrow(
+        run, "schema_name string, table_name string, month string, name string, bytes bigint, error string")
+
+
+def _named(inv: DataFrame) -> DataFrame:
+    return inv.withColumn("name", F.element_at(F.split("path", "/"), -1))
 
 
 def release(spark: SparkSession, cfg: LandingConfig, month_list: list[str],
             inv: DataFrame | None = None, now: _dt.datetime | None = None) -> DataFrame:
-    """Release ``month_list`` for every table that has files; returns the tracker rows."""
+    """Release ``month_list`` for every table that has files; returns the tracker rows.
+
+    The tracker counts the vault's files of the month that lie in the incoming area after
+    the run.  A month is ``success`` if all of them do, ``failed`` if none, else ``partial``.
+    """
     inv = inventory(spark, cfg.vault) if inv is None else inv
-    inv = inv.persist()
-    # bounded metadata: one row per table folder, one per calendar month below
-    all_tables = [(r.schema_name, r.table_name) for r in tables(inv).orderBy("schema_name", "table_name").collect()]
-    chosen = inv.where(F.col("month").isin(month_list))
-    have = chosen.select("schema_name", "table_name", "month").distinct()
-    errors: dict[tuple[str, str], str] = {}
-    for schema, table in all_tables:
-        tm = [r[0] for r in have.where((F.col("schema_name") == schema) & (F.col("table_name") == table))
-              .select("month").collect()]
-        if not tm:
-            continue  # a month with no folder for a table is a skip, not an error
-        src = f"{_strip(cfg.vault)}/{schema}/{table}"
-        dst = f"{_strip(cfg.incoming)}/{schema}/{table}"
-        fmt = _fmt(cfg, schema, table)
-        # A month already delivered is not delivered again: downstream file
-        # tracking would see new file names and take its rows twice.
-        tm = [m for m in tm if not _fs_exists(spark, f"{dst}/{MONTH}={m}")]
-        if not tm:
-            continue
-        try:
-            df = _read_months(spark, fmt, src, tm).withColumn(MONTH, F.col(MONTH).cast("string"))
-            w = (df.write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH))
-            if fmt == "csv":
-                w = w.option("header", True)
-            w.format(fmt).save(dst)
-        except Exception as e:  # noqa: BLE001 - recorded in the month's status
-            errors[(schema, table)] = str(e)[:500]
-
-    n_tables = len(all_tables)
-    failed = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(t).alias("t")) for (s, t) in errors]) \
-        if errors else F.array().cast("array<struct<s:string,t:string>>")
-    per_table = (chosen.groupBy("month", "schema_name", "table_name")
-                 .agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"))
-                 .withColumn("ok", ~F.array_contains(failed, F.struct(F.col("schema_name").alias("s"),
-                                                                     F.col("table_name").alias("t")))))
+    chosen = materialize(_named(inv.where(F.col("month").isin(month_list))), "landing-files")
+    key = ["schema_name", "table_name", "month", "name", "bytes"]
+    todo = chosen
+    if _fs_exists(spark, cfg.incoming):
+        todo = chosen.join(_named(inventory(spark, cfg.incoming)).select(*key).distinct(), key, "left_anti")
+    # each file once, dealt out evenly; the result is written, so no file is copied again when rows are read twice
+    parts = spark.sparkContext.defaultParallelism * 4
+    done = materialize(_copy(todo.repartition(parts, "path"), cfg.incoming), "landing-copied")
+    failed = done.where(F.col("error").isNotNull())
+    state = chosen.join(failed.select(*key, F.lit(True).alias("bad")), key, "left").withColumn("ok", F.col("bad").isNull())
+    n_tables = tables(inv).count()
+    per_table = (state.groupBy("month", "schema_name", "table_name")
+                 .agg(F.count_if("ok").alias("files"), F.sum(F.when(F.col("ok"), F.col("bytes")).otherwise(0)).alias("bytes"),
+                      F.count_if(~F.col("ok")).alias("errors")))
     stamp = F.lit(now) if now is not None else F.current_timestamp()
     rows = (spark.createDataFrame([(m,) for m in month_list], "simulation_month string")
             .join(per_table.withColumnRenamed("month", "simulation_month"), "simulation_month", "left")
             .groupBy("simulation_month").agg(
-                F.count("table_name").alias("with_files"),
-                F.sum(F.when(F.col("ok"), F.col("files")).otherwise(0)).alias("files_ok"),
-                F.sum(F.when(F.col("ok"), F.col("bytes")).otherwise(0)).alias("bytes_ok"),
-                F.count_if(~F.col("ok")).alias("errors"))
+                F.count("table_name").alias("with_files"), F.sum("files").alias("files"),
+                F.sum("bytes").alias("bytes"), F.coalesce(F.sum("errors"), F.lit(0)).alias("errors"))
             .select(
                 "simulation_month",
                 F.lit(n_tables).cast("int").alias("total_tables_found"),
                 F.col("with_files").cast("int").alias("tables_with_files"),
                 (F.lit(n_tables) - F.col("with_files")).cast("int").alias("tables_skipped"),
-                F.coalesce("files_ok", F.lit(0)).cast("int").alias("total_files_transferred"),
-                F.coalesce("bytes_ok", F.lit(0)).cast("long").alias("total_bytes_transferred"),
+                F.coalesce("files", F.lit(0)).cast("int").alias("total_files_transferred"),
+                F.coalesce("bytes", F.lit(0)).cast("long").alias("total_bytes_transferred"),
                 stamp.cast("timestamp").alias("last_updated"),
-                F.when(F.col("errors") > 0,
-                       F.when(F.col("files_ok") > 0, "partial").otherwise("failed"))
+                F.when(F.col("errors") > 0, F.when(F.col("files") > 0, "partial").otherwise("failed"))
                 .otherwise("success").alias("status")))
-    _write_tracker(spark, cfg, rows, month_list)
-    inv.unpersist()
+    _replace_months(failed.select("schema_name", "table_name", "name", "error", "month"), cfg.errors, "month", month_list, spark)
+    _replace_months(rows, cfg.tracker, "simulation_month", month_list, spark)
     return read_tracker(spark, cfg).where(F.col("simulation_month").isin(month_list))
 
 
-def _write_tracker(spark: SparkSession, cfg: LandingConfig, new_rows: DataFrame,
-                   month_list: list[str]) -> None:
-    """Replace the rows of ``month_list``; keep the others.
-
-    The tracker holds one row per calendar month (bounded by the calendar, not
-    by data volume), so it is rewritten whole as one small file.  The kept rows
-    are materialized first because the write replaces the files they come from.
-    """
-    kept = read_tracker(spark, cfg).where(~F.col("simulation_month").isin(month_list)).collect()
-    fresh = new_rows.select(*[f.name for f in TRACKER_SCHEMA.fields]).collect()
-    merged = spark.createDataFrame([tuple(r) for r in kept + fresh], TRACKER_SCHEMA)
-    merged.coalesce(1).write.mode("overwrite").parquet(cfg.tracker)
+def _replace_months(rows: DataFrame, path: str, month: str, month_list: list[str], spark: SparkSession) -> None:
+    """Replace the partitions of ``month_list``; the other months' files are not touched."""
+    for m in month_list:                    # a calendar's worth of folders
+        _fs_delete(spark, f"{_strip(path)}/{month}={m}")
+    rows.coalesce(1).write.mode("append").partitionBy(month).parquet(path)
 
 
 def run(spark: SparkSession, cfg: LandingConfig, specific: str | None = None,
@@ -271,10 +293,11 @@ def _fs_delete(spark: SparkSession, path: str) -> None:
 
 def reset_month(spark: SparkSession, cfg: LandingConfig, month: str) -> None:
     """Forget one month in the tracker."""
-    _write_tracker(spark, cfg, spark.createDataFrame([], TRACKER_SCHEMA), [month])
+    _fs_delete(spark, f"{_strip(cfg.tracker)}/simulation_month={month}")
 
 
 def restart(spark: SparkSession, cfg: LandingConfig) -> None:
-    """Drop the tracker and clear the incoming area (only these two configured paths)."""
+    """Drop the tracker with its errors and clear the incoming area (only these configured paths)."""
     _fs_delete(spark, cfg.tracker)
+    _fs_delete(spark, cfg.errors)
     _fs_delete(spark, cfg.incoming)

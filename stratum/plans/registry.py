@@ -151,6 +151,19 @@ def _member_windows(spark, sf):
     return gold.member_windows(claims, MEMBER_CHUNKS)
 
 
+def _claims_with_nulls(spark, sf):
+    """Every claim; each seventh without member, each fifth without service date."""
+    claims = cdc.current_versions(domain.claim(spark, sf))
+    return claims.withColumn("member_id", F.when(F.col("claim_id") % 7 != 0, F.col("member_id"))) \
+                 .withColumn("service_date", F.when(F.col("claim_id") % 5 != 0, F.col("service_date")))
+
+
+def q_member_windows_nulls(spark, sf):
+    """W2-W8 in the split form where members and dates may be missing."""
+    claims = _claims_with_nulls(spark, sf).select("claim_id", "member_id", "service_date", "total_charge", "total_benefit")
+    return gold.member_windows(claims, MEMBER_CHUNKS).drop("service_date", "total_charge", "total_benefit")
+
+
 def q_member_sequence_gaps(spark, sf):
     return _member_windows(spark, sf).select("claim_id", "member_id", "member_claim_seq",
                                              "days_since_prev_claim", "days_to_next_claim")

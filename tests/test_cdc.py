@@ -102,3 +102,15 @@ def test_chunked_scd2_splits_a_hot_key(spark):
     assert rows(a) == rows(b)
     splits = cdc.sequence_splits(ev, "seq", 16)
     assert len(splits) >= 8
+
+
+def test_text_and_struct_sequences_split_like_plain(spark):
+    import random
+    random.seed(3)
+    data = [(random.choice(["k", "k", "k", "x"]), f"{random.randrange(300):05d}" + random.choice(["", "a", "é"]), i) for i in range(200)]
+    df = spark.createDataFrame(data, "id string, seq string, v int")
+    nested = df.selectExpr("id", "named_struct('a', seq, 'b', v) AS seq", "v")
+    for events in (df, nested):
+        plain = cdc.scd2(events, "id", "seq").selectExpr("to_json(struct(*)) AS j")
+        split = cdc.scd2(events, "id", "seq", chunks=4, hot_rows=0).selectExpr("to_json(struct(*)) AS j")
+        assert rows(plain) == rows(split)

@@ -181,3 +181,22 @@ def test_split_member_windows_with_double_amounts(spark):
     split = gold.member_windows(claims, 8)
     norm = lambda rs: [tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in rs]
     assert norm(rows(split, *plain.columns)) == norm(rows(plain))
+
+
+def test_split_windows_equal_plain_ones_with_missing_members_and_dates(spark):
+    import random
+    random.seed(11)
+    data = [(i, random.choice([None, 1, 1, 1, 2, 3]), random.choice([None, d(2024, 1, 1), d(2024, 1, 1 + i % 28), d(2024, 3, 1 + i % 20)]),
+             random.choice([None, D("10.00"), D("20.00"), D(f"{i}.50")]), D("1.00")) for i in range(120)]
+    df = spark.createDataFrame(data, "claim_id int, member_id int, service_date date, total_charge decimal(10,2), total_benefit decimal(10,2)")
+    plain, split = gold.member_windows(df), gold.member_windows(df, chunks=5)
+    assert rows(plain, *plain.columns) == rows(split, *plain.columns)
+
+
+def test_activity_of_claims_without_member(spark):
+    c, l, a = fixtures(spark)
+    c = c.withColumn("member_id", F.when(F.col("claim_id") > 3, F.col("member_id")))
+    views = [gold.member_claim_activity(c, l, a, distributed_percent_rank=x, rank_buckets=3, hot_rows=h) for x, h in ((True, 0), (True, None), (False, None))]
+    first = rows(views[0], *views[0].columns)
+    assert all(rows(v, *views[0].columns) == first for v in views[1:])
+    assert all(r["member_cost_percentile"] is not None for r in views[0].collect())

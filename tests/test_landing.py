@@ -50,7 +50,7 @@ def test_failed_month_is_not_retried_by_default(spark, scratch):
                                      r.tables_skipped, 0, 0, r.last_updated, "failed") for r in rows_]
                                    + [("2020-02", 2, 1, 1, 0, 0, rows_[0].last_updated, "failed")],
                                    landing.TRACKER_SCHEMA)
-    failed.coalesce(1).write.mode("overwrite").parquet(cfg.tracker)
+    failed.coalesce(1).write.mode("overwrite").partitionBy("simulation_month").parquet(cfg.tracker)
     assert landing.last_processed(spark, cfg) == "2020-02"              # MAX whatever the status
     assert landing.last_processed(spark, cfg, only_success=True) is None
     landing.reset_month(spark, cfg, "2020-02")
@@ -59,17 +59,86 @@ def test_failed_month_is_not_retried_by_default(spark, scratch):
     assert landing.last_processed(spark, cfg) is None
 
 
+def _block(cfg, table, month):
+    """A file where the month's folder should be: nothing can be copied there."""
+    folder = f"{cfg.incoming}/s/{table}"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/extraction_month={month}", "w") as f:
+        f.write("x")
+
+
 def test_month_status_partial_and_failed(spark, scratch):
     cfg = _vault(spark, scratch)
-    bad = f"{cfg.vault}/s/b/extraction_month=2020-01/broken.parquet"
-    with open(bad, "w") as fh:
+    _block(cfg, "b", "2020-01")
+    _block(cfg, "a", "2020-02")
+    landing.run(spark, cfg, up_to="2020-02")
+    t = {r.simulation_month: r for r in landing.read_tracker(spark, cfg).collect()}
+    assert t["2020-01"].status == "partial" and t["2020-01"].total_files_transferred == 1     # table a moved, table b failed
+    assert t["2020-02"].status == "failed" and t["2020-02"].total_files_transferred == 0
+
+
+def test_unreadable_content_is_delivered_as_it_is(spark, scratch):
+    cfg = _vault(spark, scratch)
+    with open(f"{cfg.vault}/s/b/extraction_month=2020-01/broken.parquet", "w") as fh:
         fh.write("not parquet")
     landing.run(spark, cfg, specific="2020-01")
-    t = {r.simulation_month: r for r in landing.read_tracker(spark, cfg).collect()}
-    assert t["2020-01"].status == "partial"              # table a moved, table b failed
-    only_b = landing.LandingConfig(f"{cfg.vault}/s_only", f"{scratch}/inc2", f"{scratch}/trk2")
-    import shutil
-    shutil.copytree(f"{cfg.vault}/s/b", f"{cfg.vault}/s_only/s/b")
-    landing.run(spark, only_b, specific="2020-01")
-    t2 = {r.simulation_month: r for r in landing.read_tracker(spark, only_b).collect()}
-    assert t2["2020-01"].status == "failed" and t2["2020-01"].total_files_transferred == 0
+    assert landing.read_tracker(spark, cfg).first().status == "success"
+    assert _bytes(f"{cfg.incoming}/s/b/extraction_month=2020-01") == _bytes(f"{cfg.vault}/s/b/extraction_month=2020-01")
+
+
+def _bytes(root):
+    return {os.path.relpath(os.path.join(d, f), root): open(os.path.join(d, f), "rb").read()
+            for d, _, names in os.walk(root) for f in names if f[0] not in "._"}
+
+
+def test_release_is_byte_for_byte_and_takes_late_files(spark, scratch):
+    import gzip
+    v = f"{scratch}/vault/s"
+    for m, head in (("2020-01", "a,b"), ("2020-02", "b,a,c")):
+        os.makedirs(f"{v}/csv/extraction_month={m}")
+        with open(f"{v}/csv/extraction_month={m}/x.csv", "w") as f:
+            f.write(f"{head}\n1,x,2\n")
+    os.makedirs(f"{v}/json/extraction_month=2020-01")
+    with gzip.open(f"{v}/json/extraction_month=2020-01/x.json.gz", "wt") as f:
+        f.write('{"a": null}\n')
+    spark.range(3).coalesce(1).write.parquet(f"{v}/p/extraction_month=2020-01")
+    spark.range(3).selectExpr("id", "id * 2 AS b").coalesce(1).write.parquet(f"{v}/p/extraction_month=2020-02")
+    cfg = landing.LandingConfig(f"{scratch}/vault", f"{scratch}/incoming", f"{scratch}/tracker")
+    landing.run(spark, cfg, up_to="2020-02")
+    assert _bytes(cfg.incoming) == _bytes(cfg.vault)
+    with open(f"{v}/csv/extraction_month=2020-01/late.csv", "w") as f:
+        f.write("a,b\n9,9\n")
+    kept = {p: os.stat(f"{cfg.incoming}/{p}").st_mtime_ns for p in _bytes(cfg.incoming)}
+    landing.run(spark, cfg, specific="2020-01")
+    assert _bytes(cfg.incoming) == _bytes(cfg.vault)
+    assert all(os.stat(f"{cfg.incoming}/{p}").st_mtime_ns == t for p, t in kept.items())     # nothing is copied twice
+    month = landing.read_tracker(spark, cfg).where("simulation_month = '2020-01'").first()
+    assert (month.total_files_transferred, month.status) == (4, "success")
+    assert month.total_bytes_transferred == sum(len(b) for p, b in _bytes(cfg.vault).items() if "2020-01" in p)
+
+
+def test_one_bad_file_fails_alone(spark, scratch):
+    cfg = _vault(spark, scratch)
+    blocked = f"{cfg.incoming}/s/a/extraction_month=2020-02"
+    os.makedirs(os.path.dirname(blocked))
+    with open(blocked, "w") as f:                   # a file where the month's folder should be
+        f.write("x")
+    landing.run(spark, cfg, up_to="2020-03")
+    assert {r.simulation_month: r.status for r in landing.read_tracker(spark, cfg).collect()} == {
+        "2020-01": "success", "2020-02": "failed", "2020-03": "success"}
+    errors = landing.read_errors(spark, cfg).collect()
+    assert [(e.month, e.table_name) for e in errors] == [("2020-02", "a")] and errors[0].error
+    os.remove(blocked)
+    landing.run(spark, cfg, specific="2020-02")
+    assert landing.read_errors(spark, cfg).count() == 0
+    assert _bytes(cfg.incoming) == {p: b for p, b in _bytes(cfg.vault).items()}
+
+
+def test_unreadable_tracker_is_an_error(spark, scratch):
+    import pytest
+    cfg = _vault(spark, scratch)
+    os.makedirs(f"{cfg.tracker}/simulation_month=2020-01")
+    with open(f"{cfg.tracker}/simulation_month=2020-01/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        landing.last_processed(spark, cfg)
