@@ -199,7 +199,7 @@ def release(spark: SparkSession, cfg: LandingConfig, month_list: list[str],
     if _fs_exists(spark, cfg.incoming):
         todo = chosen.join(_named(inventory(spark, cfg.incoming)).select(*key).distinct(), key, "left_anti")
     # each file once, dealt out evenly; the result is written, so no file is copied again when rows are read twice
-    parts = spark.sparkContext.defaultParallelism * 4
+    parts = spark.sparkContext.defaultParallelism * 2
     done = materialize(_copy(todo.repartition(parts, "path"), cfg.incoming), "landing-copied")
     failed = done.where(F.col("error").isNotNull())
     state = chosen.join(failed.select(*key, F.lit(True).alias("bad")), key, "left").withColumn("ok", F.col("bad").isNull())

@@ -95,15 +95,86 @@ def bronze_schema(spark: SparkSession, spec: FeedSpec) -> T.StructType | None:
 
 
 def evolve(record: T.StructType | None, seen: T.StructType) -> T.StructType:
-    """Known columns keep their type; new columns are appended in arrival order."""
+    """Known columns keep their type; new columns are appended in arrival order.
+
+    The same holds inside structs, also those in arrays and maps."""
     if record is None:
         return T.StructType([f for f in seen.fields])
-    names = {f.name for f in record.fields}
-    return T.StructType(list(record.fields) + [f for f in seen.fields if f.name not in names])
+    new = {f.name: f for f in seen.fields}
+    known = [T.StructField(f.name, _evolve_type(f.dataType, new[f.name].dataType) if f.name in new else f.dataType, True, f.metadata)
+             for f in record.fields]
+    return T.StructType(known + [f for f in seen.fields if f.name not in {k.name for k in known}])
+
+
+def _evolve_type(old: T.DataType, seen: T.DataType) -> T.DataType:
+    if isinstance(old, T.StructType) and isinstance(seen, T.StructType):
+        return evolve(old, seen)
+    if isinstance(old, T.ArrayType) and isinstance(seen, T.ArrayType):
+        return T.ArrayType(_evolve_type(old.elementType, seen.elementType), True)
+    if isinstance(old, T.MapType) and isinstance(seen, T.MapType):
+        return T.MapType(old.keyType, _evolve_type(old.valueType, seen.valueType), True)
+    return old
+
+
+def _same(have: T.DataType, want: T.DataType) -> bool:
+    return have.simpleString() == want.simpleString()
+
+
+def _nested(t: T.DataType) -> bool:
+    return isinstance(t, (T.StructType, T.ArrayType, T.MapType))
+
+
+def _fit(x: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``x`` as ``want``: members by name, missing ones NULL, values that do not fit NULL."""
+    if _same(have, want):
+        return x
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        own = {f.name: f.dataType for f in have.fields}
+        members = [(_fit(x.getField(f.name), own[f.name], f.dataType) if f.name in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(x.isNotNull(), F.struct(*members))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(x, lambda e: _fit(e, have.elementType, want.elementType))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType) and _same(have.keyType, want.keyType):
+        return F.transform_values(x, lambda _, v: _fit(v, have.valueType, want.valueType))
+    if _nested(have) or _nested(want):
+        return F.lit(None).cast(want)
+    cast = x.try_cast(want)
+    return F.when((cast.cast(have) == x).eqNullSafe(F.lit(True)), cast)
+
+
+def _misfits(x: Column, have: T.DataType, want: T.DataType) -> Column | None:
+    """Whether some leaf of ``x`` is lost by ``_fit``; None if none can be."""
+    if _same(have, want):
+        return None
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        to = {f.name: f.dataType for f in want.fields}
+        parts = [x.getField(f.name).isNotNull() if f.name not in to else _misfits(x.getField(f.name), f.dataType, to[f.name]) for f in have.fields]
+        parts = [p for p in parts if p is not None]
+        if not parts:
+            return None
+        out = parts[0]
+        for p in parts[1:]:
+            out = out | p
+        return F.coalesce(out, F.lit(False))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        if _misfits(F.lit(None), have.elementType, want.elementType) is None:
+            return None
+        return F.coalesce(F.exists(x, lambda e: _misfits(e, have.elementType, want.elementType)), F.lit(False))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType) and _same(have.keyType, want.keyType):
+        if _misfits(F.lit(None), have.valueType, want.valueType) is None:
+            return None
+        return F.coalesce(F.exists(F.map_values(x), lambda v: _misfits(v, have.valueType, want.valueType)), F.lit(False))
+    return x.isNotNull() & _fit(x, have, want).isNull()
+
+
+def _text(x: Column, t: T.DataType) -> Column:
+    return F.to_json(x) if _nested(t) else x.cast("string")
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project ``df`` onto ``schema``: missing -> NULL; misfits -> NULL + ``_rescued``."""
+    """Project ``df`` onto ``schema``: missing -> NULL; misfits -> NULL + ``_rescued``.
+
+    A nested column with a misfit leaf keeps its other leaves and is rescued whole."""
     cols: list[Column] = []
     rescues: list[Column] = []
     have = {f.name: f.dataType for f in df.schema.fields}
@@ -112,19 +183,13 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
         src = F.col(f"`{f.name}`")
-        if have[f.name] == f.dataType:
-            cols.append(src.alias(f.name))
-            continue
-        cast = F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
-        fits = src.isNull() | (cast.isNotNull()
-                               & (cast.cast(have[f.name]) == src).eqNullSafe(F.lit(True)))
-        cols.append(F.when(fits, cast).alias(f.name))
-        rescues.append(F.when(~fits, F.struct(F.lit(f.name).alias("k"),
-                                              src.cast("string").alias("v"))))
-    extra = [n for n in have if n not in {f.name for f in schema.fields}]
-    for n in extra:  # not in the record (record written by another run) -> rescued
-        rescues.append(F.when(F.col(f"`{n}`").isNotNull(),
-                              F.struct(F.lit(n).alias("k"), F.col(f"`{n}`").cast("string").alias("v"))))
+        cols.append(_fit(src, have[f.name], f.dataType).alias(f.name))
+        lost = _misfits(src, have[f.name], f.dataType)
+        if lost is not None:
+            rescues.append(F.when(lost, F.struct(F.lit(f.name).alias("k"), _text(src, have[f.name]).alias("v"))))
+    for n in (n for n in have if n not in {f.name for f in schema.fields}):   # record written by another run
+        src = F.col(f"`{n}`")
+        rescues.append(F.when(src.isNotNull(), F.struct(F.lit(n).alias("k"), _text(src, have[n]).alias("v"))))
     if rescues:
         entries = F.filter(F.array(*rescues), lambda x: x.isNotNull())
         rescued = F.when(F.size(entries) > 0, F.to_json(F.map_from_entries(entries)))
@@ -136,11 +201,13 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
 # ---------------------------------------------------------------- reading new files
 
 def _csv_header(spark: SparkSession, path: str) -> str:
-    """First line of a file through the Hadoop file system (a few bytes per file)."""
+    """First line of a file, compressed or not, through the Hadoop file system (a few bytes per file)."""
     jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    stream = p.getFileSystem(conf).open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
     try:
         return reader.readLine() or ""
     finally:
@@ -186,9 +253,8 @@ def ingest(spark: SparkSession, spec: FeedSpec, timeout_s: float | None = None)
         T.StructField("length", T.LongType()),
         T.StructField("content", T.BinaryType()),
     ])
-    glob = "*.csv" if spec.fmt == "csv" else ("*.json" if spec.fmt == "json" else "*.parquet")
+    # every file of the folder, whatever its ending; Spark's listing leaves out names with _ and . in front
     files = (spark.readStream.format("binaryFile").schema(listing_schema)
-             .option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", spec.max_files_per_trigger)
              .load(spec.source_path)

@@ -60,3 +60,45 @@ def test_parquet_second_month_adds_column(spark, scratch):
     ing.ingest(spark, spec)
     b = ing.read_bronze(spark, spec.target_path)
     assert rows(b, "id", "v", "w", "extraction_month") == [(1, "a", None, "2024-01"), (2, "b", 9.5, "2024-02")]
+
+
+def test_every_ending_is_read_and_nested_fields_evolve(spark, scratch):
+    import gzip
+    import json
+    import os
+    src = f"{scratch}/in"
+    os.makedirs(src)
+
+    def put(name, *objects):
+        text = "\n".join(map(json.dumps, objects))
+        with (gzip.open(f"{src}/{name}", "wt") if name.endswith(".gz") else open(f"{src}/{name}", "w")) as f:
+            f.write(text)
+
+    spec = ing.FeedSpec(src, f"{scratch}/out", f"{scratch}/ckpt", fmt="json")
+    put("a.json", {"id": 1, "s": {"x": 1}, "l": [{"p": 1}]})
+    put("b.json.gz", {"id": 2, "s": {"x": 2}, "l": []})
+    put("c.jsonl", {"id": 3, "s": None, "l": None})
+    put("_hidden.json", {"id": 99})
+    ing.ingest(spark, spec)
+    put("d", {"id": 4, "s": {"x": 4, "y": "new"}, "l": [{"p": 4, "q": True}]})
+    put("e.txt", {"id": 5, "s": {"x": "five"}, "l": [{"p": "text"}]})
+    ing.ingest(spark, spec)
+    out = {r["id"]: r for r in ing.read_bronze(spark, spec.target_path).select("id", "s", "l", ing.RESCUED).collect()}
+    assert sorted(out) == [1, 2, 3, 4, 5]
+    assert out[4]["s"]["y"] == "new" and out[4]["l"][0]["q"] is True and out[4]["s"]["x"] == 4
+    assert out[1]["s"]["x"] == 1 and out[1]["s"]["y"] is None and out[3]["s"] is None
+    assert out[5]["s"]["x"] is None and "five" in out[5][ing.RESCUED] and "text" in out[5][ing.RESCUED]
+    assert out[1][ing.RESCUED] is None
+
+
+def test_compressed_csv_with_reordered_headers(spark, scratch):
+    import gzip
+    import os
+    src = f"{scratch}/in"
+    os.makedirs(src)
+    for name, text in (("a.csv", "id,v\n1,x\n"), ("b.csv.gz", "v,id,w\ny,2,7\n"), ("c.txt", "id,v\n3,z\n")):
+        with (gzip.open(f"{src}/{name}", "wt") if name.endswith(".gz") else open(f"{src}/{name}", "w")) as f:
+            f.write(text)
+    spec = ing.FeedSpec(src, f"{scratch}/out", f"{scratch}/ckpt", fmt="csv")
+    ing.ingest(spark, spec)
+    assert rows(ing.read_bronze(spark, spec.target_path), "id", "v", "w") == [(1, "x", None), (2, "y", 7), (3, "z", None)]
