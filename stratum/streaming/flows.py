@@ -50,6 +50,7 @@ from stratum.operators.projection import drop_columns
 
 SEQ = "_sequence_timestamp"
 KEY_BUCKET = "_key_bucket"
+PROGRESS_KEPT = "spark.sql.streaming.numRecentProgressUpdates"
 BATCH = "_batch_id"
 
 # Default excluded columns per flow kind.
@@ -131,10 +132,17 @@ def run_append_flow(stream: DataFrame, target_path: str, checkpoint: str,
     obs = f"{name}_expectations"
     if rules:
         out = quality.observe_expectations(out, rules, obs)
-    q = (out.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(target_path))
-    q.awaitTermination(timeout_s)
+    # counts come from the progress reports: keep those of every batch of the run, not the last 100
+    spark = stream.sparkSession
+    before = spark.conf.get(PROGRESS_KEPT, None)
+    spark.conf.set(PROGRESS_KEPT, str(2**31 - 1))
+    try:
+        q = (out.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start(target_path))
+        q.awaitTermination(timeout_s)
+    finally:
+        spark.conf.unset(PROGRESS_KEPT) if before is None else spark.conf.set(PROGRESS_KEPT, before)
     if q.exception() is not None:
         raise q.exception()
     if rules and metrics_path:

@@ -46,7 +46,7 @@ def test_six_feeds_end_to_end_equal_batch(spark, scratch):
         feeds.write_months(df, f"{scratch}/vault/{schema}/{table}")
     lcfg = landing.LandingConfig(f"{scratch}/vault", f"{scratch}/p/incoming", f"{scratch}/tracker")
     pcfg = pipeline.PipelineConfig(root=f"{scratch}/p", feeds=tuple((s, t, "parquet") for s, t in bronze),
-                                   key_buckets=4, seq_chunks=3, as_of=AS_OF)
+                                   key_buckets=4, seq_chunks=3, as_of=AS_OF, optional_columns=True)
     for ceiling in ("1998-06", "9999-12"):
         landing.run(spark, lcfg, up_to=ceiling)
         pipeline.run_all(spark, pcfg)
@@ -64,3 +64,14 @@ def test_six_feeds_end_to_end_equal_batch(spark, scratch):
     assert len(pol) == 36 and pol.count("-") == 4          # binary UUID -> dashed text
     metrics = spark.read.parquet(pcfg.path("metrics", "invoice"))
     assert metrics.select("rule").distinct().count() == 12 # all invoice rules counted, warn only
+
+
+def test_rules_that_do_not_resolve_are_an_error(spark, scratch):
+    import pytest
+    from stratum.operators import quality
+    rules = quality.rules_from_pairs([("there", "id >= 0"), ("missing", "nothing > 0")])
+    cfg = pipeline.PipelineConfig(root=scratch, feeds=())
+    with pytest.raises(ValueError, match="missing"):
+        pipeline._applicable(cfg, "t", rules, spark.range(1))
+    lenient = pipeline.PipelineConfig(root=scratch, feeds=(), optional_columns=True)
+    assert [r.name for r in pipeline._applicable(lenient, "t", rules, spark.range(1))] == ["there"]

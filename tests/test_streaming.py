@@ -67,3 +67,15 @@ def test_rejected_events_are_kept_per_batch(spark, scratch):
     flows.run_cdc_flow(spark, spark.readStream.schema(SCHEMA).parquet(src), spec)
     assert rows(flows.read_scd(spark, spec.target_path), "k", "a") == [("a", "x")]
     assert rows(spark.read.parquet(spec.rejected_path), "a", flows.BATCH) == [("y", 0), ("z", 0)]
+
+
+def test_expectation_counts_of_more_than_a_hundred_batches(spark, scratch):
+    from stratum.operators import quality
+    from stratum.streaming import flows
+    src = f"{scratch}/in"
+    spark.range(130).repartition(130, "id").write.option("maxRecordsPerFile", 1).parquet(src)
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(src)
+    rules = quality.rules_from_pairs([("even", "id % 2 = 0")])
+    flows.run_append_flow(stream, f"{scratch}/out", f"{scratch}/ckpt", rules, "t", metrics_path=f"{scratch}/metrics")
+    total = spark.read.parquet(f"{scratch}/metrics").selectExpr("count(distinct batch_id) AS n", "sum(passed) AS p", "sum(failed) AS f").first()
+    assert (total.p, total.f) == (65, 65) and total.n > 100
