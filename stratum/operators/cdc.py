@@ -137,8 +137,8 @@ def scd2(events: DataFrame, keys: str | Sequence[str], seq: str, *,
     One hash exchange on ``(keys, chunk)`` and one sort serve the whole
     computation: a first window (ordered by sequence, then business columns
     descending) keeps one row per (key, sequence) -- in partial mode the peers
-    of a sequence are merged column by column with a ``RANGE CURRENT ROW``
-    frame -- and a second window over the same order gives ``lead`` and the
+    of a sequence have that same order and each column takes its first non-NULL
+    value in it -- and a second window over the same order gives ``lead`` and the
     forward fill.  ``chunks > 1`` splits each key's timeline into sequence
     ranges so that no task holds all versions of a hot key (module doc);
     ``splits`` may be given to skip the quantile pass.
@@ -157,9 +157,15 @@ def scd2(events: DataFrame, keys: str | Sequence[str], seq: str, *,
 
     # 1) one row per (key, sequence)
     if partial:
+        # peers have one common order; each column takes its first non-NULL value in it.  The
+        # shuffle on (keys, chunk) comes first, so both windows share it and its sort.
+        ev = ev.repartition(*part)
+        w0 = Window.partitionBy(*part, seq).orderBy(*[F.col(c).desc_nulls_last() for c in business])
+        peers = w0.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ev = ev.select(*part, seq, *[F.first(c, ignorenulls=True).over(peers).alias(c) for c in business],
+                       F.row_number().over(w0).alias("__peer")).where("__peer = 1").drop("__peer")
         w1 = Window.partitionBy(*part).orderBy(seq)
-        peers = w1.rangeBetween(Window.currentRow, Window.currentRow)
-        merged = [F.max(c).over(peers).alias(c) for c in business]
+        merged = [F.col(c) for c in business]
     else:
         w1 = Window.partitionBy(*part).orderBy(
             F.col(seq).asc(), *[F.col(c).desc_nulls_last() for c in business])

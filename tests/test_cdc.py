@@ -38,7 +38,7 @@ def test_scd2_same_key_and_sequence_collapse(spark):
     full = cdc.scd2(ev, "k", "seq", except_cols=["seq"])
     assert rows(full, "__START_AT", "a", "b") == [(T(1), "b", 0), (T(2), "c", 5)]  # greatest tuple
     part = cdc.scd2(ev, "k", "seq", partial=True, except_cols=["seq"])
-    assert rows(part, "__START_AT", "a", "b") == [(T(1), "b", 1), (T(2), "c", 5)]  # per column
+    assert rows(part, "__START_AT", "a", "b") == [(T(1), "b", 0), (T(2), "c", 5)]  # one common order
 
 
 def test_null_key_or_sequence_set_aside(spark):
@@ -114,3 +114,10 @@ def test_text_and_struct_sequences_split_like_plain(spark):
         plain = cdc.scd2(events, "id", "seq").selectExpr("to_json(struct(*)) AS j")
         split = cdc.scd2(events, "id", "seq", chunks=4, hot_rows=0).selectExpr("to_json(struct(*)) AS j")
         assert rows(plain) == rows(split)
+
+
+def test_partial_ties_take_one_common_order(spark):
+    df = spark.createDataFrame([("k", 5, "a", 9), ("k", 5, "b", 1), ("j", 5, "a", 9), ("j", 5, "b", None), ("k", 6, None, 2)], "id string, seq int, x string, y int")
+    for kw in ({}, {"chunks": 3, "hot_rows": 0}):
+        out = cdc.scd2(df, "id", "seq", partial=True, **kw)
+        assert rows(out, "id", "x", "y", cdc.START_AT) == [("j", "b", 9, 5), ("k", "b", 1, 5), ("k", "b", 2, 6)]

@@ -20,11 +20,14 @@ def test_entry_smoke(spark):
     assert "claim_id" in df.columns
 
 
+OWN = set(E.queries()) - set(E.training_data.QUERIES if E.training_data else ()) - {"pipeline"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert OWN == set(E.oracle_sql()) & OWN
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(OWN - SLOW))
 def test_oracle_fast(spark, name):
     assert compare(spark, SF, [name], verbose=False)[name] == "OK"
 
