@@ -30,10 +30,14 @@ class Rule:
         return F.coalesce(F.expr(self.expression), F.lit(False))
 
 
-def load_rules(path: str) -> list[Rule]:
+def load_rules(path: str, spark=None) -> list[Rule]:
     """Read ``{"expectations": [{"name", "expression", "failureAction"}, ...]}``."""
-    with open(path) as fh:
-        doc = json.load(fh)
+    if spark is None:
+        with open(path) as fh:
+            doc = json.load(fh)
+    else:                                   # any storage that Spark reads
+        from stratum.session import read_text
+        doc = json.loads(read_text(spark, path))
     rules = [Rule(e["name"], e["expression"], e.get("failureAction", "warn"))
              for e in doc["expectations"]]
     bad = [r.name for r in rules if r.action != "warn"]

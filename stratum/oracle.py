@@ -460,6 +460,13 @@ def flow_sql() -> dict[str, str]:
         "append_epoch_conversion": "SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_day, "
                                    "ts AS created_at FROM events",
         "uuid_append_flow": HEX_TEXT,
+        "scd1_struct_sequence": SCD1_LATEST,
+        "sql_stream_flow": "SELECT event_id, user_id, upper(event_type) AS kind, ts::DATE AS event_day, "
+                           f"{round_double2('value * 2')} AS twice FROM events WHERE event_type <> 'error'",
+        "sql_file_view": "SELECT ts::DATE AS event_day, event_type, count(*) AS events, count(DISTINCT user_id) AS users FROM events GROUP BY ALL",
+        "quality_metrics_table": "SELECT 'events' AS \"table\", rule, sum(ok::BIGINT)::BIGINT AS passed, sum((NOT ok)::BIGINT)::BIGINT AS failed, true AS several_batches FROM ("
+                                 "SELECT unnest(['value_over_50', 'known_user', 'no_error']) AS rule, "
+                                 "unnest([coalesce(value > 50, false), user_id IS NOT NULL, coalesce(event_type <> 'error', false)]) AS ok FROM events) GROUP BY rule",
         "month_inventory": f"WITH {_MONTHS} SELECT schema_name, table_name, month, CAST(1 AS BIGINT) AS files "
                            "FROM table_months",
         "dry_run_listing": f"WITH {_MONTHS} SELECT schema_name, table_name, COUNT(DISTINCT month) AS months, "

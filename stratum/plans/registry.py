@@ -19,8 +19,9 @@ from stratum.operators import cdc, quality
 from stratum.operators.latest import latest_per_key
 from stratum.operators.rank import percent_rank_global
 from stratum.plans import domain, feeds, gold, landing, pipeline
-from stratum.session import scratch_dir
+from stratum.session import scratch_dir, write_text
 from stratum.sources import ingest as ing
+from stratum.sources import sql as sql_text
 from stratum.streaming import flows
 
 SCD2_CHUNKS = 8   # with hot_rows=0 the split plan always runs, so the oracle checks it
@@ -362,6 +363,62 @@ def q_uuid_append_flow(spark, sf):
     return spark.read.parquet(f"{root}/silver")
 
 
+def q_scd1_struct_sequence(spark, sf):
+    """Current state per key, ordered by a field of the CDC position struct."""
+    root = scratch_dir(spark, "scd1-struct")
+    e = events(spark, sf)
+    position = F.struct(F.unix_micros(F.col("ts").cast("timestamp")).alias("__cdc_timestamp_value"), F.lit("log").alias("__cdc_source"))
+    src = e.select("user_id", "event_type", "value", position.alias("__START_AT"), F.lit("loader").alias("created_by"))
+    src.write.parquet(f"{root}/bronze")
+    stream = flows.prepare_scd1(spark.readStream.schema(src.schema).parquet(f"{root}/bronze"))
+    spec = flows.CdcSpec(keys=("user_id",), scd_type=1, target_path=f"{root}/silver", changelog_path=f"{root}/changelog",
+                         checkpoint=f"{root}/checkpoint", key_buckets=8)
+    flows.run_cdc_flow(spark, stream, spec)
+    return flows.read_scd(spark, spec.target_path).select("user_id", "event_type", "value")
+
+
+EVENT_DAYS_SQL = """
+SELECT event_id, user_id, upper(event_type) AS kind, to_date(ts) AS event_day, round(value * 2, 2) AS twice
+FROM STREAM(arrivals) WHERE event_type <> 'error'
+"""
+
+
+def q_sql_stream_flow(spark, sf):
+    """A SQL text over a stream, appended to a table."""
+    root = scratch_dir(spark, "sql-stream")
+    e = events(spark, sf)
+    e.write.parquet(f"{root}/bronze")
+    stream = sql_text.run_sql(spark, EVENT_DAYS_SQL, {"arrivals": spark.readStream.schema(e.schema).parquet(f"{root}/bronze")})
+    flows.run_append_flow(stream, f"{root}/silver", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/silver")
+
+
+EVENTS_PER_DAY_SQL = """
+SELECT to_date(ts) AS event_day, event_type, count(*) AS events, count(DISTINCT user_id) AS users
+FROM {source} GROUP BY ALL
+"""
+
+
+def q_sql_file_view(spark, sf):
+    """A gold view whose text lies in a file, with its source's name filled in."""
+    path = f"{scratch_dir(spark, 'sql-file')}/events_per_day.sql"
+    write_text(spark, path, EVENTS_PER_DAY_SQL)
+    return sql_text.run_sql_file(spark, path, {"silver_events": events(spark, sf)}, {"source": "silver_events"})
+
+
+def q_quality_metrics_table(spark, sf):
+    """Q1, Q8: rule counts of every micro-batch, read back from the metrics table."""
+    root = scratch_dir(spark, "metrics")
+    e = events(spark, sf)
+    for g in range(ARRIVALS):
+        e.where(F.pmod(F.xxhash64("event_id"), F.lit(ARRIVALS)) == g).write.mode("append").parquet(f"{root}/bronze")
+    rules = quality.rules_from_pairs([("value_over_50", "value > 50"), ("known_user", "user_id IS NOT NULL"), ("no_error", "event_type <> 'error'")])
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/bronze")
+    flows.run_append_flow(stream, f"{root}/silver", f"{root}/checkpoint", rules, "events", metrics_path=f"{root}/metrics")
+    return (spark.read.parquet(f"{root}/metrics").groupBy("table", "rule")
+            .agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"), (F.count_distinct("batch_id") > 1).alias("several_batches")))
+
+
 # ---------------------------------------------------------------- landing
 
 def _vault(spark, sf, root):

@@ -82,3 +82,24 @@ def materialize(df, name: str):
     path = scratch_dir(spark, f"materialized-{name}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file through the Hadoop file system: any storage that Spark reads."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Counterpart of :func:`read_text`; replaces the file."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
