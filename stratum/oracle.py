@@ -443,9 +443,24 @@ tracked AS (
 )"""
 
 
+TRACKER_STATUS = f"""
+WITH m AS (SELECT DISTINCT {_ORDERS_MONTH} AS simulation_month FROM orders WHERE {_ORDERS_MONTH} <= '1996-06'),
+f AS (SELECT simulation_month, if(simulation_month = '1996-03', 1, 2) AS files, (simulation_month IN ('1996-03', '1996-05'))::INT AS lost FROM m)
+SELECT simulation_month, 2::INTEGER AS total_tables_found, files::INTEGER AS tables_with_files, (2 - files)::INTEGER AS tables_skipped,
+       (files - lost)::INTEGER AS total_files_transferred, CASE WHEN lost = 0 THEN 'success' WHEN lost = files THEN 'failed' ELSE 'partial' END AS status,
+       lost = 0 AS all_bytes, lost::BIGINT AS errors
+FROM f
+"""
+
+
 def flow_sql() -> dict[str, str]:
     plain = _ORDERS_OUT.format(d="o_orderdate", p="o_orderpriority")
+    evolved = "SELECT " + _ORDERS_OUT.format(d="o_orderdate", p=f"CASE WHEN {_ORDERS_MONTH} <= '1997-12' THEN NULL ELSE o_orderpriority END") + " FROM orders"
     return {
+        "release_new_column": evolved,
+        "release_csv_reordered": f"SELECT {_ORDERS_OUT.format(d='CAST(o_orderdate AS DATE)', p='o_orderpriority')} FROM orders",
+        "release_late_files": f"SELECT {plain} FROM orders",
+        "tracker_status_partial": TRACKER_STATUS,
         "ingest_parquet_incremental": f"SELECT {plain} FROM orders",
         "ingest_json_incremental": f"SELECT {plain} FROM orders",
         "ingest_csv_incremental":

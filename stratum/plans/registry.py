@@ -492,6 +492,73 @@ def q_released_rows(spark, sf):
     return inc.select(*ORDERS_COLS, F.col(feeds.MONTH).cast("string").alias(feeds.MONTH))
 
 
+def _orders_vault(spark, sf, name, fmt="parquet"):
+    """Vault and feed of the orders: the months after the split have other columns than those before."""
+    root = scratch_dir(spark, name)
+    cfg = landing.LandingConfig(f"{root}/vault", f"{root}/incoming", f"{root}/tracker")
+    spec = ing.FeedSpec(f"{cfg.incoming}/claims/orders", f"{root}/bronze", f"{root}/checkpoint", fmt=fmt)
+    return cfg, spec, f"{cfg.vault}/claims/orders"
+
+
+def q_release_new_column(spark, sf):
+    """Months with and without a column are released together and keep it."""
+    cfg, spec, vault = _orders_vault(spark, sf, "release-column")
+    o = _orders_feed(spark, sf)
+    feeds.write_months(o.where(F.col(feeds.MONTH) <= SPLIT_MONTH).drop("o_orderpriority"), vault)
+    feeds.write_months(o.where(F.col(feeds.MONTH) > SPLIT_MONTH), vault)
+    landing.run(spark, cfg, up_to="9999-12")
+    ing.ingest(spark, spec)
+    return ing.read_bronze(spark, spec.target_path).select(*ORDERS_COLS, feeds.MONTH)
+
+
+def q_release_csv_reordered(spark, sf):
+    """M6, S3: CSV months with their columns in another order arrive under the right names."""
+    cfg, spec, vault = _orders_vault(spark, sf, "release-csv", "csv")
+    o = _orders_feed(spark, sf).withColumn("o_orderdate", F.to_date("o_orderdate"))
+    feeds.write_months(o.where(F.col(feeds.MONTH) <= SPLIT_MONTH), vault, "csv")
+    late = o.where(F.col(feeds.MONTH) > SPLIT_MONTH)
+    feeds.write_months(late.select(*reversed(late.columns)), vault, "csv")
+    landing.run(spark, cfg, up_to="9999-12")
+    ing.ingest(spark, spec)
+    b = ing.read_bronze(spark, spec.target_path)
+    return b.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("o_custkey").cast("long").alias("o_custkey"), "o_orderstatus", "o_totalprice",
+                    F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority", feeds.MONTH)
+
+
+def q_release_late_files(spark, sf):
+    """M4, M6: files that come late to released months are delivered, no row arrives twice."""
+    cfg, spec, vault = _orders_vault(spark, sf, "release-late")
+    o = _orders_feed(spark, sf)
+    feeds.write_months(o.where("o_orderkey % 3 <> 0"), vault)
+    released = landing.run(spark, cfg, up_to="9999-12")
+    ing.ingest(spark, spec)
+    feeds.write_months(o.where("o_orderkey % 3 = 0"), vault)
+    landing.release(spark, cfg, released)
+    ing.ingest(spark, spec)
+    return ing.read_bronze(spark, spec.target_path).select(*ORDERS_COLS, feeds.MONTH)
+
+
+BLOCKED_MONTH, HALF_MONTH = "1996-03", "1996-05"
+
+
+def q_tracker_status_partial(spark, sf):
+    """M7: a month with no file copied, one with half of them, and the others; bytes are those of the vault's files."""
+    root = scratch_dir(spark, "release-status")
+    cfg = landing.LandingConfig(f"{root}/vault", f"{root}/incoming", f"{root}/tracker")
+    o = _orders_feed(spark, sf)
+    feeds.write_months(o, f"{cfg.vault}/claims/orders")
+    feeds.write_months(o.where(F.col(feeds.MONTH) != BLOCKED_MONTH), f"{cfg.vault}/claims/more")
+    for table, month in (("orders", BLOCKED_MONTH), ("orders", HALF_MONTH)):
+        # a file where the month's folder should be
+        write_text(spark, f"{cfg.incoming}/claims/{table}/{feeds.MONTH}={month}", "blocked")
+    landing.run(spark, cfg, up_to="1996-06")
+    vault = landing.inventory(spark, cfg.vault).groupBy(F.col("month").alias("simulation_month")).agg(F.sum("bytes").alias("vault_bytes"))
+    errors = landing.read_errors(spark, cfg).groupBy(F.col("month").alias("simulation_month")).agg(F.count("*").alias("errors"))
+    return (landing.read_tracker(spark, cfg).join(vault, "simulation_month").join(errors, "simulation_month", "left")
+            .select("simulation_month", "total_tables_found", "tables_with_files", "tables_skipped", "total_files_transferred", "status",
+                    (F.col("total_bytes_transferred") == F.col("vault_bytes")).alias("all_bytes"), F.coalesce("errors", F.lit(0)).alias("errors")))
+
+
 # ---------------------------------------------------------------- end to end (step 9)
 
 
