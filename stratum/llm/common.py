@@ -23,8 +23,16 @@ def workers_import(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a Python worker gets at once, where the session still has Spark's default of 10,000 rows of any size."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     workers_import(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -41,6 +49,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark, self.root, self.n = spark, scratch_dir(spark, name), 0
 
     def path(self, name: str) -> str:

@@ -19,6 +19,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from stratum.llm.common import small_batches
+
 # Fixed values of the HTML standard: elements by what they do to the text flow.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form
  h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul""".split())
@@ -172,6 +174,8 @@ def extract(pages: DataFrame, *, html: str = "html", into: str = "text") -> Data
     length goes through whole; repeated rows give equal texts.  An existing column ``into``
     is replaced, other columns stay.
     """
+    small_batches(pages.sparkSession)
+
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratum.llm import langid, mixing, packing, simhash, toxicity
-from stratum.llm.common import free_name, table
+from stratum.llm.common import Scratch, free_name, table
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +35,13 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     stand_in = -(F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62)) + 2)
     keyed = docs.withColumn(key, F.coalesce("doc_id", stand_in))
     classes = simhash.near_duplicates(keyed.select(key, "text"), id=key, shingle=4, max_bits=4)
-    first = classes.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    return keyed.join(first, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    scratch = Scratch(spark, "classes")
+    first = scratch.keep(classes.where(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("rows")), "first")
+    # ids are few bytes: they are the side that is hashed, so texts are neither sorted nor held
+    once = keyed.join(first.where("rows = 1").select(key).hint("shuffle_hash"), key, "left_semi")
+    # written by itself, so that Spark knows how small it is and shuffles no text for it
+    often = scratch.keep(first.where("rows > 1").select(key), "repeated")
+    return once.union(keyed.join(often, key, "left_semi").dropDuplicates([key])).select(*docs.columns)
 
 
 def sample_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

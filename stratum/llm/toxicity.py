@@ -25,12 +25,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratum.llm.common import split_by_size
+from stratum.llm.common import small_batches, split_by_size
 
 WINDOW = 128
 EVIDENCE = 5                    # figures of a document
-CHUNK = 3_000_000               # characters scored at once
-CACHE = 400_000                 # word scores a worker remembers
+CHUNK = 1_000_000               # characters scored at once
+CACHE = 200_000                 # word scores a worker remembers
 _PART = re.compile(r"\w+")
 _WORD = re.compile(r"\S+")
 
@@ -318,6 +318,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, id: str = "doc_i
 
 def scorer(docs: DataFrame, tagger: Tagger, threshold: float = 0.7):
     """Column function text -> struct(score, predicted, toxic_words, spans)."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(tagger)
 
     @F.pandas_udf("score double, predicted int, toxic_words double, spans array<struct<start: bigint, end: bigint>>")
