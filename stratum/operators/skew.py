@@ -47,4 +47,6 @@ def needs_split(df: DataFrame, keys: Sequence[str], threshold: int | None = None
     limit = hot_rows(df) if threshold is None else threshold
     if limit <= 0:
         return True
+    if df.count() <= limit:                 # no group has more rows than the table; a scan's count reads no rows
+        return False
     return largest_group(df, keys) > limit
