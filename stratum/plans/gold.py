@@ -1,7 +1,7 @@
 """Gold views as pure DataFrame functions of silver DataFrames.
 
 Each function is a full recompute (materialized-view semantics); write the
-result with :func:`stratum.sources.sinks.write_materialized`.  Aggregates are
+result with :func:`stratum.config.write_view`.  Aggregates are
 built before joins so no join fans out, and every join is a left outer
 equi-join on one key whose right side is unique per key.
 """
@@ -101,7 +101,8 @@ def benefit_utilization(benefit_usage: DataFrame, claim: DataFrame,
     )
     amount_t = benefit_usage.schema["usage_amount"].dataType
     sum_t = (T.DecimalType(min(38, amount_t.precision + 10), amount_t.scale)
-             if isinstance(amount_t, T.DecimalType) else amount_t)
+             if isinstance(amount_t, T.DecimalType) else
+             T.DoubleType() if isinstance(amount_t, T.FractionalType) else T.LongType())
     agg = per_claim.groupBy(*keys).agg(
         F.sum("usage_amount").cast(sum_t).alias("total_usage_amount"),  # type of one SUM
         F.sum("usage_count").alias("total_usage_count"),

@@ -62,8 +62,9 @@ EPOCH_APPEND_EXCLUDES = ("_event_id", "_event_type", "_event_timestamp", "_event
 APPEND_EXCLUDES = ("__START_AT", "__END_AT", "created_by")
 
 
-def _present(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    return [c for c in cols if c in df.columns]
+def _excluded(df: DataFrame, cols: Sequence[str], default: tuple[str, ...]) -> list[str]:
+    """The default list leaves out what a feed does not have; a list that was passed must be there."""
+    return [c for c in cols if c in df.columns] if cols is default else list(cols)
 
 
 # ---------------------------------------------------------------- transform steps
@@ -75,7 +76,7 @@ def prepare_full_row_scd2(df: DataFrame, uuid_columns: Sequence[str] = (),
     seq = sequence_of(modified_at, created_at, "timestamp")
     out = df.withColumns({c: uuid_text(c, null_on_null=null_uuid_as_null) for c in uuid_columns})
     out = out.withColumn(SEQ, seq)  # before the drop: it reads columns that are dropped
-    return drop_columns(out, _present(out, exclude))
+    return drop_columns(out, _excluded(out, exclude, FULL_ROW_EXCLUDES))
 
 
 def prepare_partial_scd2(df: DataFrame, epoch_day_columns: Sequence[str] = (),
@@ -83,7 +84,7 @@ def prepare_partial_scd2(df: DataFrame, epoch_day_columns: Sequence[str] = (),
                          exclude: Sequence[str] = EVENT_LOG_EXCLUDES) -> DataFrame:
     out = df.withColumns({c: epoch_day_to_date(c) for c in epoch_day_columns})
     out = out.withColumn(SEQ, sequence_of(modified_at, created_at, "epoch_us"))
-    return drop_columns(out, _present(out, exclude))
+    return drop_columns(out, _excluded(out, exclude, EVENT_LOG_EXCLUDES))
 
 
 def prepare_scd1(df: DataFrame, uuid_columns: Sequence[str] = (),
@@ -91,13 +92,13 @@ def prepare_scd1(df: DataFrame, uuid_columns: Sequence[str] = (),
                  exclude: Sequence[str] = APPEND_EXCLUDES) -> DataFrame:
     out = df.withColumns({c: hex_text(c) for c in uuid_columns})
     out = out.withColumn(SEQ, cdc_struct_sequence(cdc_struct))
-    return drop_columns(out, _present(out, exclude))
+    return drop_columns(out, _excluded(out, exclude, APPEND_EXCLUDES))
 
 
 def prepare_append(df: DataFrame, uuid_columns: Sequence[str] = (),
                    exclude: Sequence[str] = APPEND_EXCLUDES) -> DataFrame:
     out = df.withColumns({c: hex_text(c) for c in uuid_columns})
-    return drop_columns(out, _present(out, exclude))
+    return drop_columns(out, _excluded(out, exclude, APPEND_EXCLUDES))
 
 
 def prepare_epoch_append(df: DataFrame, epoch_day_columns: Sequence[str] = (),
@@ -108,7 +109,7 @@ def prepare_epoch_append(df: DataFrame, epoch_day_columns: Sequence[str] = (),
     if created_at in df.columns:
         conv[created_at] = epoch_us_to_timestamp(created_at)
     out = df.withColumns(conv)
-    return drop_columns(out, _present(out, exclude))
+    return drop_columns(out, _excluded(out, exclude, EPOCH_APPEND_EXCLUDES))
 
 
 def with_processing_time(df: DataFrame) -> DataFrame:
@@ -189,6 +190,7 @@ class CdcSpec:
     partial: bool = False
     except_cols: tuple[str, ...] = (SEQ,)
     key_buckets: int = 64
+    files_per_bucket: int = 4             # of a batch's log and of the table
     seq_chunks: int = 1
     hot_rows: int | None = None
     rules: tuple[quality.Rule, ...] = field(default_factory=tuple)
@@ -209,13 +211,10 @@ def _scd(spec: CdcSpec, events: DataFrame) -> DataFrame:
                     except_cols=spec.except_cols, chunks=spec.seq_chunks, hot_rows=spec.hot_rows)
 
 
-def rebuild_buckets(spark: SparkSession, spec: CdcSpec, buckets: list[int] | None) -> DataFrame:
-    """Batch recompute of the SCD table for whole buckets (all when None)."""
-    log = spark.read.parquet(spec.changelog_path)
-    if buckets is not None:
-        log = log.where(F.col(KEY_BUCKET).isin(buckets))
-    out = _scd(spec, log.drop(BATCH, KEY_BUCKET))
-    return out.withColumn(KEY_BUCKET, _bucket(list(spec.keys), spec.key_buckets))
+def _by_bucket(df: DataFrame, spec: CdcSpec) -> DataFrame:
+    """Rows of a bucket together, in at most ``files_per_bucket`` tasks and so files; a hot key is dealt out by its sequence."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c in (spec.sequence, cdc.START_AT, *spec.keys)]), F.lit(spec.files_per_bucket))
+    return df.repartition(F.col(KEY_BUCKET), salt)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -264,7 +263,7 @@ def cdc_batch_writer(spark: SparkSession, spec: CdcSpec):
                   .withColumn(BATCH, F.lit(batch_id).cast("long")))
         tagged.persist()
         try:
-            (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            (_by_bucket(tagged, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(KEY_BUCKET, BATCH).parquet(spec.changelog_path))
             touched = sorted(r[0] for r in tagged.select(KEY_BUCKET).distinct().collect())
             if spec.rejected_path:
@@ -279,7 +278,7 @@ def cdc_batch_writer(spark: SparkSession, spec: CdcSpec):
                 keys = (cdc.valid_events(tagged, list(spec.keys), spec.sequence)
                         .select(*spec.keys).distinct())
                 rebuilt = rebuild_keys(spark, spec, touched, keys, batch_id)
-                (rebuilt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                (_by_bucket(rebuilt, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy(KEY_BUCKET).parquet(spec.target_path))
                 _delete(spark, f"{spec.target_path.rstrip('/')}_staging/batch={batch_id}")
         finally:

@@ -81,3 +81,23 @@ def test_sql_text_over_batch_and_stream_views(spark, scratch):
     q = st.writeStream.format("memory").queryName("sql_stream_t").trigger(availableNow=True).start()
     q.awaitTermination()
     assert rows(spark.table("sql_stream_t")) == [(1,), (1,)]
+
+
+def test_files_of_a_batch_are_bounded_by_its_buckets(spark, scratch):
+    import os
+    spec = flows.CdcSpec(keys=("id",), sequence="seq", except_cols=("seq",), target_path=f"{scratch}/t", changelog_path=f"{scratch}/l",
+                         checkpoint=f"{scratch}/c", key_buckets=6, files_per_bucket=2)
+    batch = spark.range(4000).selectExpr("id % 500 AS id", "id AS seq", "id AS v").repartition(40)
+    flows.cdc_batch_writer(spark, spec)(batch, 0)
+    for root in (spec.target_path, spec.changelog_path):
+        files = [f for _, _, names in os.walk(root) for f in names if f.endswith(".parquet")]
+        assert 6 <= len(files) <= 12
+    assert flows.read_scd(spark, spec.target_path).count() == 4000
+
+
+def test_an_explicit_exclusion_must_exist(spark):
+    import pytest
+    df = spark.createDataFrame([(1, "a")], "id int, created_by string")
+    assert flows.prepare_append(df).columns == ["id"]
+    with pytest.raises(ValueError):
+        flows.prepare_append(df, exclude=("nothing",))
