@@ -16,6 +16,7 @@ spans.  The chain starts anew at every ``WINDOW``-th word, which bounds the recu
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -186,7 +187,7 @@ def _labelled(docs: list[list[list[str]]], toxic: np.ndarray, share: float, lift
     """
     n0, n1 = max(int((toxic == 0).sum()), 1), max(int((toxic == 1).sum()), 1)
 
-    def before(of: int, only: set[str] | None) -> dict[str, set[str]]:
+    def before(of: int, only: set[str]) -> dict[str, set[str]]:
         seen = defaultdict(set)
         for parts, label in zip(docs, toxic):
             if label == of:
@@ -195,12 +196,16 @@ def _labelled(docs: list[list[list[str]]], toxic: np.ndarray, share: float, lift
                     if p not in done:
                         done.add(p)
                         for f in _features(p):
-                            if only is None or f in only:
+                            if f in only:
                                 seen[f].add(last)
                     last = p
         return seen
 
-    often = {f: len(k) for f, k in before(1, None).items() if len(k) >= max(4, share * n1)}
+    least = max(4, share * n1)
+    docs_with = Counter(f for parts, label in zip(docs, toxic) if label for f in {f for p in set(chain.from_iterable(parts)) for f in _features(p)})
+    common = {f for f, k in docs_with.items() if k >= least}
+    del docs_with
+    often = {f: len(k) for f, k in before(1, common).items() if len(k) >= least}
     clean = before(0, set(often))
     marks = {f for f, k in often.items() if k / n1 >= lift * (len(clean.get(f, ())) + 0.5) / n0}
     marked: dict[str, bool] = {}
@@ -226,9 +231,15 @@ def fit(texts: list[str], toxic: np.ndarray, prior: float, *, marker_share: floa
     parts = [_parts(w) for w in types]
     labels = _labelled([[parts[i] for i in own] for own in index], toxic, marker_share, marker_lift)
     # while fitting, a raw word has the features of all its parts; most have one; features of one raw word only are left out
-    often = Counter(f for ps in parts for p in ps for f in _features(p))
-    names = {f: i for i, f in enumerate(f for f, k in often.items() if k > 1)}
-    del often
+    # counted by hash, so that only the names of features kept are held
+    hashes = np.fromiter((zlib.crc32(f.encode("utf-8", "surrogatepass")) for ps in parts for p in ps for f in _features(p)), np.uint32)
+    values, counts = np.unique(hashes, return_counts=True)
+    twice = np.isin(hashes, values[counts > 1])
+    names: dict[str, int] = {}
+    for f, kept in zip((f for ps in parts for p in ps for f in _features(p)), twice):
+        if kept:
+            names.setdefault(f, len(names))
+    del hashes, values, counts, twice
     features = [np.array(sorted({names[f] for p in ps for f in _features(p) if f in names}), np.int32) for ps in parts]
     flat_features, owner = np.concatenate(features), np.repeat(np.arange(len(features)), [len(f) for f in features])
     kinds = len(features)
@@ -295,7 +306,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: float, l2: float = 1e-3) -> n
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, *, id: str = "doc_id", text: str = "text", label: str = "toxic",
-          sample_docs: int = 600, **options) -> Tagger:
+          sample_docs: int = 800, **options) -> Tagger:
     """Fit on at most ``sample_docs`` labelled documents of each class, those of the smallest id hashes.
 
     Only label rows where ``learn`` holds are read; null ids and labels are left out, several
