@@ -15,6 +15,7 @@ spans.  The chain starts anew at every ``WINDOW``-th word, which bounds the recu
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -24,6 +25,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stratum.llm.common import small_batches, split_by_size
@@ -322,9 +324,19 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, id: str = "doc_i
         return fit([], np.zeros(0, np.int64), prior)
     # at most 2 * sample_docs rows
     few = F.broadcast(spark.createDataFrame(picked, own.schema))
-    rows = docs.join(few, F.col(id) == few["id"]).select(F.col(id).alias("id"), "toxic", F.coalesce(F.col(text), F.lit("")).alias("text")).toArrow().to_pandas()
-    rows = rows.drop_duplicates("text").sort_values(["id", "text"])
-    return fit(rows["text"].tolist(), rows["toxic"].to_numpy(np.int64), prior, **options)
+    rows = docs.join(few, F.col(id) == few["id"]).select(F.col(id).cast("string").alias("id"), "toxic", F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            sample = pa.Table.from_batches(held).to_pandas().drop_duplicates("text").sort_values(["id", "text"])
+            model = fit(sample["text"].tolist(), sample["toxic"].to_numpy(np.int64), prior, **options)
+        else:                               # labels of no document at hand
+            model = fit([], np.zeros(0, np.int64), prior)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    # the bounded sample is fitted in one task, which spares the driver's memory
+    return pickle.loads(rows.repartition(1).mapInArrow(run, "model binary").first()["model"])
 
 
 def scorer(docs: DataFrame, tagger: Tagger, threshold: float = 0.7):

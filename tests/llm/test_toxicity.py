@@ -57,6 +57,8 @@ def test_nulls_no_labels_and_clashing_columns(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (3, None)], "doc_id bigint, toxic int")
     out = T.tag(docs, T.train(docs, labels, F.lit(True))).collect()
     assert len(out) == 4 and all(0 <= r["toxicity"]["score"] <= 1 for r in out)
+    elsewhere = T.train(docs, spark.createDataFrame([(77, 1), (78, 0)], "doc_id bigint, toxic int"), F.lit(True))
+    assert [r["toxicity"]["predicted"] for r in T.tag(docs, elsewhere).collect()] == [0] * 4
     none = T.train(docs, labels.limit(0), F.lit(True))
     assert [r["toxicity"]["predicted"] for r in T.tag(docs, none).collect()] == [0] * 4
     assert T.tag(docs.limit(0), none).count() == 0
