@@ -232,23 +232,24 @@ def fit(texts: list[str], toxic: np.ndarray, prior: float, *, marker_share: floa
     index = [np.array([types.setdefault(w, len(types)) for w in own], np.int64) for own in words]
     parts = [_parts(w) for w in types]
     labels = _labelled([[parts[i] for i in own] for own in index], toxic, marker_share, marker_lift)
-    # while fitting, a raw word has the features of all its parts; most have one; features of one raw word only are left out
-    # counted by hash, so that only the names of features kept are held
+    lengths = np.array([len(w) for w in words], np.int64)
+    token, label = np.concatenate(index), np.concatenate(labels).astype(np.float64)
+    # while fitting, a raw word has the features of all its parts; most have one; features that occur once in all texts are left out
+    # (a marker occurs in four documents at least); occurrences are counted by hash, so that only the names of features kept are held
     hashes = np.fromiter((zlib.crc32(f.encode("utf-8", "surrogatepass")) for ps in parts for p in ps for f in _features(p)), np.uint32)
-    values, counts = np.unique(hashes, return_counts=True)
-    twice = np.isin(hashes, values[counts > 1])
+    each = np.fromiter((sum(4 if len(p) > 6 else max(len(p) - 3, 0) for p in ps) + len(ps) for ps in parts), np.int64, len(parts))
+    values, place = np.unique(hashes, return_inverse=True)
+    twice = np.bincount(place, np.repeat(np.bincount(token, minlength=len(parts)), each), len(values))[place] > 1
     names: dict[str, int] = {}
     for f, kept in zip((f for ps in parts for p in ps for f in _features(p)), twice):
         if kept:
             names.setdefault(f, len(names))
-    del hashes, values, counts, twice
+    del hashes, each, values, place, twice
     features = [np.array(sorted({names[f] for p in ps for f in _features(p) if f in names}), np.int32) for ps in parts]
     flat_features, owner = np.concatenate(features), np.repeat(np.arange(len(features)), [len(f) for f in features])
     kinds = len(features)
     del features, parts
     weights, bias = np.zeros(len(names)), -3.0
-    lengths = np.array([len(w) for w in words], np.int64)
-    token, label = np.concatenate(index), np.concatenate(labels).astype(np.float64)
     laid = Chain.of(lengths)
     tags = np.zeros((WINDOW, laid.windows), np.int64)
     tags[laid.row, laid.column] = label.astype(np.int64)

@@ -43,6 +43,20 @@ def test_spans_are_code_point_offsets():
     assert [text[s["start"]:s["end"]] for s in spans] == ["bad  worse", "bad"]
 
 
+def test_marker_of_one_spelling_has_weight_and_span():
+    """Every document writes 'zork' the same way; no other word shares a prefix with it."""
+    rng = np.random.default_rng(3)
+    plain = [f"w{i}x" for i in range(40)]
+    texts = [" ".join(rng.choice(plain, 30)) for _ in range(60)]
+    toxic = np.array([i % 2 for i in range(60)])
+    texts = [f"{t} zork {rng.choice(plain)}" if y else t for t, y in zip(texts, toxic)]
+    tagger = T.fit(texts, toxic, 0.5)
+    assert tagger.weights["=zork"] > 1
+    out = tagger.predict(["w1x w2x zork w3x", "w1x w2x w3x"], tagger.scorer(), 0.7)
+    assert [[s["start"] for s in x] for x in out.spans] == [[8], []]
+    assert out.score[0] > out.score[1]
+
+
 def test_held_out_quality(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     held = id_remainder("doc_id", 3) == 1
