@@ -26,6 +26,7 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
  h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style template noscript iframe object svg math canvas audio video head title select textarea button datalist".split())
+HEAD_TAGS = frozenset("base basefont bgsound link meta noframes noscript script style template title head html".split())     # end no head
 BOILER_TAGS = frozenset("nav aside footer form menu dialog search".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 REGIONS = frozenset("article main".split())
@@ -84,6 +85,10 @@ class Lines(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
             self.flush()
+        if tag == "body":
+            self._end_head()
+        elif self.silent and self.open[-1][0] == "head" and tag not in HEAD_TAGS:
+            self._end_head()
         elif tag == "br":
             self.text.append(" ")
         self.tags += 1
@@ -110,6 +115,13 @@ class Lines(HTMLParser):
                     self.boiler &= self.comment         # an article ends menus and adverts that were left open
         self.boiler |= boiler
 
+    def _end_head(self) -> None:
+        """The end tag of a head may be left out: the body, or what may not stand in a head, ends it."""
+        for i, x in enumerate(self.open):
+            if x[0] == "head":
+                self._close(i)
+                break
+
     def _close(self, at: int) -> None:
         _, self.silent, self.boiler, self.comment, self.region, self.section, self.link = self.open[at]
         del self.open[at:]
@@ -124,6 +136,8 @@ class Lines(HTMLParser):
                 break
 
     def handle_data(self, data: str) -> None:
+        if self.silent and self.open[-1][0] == "head" and not data.isspace():
+            self._end_head()
         if not self.silent:
             self.text.append(data)
             if self.link:

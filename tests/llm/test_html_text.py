@@ -26,6 +26,18 @@ def test_pages(page, text):
     assert H.main_text(page) == text
 
 
+@pytest.mark.parametrize("start", [
+    "<html><head><title>T</title><body>", "<head><meta charset=utf-8><link href=x><style>a{}</style><body class=c>", "<head><title>T</title>",
+    "<head><script>x = 1</script>\n<img src=x>", "<head><noscript><img src=x></noscript><body>", "<head><template><p>no</p><body>"])
+def test_head_without_end_tag(start):
+    assert H.main_text(f"<!doctype html>{start}<nav>Menu</nav><article><h1>T</h1><p>{LONG}</p></article>") == f"T\n\n{LONG}"
+
+
+def test_text_ends_a_head():
+    assert H.main_text(f"<head><title>T</title>\n{LONG}") == LONG
+    assert H.main_text(f"<head><title>T</title>\n<style>a</style></head><p>{LONG}") == LONG
+
+
 def test_very_long_and_deep_pages():
     assert H.main_text("<article>" + f"<p>{LONG}</p>" * 20_000 + "</article>").count("\n\n") == 19_999
     assert H.main_text("<div>" * 3000 + LONG) == LONG
