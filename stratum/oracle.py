@@ -387,6 +387,39 @@ def _quality_sql() -> str:
     return f"WITH {CLAIM}, {CLAIM_ASSESSMENT}, {BENEFIT_USAGE}\n" + "\nUNION ALL\n".join(parts)
 
 
+_TOTAL, _CHARGED = _money("o_totalprice"), _money("l_extendedprice")
+_BENEFIT = _money("l_extendedprice - l_quantity * 10")
+# Spelled out over the driver tables: what each rule says of the derived feed (ids made by hashing are never null).
+FEED_RULES = {
+    ("invoice", "orders"): {
+        "invoice_id_not_null": "true", "invoice_number_not_null": "o_orderkey IS NOT NULL", "policy_id_not_null": "true",
+        "invoice_date_not_null": "o_orderdate IS NOT NULL", "net_amount_non_negative": f"{_TOTAL} >= 0",
+        "total_amount_non_negative": f"{_TOTAL} >= 0", "gst_amount_non_negative": "true",
+        "paid_amount_non_negative": f"if(o_orderstatus = 'F', {_TOTAL}, 0) >= 0",
+        "balance_due_non_negative": f"{_TOTAL} >= 0 OR (o_orderstatus = 'F' AND o_totalprice IS NOT NULL)",
+        "valid_invoice_status": "true", "period_end_after_start": "o_orderdate IS NOT NULL",
+        "due_date_after_invoice_date": "o_orderdate IS NOT NULL"},
+    ("payment", "lineitem JOIN orders ON l_orderkey = o_orderkey"): {
+        "payment_id_not_null": "true", "payment_number_not_null": "true", "policy_id_not_null": "true", "invoice_id_not_null": "true",
+        "payment_date_not_null": "l_shipdate IS NOT NULL", "payment_amount_positive": f"{_CHARGED} > 0",
+        "valid_payment_status": "false", "valid_payment_method": "true"},      # 'Completed' and 'Pending' are written with capitals
+    ("claim_line", "lineitem"): {
+        "claim_line_id_not_null": "true", "claim_id_not_null": "l_orderkey IS NOT NULL", "line_number_positive": "l_linenumber > 0",
+        "item_code_not_null": "l_partkey IS NOT NULL", "service_date_not_null": "l_shipdate IS NOT NULL",
+        "quantity_positive": "trunc(l_quantity) > 0", "charge_amount_non_negative": f"{_CHARGED} >= 0",
+        "benefit_amount_non_negative": f"{_BENEFIT} >= 0", "gap_amount_non_negative": "l_quantity * 10 >= 0",
+        "schedule_fee_non_negative": "false",                                   # the feed has no fee: null
+        "benefit_not_exceed_charge": f"{_BENEFIT} <= {_CHARGED}"},
+}
+
+
+def _feed_quality_sql() -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{rule}' AS rule, count(*) FILTER (WHERE coalesce({says}, false))::BIGINT AS passed, "
+        f"count(*) FILTER (WHERE NOT coalesce({says}, false))::BIGINT AS failed FROM {source}"
+        for (t, source), rules in FEED_RULES.items() for rule, says in rules.items())
+
+
 def operator_sql() -> dict[str, str]:
     return {
         "latest_per_key": LATEST_PER_KEY,
@@ -400,6 +433,7 @@ def operator_sql() -> dict[str, str]:
         "hex_text": HEX_TEXT,
         "epoch_conversion": EPOCH_CONVERSION,
         "expectation_counts": _quality_sql(),
+        "expectation_counts_feeds": _feed_quality_sql(),
         "expectation_passthrough": f"WITH {CLAIM_ASSESSMENT} SELECT * FROM claim_assessment",
         "member_windows_nulls": "WITH " + _members("if(o_orderkey % 7 <> 0, o_custkey, NULL)", f"if(o_orderkey % 5 <> 0, {_DAY}, NULL)")
         + "\nSELECT id AS claim_id, m AS member_id, * EXCLUDE (m, id, x, life, n, i, before_, after_) FROM gaps",

@@ -45,3 +45,11 @@ def test_status_case_is_significant(spark):
     df = spark.createDataFrame([("Paid",), ("paid",)], "claim_status string")
     r = [x for x in quality.silver_rules("claim") if x.name == "valid_claim_status"]
     assert rows(quality.expectation_counts(df, r)) == [("valid_claim_status", 1, 1)]
+
+
+def test_all_silver_rules_are_counted_by_registered_queries(spark):
+    import __spark_entry__ as E
+    counted = [(r["table_name"], r["rule"]) for name, q in E.queries().items() if name.startswith("expectation_counts")
+               for r in q(spark, "/root/testdata/sf0.001").collect()]
+    assert sorted(counted) == sorted((t, name) for t, rules in quality.SILVER_RULES.items() for name, _ in rules)
+    assert len(counted) == 63
