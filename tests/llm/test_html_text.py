@@ -38,6 +38,18 @@ def test_text_ends_a_head():
     assert H.main_text(f"<head><title>T</title>\n<style>a</style></head><p>{LONG}") == LONG
 
 
+def test_ratios_decide_without_article_or_main(monkeypatch):
+    """Title and paragraphs in divs of their own: what lies near long lines stays, what lies far from them goes."""
+    body = f"<div><h1>Title</h1></div><div><p>{LONG}</p></div><div><p>Short.</p></div><div><p>{LONG}</p></div>"
+    far = "<div><span>a</span><span>b</span></div>" * 8
+    text = f"Title\n\n{LONG}\n\nShort.\n\n{LONG}"
+    got = H.main_text(f"<body>{far}{body}{far}")
+    assert got.startswith(text) and got[len(text):] in ("", "\n\nab")       # smoothing reaches the next line
+    monkeypatch.setattr(H, "DEVIATIONS", 100)
+    assert H.main_text(f"<body>{far}{body}{far}") == ""
+    assert H.main_text(f"<body>{far}<article>{body}</article>{far}") == text    # an article decides by itself
+
+
 def test_very_long_and_deep_pages():
     assert H.main_text("<article>" + f"<p>{LONG}</p>" * 20_000 + "</article>").count("\n\n") == 19_999
     assert H.main_text("<div>" * 3000 + LONG) == LONG
