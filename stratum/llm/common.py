@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -63,6 +64,11 @@ class Scratch:
         out.scratch_path = path
         return out
 
+    def release(self) -> None:
+        """Let Spark remove the shuffle files of finished steps now; else they stay until its next collection of garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, df: DataFrame) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

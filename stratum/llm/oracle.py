@@ -44,6 +44,34 @@ judged AS (SELECT base.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS
 SELECT *, NOT base_failed AND word_chars - removed_chars >= 0.3::DOUBLE * word_chars AS kept FROM judged
 """
 
+OP11 = r"""
+WITH term_rows AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM term_rows GROUP BY doc_id, term),
+doc AS (SELECT doc_id, count(*) AS n FROM term_rows GROUP BY doc_id),
+total AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_all FROM doc),
+weight AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term, n_docs),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * n_docs) // n_all)))))::BIGINT AS score
+           FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN doc USING (doc_id), total GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+OP12 = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n_bytes FROM documents),
+strings AS (SELECT doc_id, i, substr(h, (2 * i + 1)::BIGINT, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, n_bytes - 49)) AS i FROM d WHERE n_bytes >= 50)),
+hits AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS least FROM strings) WHERE least < doc_id),
+heads AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS head FROM hits),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS z FROM (SELECT doc_id, i, sum(head) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM heads) GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, z AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM (SELECT doc_id, a, z FROM runs UNION ALL SELECT doc_id, -1, 0 FROM d)),
+kept AS (SELECT doc_id, string_agg(substr(h, (2 * a + 1)::BIGINT, (2 * (coalesce(z, n_bytes) - a))::BIGINT), '' ORDER BY a) AS k FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+n AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
 
 def sql() -> dict[str, str]:
-    return {"op2_warc": OP2, "op4_embedding_join": OP4, "op9_line_rules": OP9}
+    return {"op2_warc": OP2, "op4_embedding_join": OP4, "op9_line_rules": OP9, "op11_lexical_search": OP11, "op12_cut_repeats": OP12}

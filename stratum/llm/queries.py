@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stratum.llm import embed_join, html_text, langid, line_rules, mixing, oracle, packing, quality, simhash, toxicity, warc
+from stratum.llm import embed_join, html_text, langid, lexical, line_rules, mixing, oracle, packing, quality, repeats, simhash, spelling, toxicity, warc
 from stratum.llm.common import id_remainder, table
 
 
@@ -61,6 +61,18 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.tag(docs.select("doc_id", "text"), tagger).select("doc_id", held_out.alias("held_out"), "toxicity.*")
 
 
+def op11_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), top=10)
+
+
+def op12_cut_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.cut_repeats(table(spark, sf, "documents"), match=50)
+
+
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_warc": op2_warc,
@@ -72,6 +84,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_line_rules": op9_line_rules,
     "op10_toxicity": op10_toxicity,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_cut_repeats": op12_cut_repeats,
+    "op13_spelling": op13_spelling,
 }
 
 
