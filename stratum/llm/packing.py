@@ -12,6 +12,7 @@ broadcast, and every piece finds its place from its number among the pieces of i
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,14 +25,34 @@ from pyspark.sql import DataFrame, Window, functions as F
 from stratum.llm.common import Scratch
 
 END = b"\0\0\0\0"               # id 0 ends a document
-CACHE = 400_000                 # words a worker remembers
+CACHE = 300_000                 # words, and parts of words, that a worker remembers
 # Latin letters and then ASCII punctuation but the apostrophe: words whose cut is known without the tokenizer's patterns
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]*)([!-&(-/:-@\\[-`{-~]*)")
-_WHOLE = re.compile("[\x1c-\x1f]|<\\|")
+_WHOLE = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")        # a text with one of these is not cut into words
 # byte-level alphabet: a byte that is no printable Latin-1 character stands for the next free code point from 256 on
 _BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 
 
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class PartIds(dict):
+    """Lower-case letters, or punctuation -> ids as little-endian 32-bit numbers."""
+
+    def __init__(self, model):
+        super().__init__({"": b""})
+        self.model = model
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= CACHE:
+            self.clear()
+            self[""] = b""
+        known = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTES)
+        self[part] = ids = packed([t.id for t in self.model.tokenize(known)])
+        return ids
+
+
 class WordIds(dict):
     """Word without white space -> its ids as little-endian 32-bit numbers."""
 
@@ -39,33 +60,27 @@ class WordIds(dict):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.parts = PartIds(self.tokenizer.model)
         self.plain = self._is_word_level()
 
     def _is_word_level(self) -> bool:
         """Whether words can be cut apart: the known lower-casing word tokenizer, else every text goes through whole."""
         sample = "The naïve fox, Über### | x!!"
-        whole = self.tokenizer.encode(sample, add_special_tokens=False).ids
-        return whole == [i for w in sample.split() for i in self._word(w)]
+        return self.whole(sample) == b"".join(map(self.__getitem__, sample.split()))
 
-    def _ids(self, part: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(_BYTES))]
-
-    def _word(self, word: str) -> list[int]:
-        plain = _PLAIN.fullmatch(word)
-        if plain:
-            return [i for part in plain.groups() if part for i in self._ids(part.lower())]
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+    def whole(self, text: str) -> bytes:
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE:
             self.clear()
-        self[word] = ids = np.array(self._word(word), "<u4").tobytes()
+        plain = _PLAIN.fullmatch(word)
+        self[word] = ids = self.parts[plain[1].lower()] + self.parts[plain[2]] if plain else self.whole(word)
         return ids
 
     def text(self, text: str) -> bytes:
-        if not self.plain or _WHOLE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if not self.plain or any(w in text for w in _WHOLE):
+            return self.whole(text)
         return b"".join(map(self.__getitem__, text.split()))
 
 
