@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -65,9 +66,14 @@ class Scratch:
         return out
 
     def release(self) -> None:
-        """Let Spark remove the shuffle files of finished steps now; else they stay until its next collection of garbage."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+        """Let Spark remove the shuffle files of finished steps now; else they stay until its next collections of garbage.
+
+        The first collection frees the plans, the second one what they held.
+        """
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)
 
     def drop(self, df: DataFrame) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)

@@ -41,18 +41,26 @@ def power_targets(cells: DataFrame, powers: dict[str, float]) -> DataFrame:
     for d in DIMENSIONS:
         own = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
         raised = own.select("value", F.pow("tokens", F.lit(float(powers[d]))).alias("p"))
-        total = raised.agg(F.sum("p").alias("all"))
-        shares = raised.join(F.broadcast(total)).select(F.lit(d).alias("dimension"), "value", (F.col("p") / F.col("all")).alias("share"))
+        total = raised.agg(F.sum("p")).first()[0] or 1.0
+        shares = raised.select(F.lit(d).alias("dimension"), "value", (F.col("p") / F.lit(total)).alias("share"))
         out = shares if out is None else out.union(shares)
     return out
 
 
-def rake(cells: DataFrame, targets: DataFrame, scratch: Scratch, *, tolerance: float = 1e-6, rounds: int = 40) -> DataFrame:
-    """Cells with ``weight``, whose sums by source, lang and topic are the targets' shares.
+def widened(cells: DataFrame, targets: DataFrame, by: float) -> DataFrame:
+    """Targets moved by this part of the way to the shares that the tokens have as they are."""
+    own = power_targets(cells, dict.fromkeys(DIMENSIONS, 1.0)).withColumnRenamed("share", "own")
+    both = targets.join(own, ["dimension", "value"], "full")
+    zero = F.lit(0.0)
+    return both.select("dimension", "value", (F.coalesce("share", zero) * (1 - by) + F.coalesce("own", zero) * by).alias("share"))
+
+
+def rake(cells: DataFrame, targets: DataFrame, scratch: Scratch, *, tolerance: float = 1e-6, rounds: int = 40) -> tuple[DataFrame, float]:
+    """Cells with ``weight``, whose sums by source, lang and topic are the targets' shares; by how much a share is off at most.
 
     Each round scales the weights to the three marginals in turn and writes the cells; it
-    ends when no marginal is off by more than ``tolerance``, or after ``rounds``.  Values
-    without tokens have no cells; targets for them are ignored and the others scaled to 1.
+    ends when no marginal is off by more than ``tolerance``, when the rounds no longer change
+    that (the targets contradict each other), or after ``rounds``.  Values without tokens have no cells; targets for them are ignored and the others scaled to 1.
     """
     present = None
     for d in DIMENSIONS:
@@ -63,7 +71,8 @@ def rake(cells: DataFrame, targets: DataFrame, scratch: Scratch, *, tolerance: f
     usable = scratch.keep(usable.join(F.broadcast(scale), "dimension").select("dimension", "value", (F.col("share") / F.col("all")).alias("share")), "targets")
     wanted = {d: usable.where(F.col("dimension") == d).select(F.col("value").alias(d), "share") for d in DIMENSIONS}
     now = scratch.keep(cells.withColumn("weight", F.col("tokens").cast("double")).withColumn("off", F.lit(0.0)), "raked")
-    for _ in range(rounds):
+    worst = 0.0
+    for k in range(rounds):
         df = now.withColumn("off", F.lit(0.0))
         for d in DIMENSIONS:
             sums = df.groupBy(d).agg(F.sum("weight").alias("have")).join(wanted[d], d, "left").select(
@@ -74,10 +83,12 @@ def rake(cells: DataFrame, targets: DataFrame, scratch: Scratch, *, tolerance: f
         step = scratch.keep(df, "raked")
         scratch.drop(now)
         now = step
-        worst = now.agg(F.max("off")).first()[0]
-        if worst is None or worst <= tolerance:
+        before, worst = worst, now.agg(F.max("off")).first()[0] or 0.0
+        if worst <= tolerance or k > 2 and worst > 0.999 * before:
             break
-    return now.drop("off")
+        if k % 8 == 7:
+            scratch.release()
+    return now.drop("off"), worst
 
 
 def probabilities(raked: DataFrame, budget: float, rounds: int = 30) -> DataFrame:
@@ -113,13 +124,31 @@ def _value(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
 
 
-def cell_probabilities(rows: DataFrame, scratch: Scratch, powers: dict[str, float] | None, targets: DataFrame | None, keep: float) -> DataFrame:
-    """source, lang, topic, weight, prob of every cell of ``rows`` (source, lang, topic, n_words)."""
+def cell_probabilities(rows: DataFrame, scratch: Scratch, powers: dict[str, float] | None, targets: DataFrame | None, keep: float,
+                       tolerance: float = 1e-6) -> DataFrame:
+    """source, lang, topic, weight, prob of every cell of ``rows`` (source, lang, topic, n_words).
+
+    Given targets that no weights meet raise an error.  Targets made of ``powers`` move towards the
+    shares as they are, a quarter of the way at a time, until weights meet them (they do at the end).
+    """
+    spark = rows.sparkSession
     cells = scratch.keep(rows.groupBy(*DIMENSIONS).agg(F.count("*").alias("docs"), F.sum("n_words").alias("tokens")), "cells")
-    if targets is None:
-        targets = power_targets(cells, powers or {"source": 0.8, "lang": 0.8, "topic": 0.8})
+    wanted = targets if targets is not None else power_targets(cells, powers or {"source": 0.8, "lang": 0.8, "topic": 0.8})
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    return probabilities(rake(cells, targets, scratch), keep * total)
+    text = spark.conf.get("spark.sql.maxPlanStringLength")
+    spark.conf.set("spark.sql.maxPlanStringLength", "2000")     # the rounds' plans are alike: the driver need not keep their text
+    try:
+        for by in (0.0, 0.25, 0.5, 0.75, 1.0):
+            raked, worst = rake(cells, widened(cells, wanted, by) if by else wanted, scratch, tolerance=tolerance)
+            if worst <= tolerance:
+                break
+            if targets is not None:
+                raise ValueError(f"no weights meet the targets: a share stays off by {worst:.3g}")
+        out = scratch.keep(probabilities(raked, keep * total), "probabilities")
+    finally:
+        spark.conf.set("spark.sql.maxPlanStringLength", text)
+    scratch.release()
+    return out
 
 
 def mix(docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: str | None = None,
@@ -130,7 +159,9 @@ def mix(docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: str
     marginals; ``keep`` is the share of all tokens to expect in the sample.  A null source,
     language or topic is a value of its own.  Rows without words have no weight: their
     probability is their cell's, or 1 in a cell without words.  Rows that repeat an id are
-    kept or dropped together where their cells agree.  Other columns are not read.
+    kept or dropped together where their cells agree.  Texts of any length are counted whole.
+    Targets that cannot be met raise an error, or are widened (see ``cell_probabilities``).
+    Other columns are not read.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     rows = scratch.keep(docs.select(
@@ -151,7 +182,7 @@ def sample(docs: DataFrame, *, id: str = "doc_id", text: str = "text", source: s
     scratch = Scratch(docs.sparkSession, "sampling")
     form = _value(topic) if topic else form_topic(F.col(text))
     rows = docs.select(_value(source).alias("source"), _value(lang).alias("lang"), form.alias("topic"), n_words(F.col(text)).alias("n_words"))
-    prob = scratch.keep(cell_probabilities(rows, scratch, powers, targets, keep), "probabilities")
+    prob = cell_probabilities(rows, scratch, powers, targets, keep)
     key, chance = free_name(docs, "cell"), free_name(docs, "chance")
     cell = lambda *parts: F.struct(*parts)
     chances = prob.select(cell("source", "lang", "topic").alias(key), F.col("prob").alias(chance))

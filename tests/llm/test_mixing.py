@@ -75,5 +75,20 @@ def test_no_python_on_the_main_path(spark):
 
 def test_rake_of_cells_without_tokens(spark):
     cells = spark.createDataFrame([("a", "en", "t", 1, 0)], "source string, lang string, topic string, docs bigint, tokens bigint")
-    out = M.rake(cells, M.power_targets(cells, {"source": 1, "lang": 1, "topic": 1}), Scratch(spark, "t")).collect()
-    assert out[0]["weight"] == 0
+    out, worst = M.rake(cells, M.power_targets(cells, {"source": 1, "lang": 1, "topic": 1}), Scratch(spark, "t"))
+    assert out.first()["weight"] == 0 and worst == 0
+
+
+def test_targets_that_cannot_be_met(spark):
+    rows = [(1, "word " * 30, "a", "en"), (2, "word " * 10, "b", "fr")]
+    targets = spark.createDataFrame([("source", "a", 0.5), ("source", "b", 0.5), ("lang", "en", 0.9), ("lang", "fr", 0.1), ("topic", "t0", 1.0)], "dimension string, value string, share double")
+    with pytest.raises(ValueError, match="no weights meet the targets"):
+        M.mix(frame(spark, rows), topic="topic", targets=targets)
+    # powers that contradict each other: widened to the shares as they are
+    out = {r["source"]: r["weight"] for r in M.mix(frame(spark, rows), topic="topic", powers={"source": 0.0, "lang": 1.0, "topic": 1.0}).collect()}
+    assert out["a"] == pytest.approx(0.75, abs=1e-5) and out["b"] == pytest.approx(0.25, abs=1e-5)
+
+
+def test_very_long_text(spark):
+    out = M.mix(frame(spark, [(999, "w " * 400_000, "a", "en")])).first()
+    assert out["n_words"] == 400_000 and out["topic"] == "long"
