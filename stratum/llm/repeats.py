@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from stratum.llm.common import Scratch
 
 ANCHOR = 16                     # bytes of an anchor
-PIECE = 1 << 20                 # strings looked at once
+PIECE = 1 << 18                 # strings looked at once
 CUT = 64                        # strings of a segment
 INDEXED = 1 << 19               # bytes of segments indexed at once
 MOST_SEGMENTS = 8192            # of an anchor in an index
@@ -44,14 +44,19 @@ def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def _anchors(data: bytes, first: int, n: int, match: int) -> np.ndarray:
+def _anchors(body: np.ndarray, first: int, n: int, match: int) -> np.ndarray:
     """The smallest hash in each of the ``n`` strings of ``match`` bytes from byte ``first`` on."""
     width = match - ANCHOR + 1
-    words = np.ndarray(n + width - 1 + 8, "<u8", data, first, (1,))
-    h = words[:-8] * _MIX[0] ^ (words[8:] * _MIX[1] >> np.uint64(7))
-    h ^= h >> np.uint64(31)
+    words = np.ndarray(n + width - 1 + 8, "<u8", body, first, (1,))
+    h = words[:-8] * _MIX[0]
+    other = words[8:] * _MIX[1]
+    other >>= np.uint64(7)
+    h ^= other
+    np.right_shift(h, np.uint64(31), other)
+    h ^= other
     h *= _MIX[2]
-    h ^= h >> np.uint64(29)
+    np.right_shift(h, np.uint64(29), other)
+    h ^= other
     step = 1
     while 2 * step <= width:
         h = np.minimum(h[:-step], h[step:])
@@ -59,26 +64,50 @@ def _anchors(data: bytes, first: int, n: int, match: int) -> np.ndarray:
     return np.minimum(h[:n], h[width - step:width - step + n])
 
 
-def segments(data: bytes, match: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """start, number of strings and 48-bit key of each run of strings with one anchor."""
-    starts, counts, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    whole = len(data) - match + 1
-    for first in range(0, whole, PIECE):
-        n = min(PIECE, whole - first)
-        low = _anchors(data, first, n, match)
-        heads = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
-        size = np.diff(np.r_[heads, n])
-        parts = -(-size // CUT)
-        at = spans(np.zeros(len(heads), np.int64), parts) * CUT
-        starts.append(np.repeat(heads, parts) + at + first)
-        counts.append(np.minimum(np.repeat(size, parts) - at, CUT))
-        key = low[heads] * _MIX[0]
-        keys.append(np.repeat(((key ^ key >> np.uint64(32)) & np.uint64((1 << 48) - 1)).astype(np.int64), parts))
-    return np.concatenate(starts), np.concatenate(counts), np.concatenate(keys)
-
-
-def _text(value: pa.Scalar) -> bytes:
-    return value.as_py() or b""
+class Texts:
+    """The bytes of a column of texts after each other: text ``i`` is ``body[at[i]:at[i + 1]]``."""
+
+    def __init__(self, column: pa.Array):
+        column = column.fill_null(b"")
+        _, ends, data = column.buffers()
+        self.at = np.frombuffer(ends, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
+        self.body = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+
+    def segments(self, match: int) -> tuple[np.ndarray, ...]:
+        """text, start, number of strings and 48-bit key of each run of strings with one anchor."""
+        found = [(np.zeros(0, np.int64),) * 4]
+        whole = self.at[-1] - match + 1
+        for first in range(int(self.at[0]), int(whole), PIECE):
+            n = min(PIECE, int(whole) - first)
+            low = _anchors(self.body, first, n, match)
+            head = np.r_[True, low[1:] != low[:-1]]
+            head[self.at[(self.at >= first) & (self.at < first + n)] - first] = True
+            heads = np.flatnonzero(head)
+            text = np.searchsorted(self.at, heads + first, "right") - 1
+            size = np.minimum(np.r_[heads[1:], n], self.at[text + 1] - match + 1 - first) - heads
+            full = size > 0         # else the strings reach into the next text
+            heads, text, size = heads[full], text[full], size[full]
+            parts = -(-size // CUT)
+            at = spans(np.zeros(len(heads), np.int64), parts) * CUT
+            key = low[heads] * _MIX[0]
+            key = ((key ^ key >> np.uint64(32)) & np.uint64((1 << 48) - 1)).astype(np.int64)
+            found.append((np.repeat(text, parts), np.repeat(heads, parts) + at + first, np.minimum(np.repeat(size, parts) - at, CUT), np.repeat(key, parts)))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def shared(self, keys: pa.Array, match: int) -> tuple[np.ndarray, ...]:
+        """The segments whose anchors are among their text's ``keys``."""
+        text, start, count, key = self.segments(match)
+        size = keys.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        listed = keys.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        held = np.isin(text << 48 | key, np.repeat(np.arange(len(keys)), size) << 48 | listed)
+        return text[held], start[held], count[held], key[held]
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows than a number of 15 bits counts."""
+    for b in batches:
+        for at in range(0, b.num_rows, 32768):
+            yield b.slice(at, 32768)
 
 
 def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -88,11 +117,10 @@ def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
 def _keys_of(rows: DataFrame, match: int) -> DataFrame:
     """id, key: each anchor of each row, once a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [np.unique(segments(_text(t), match)[2]) for t in b.column(1)]
-            owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            if len(owner):
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owner)), pa.array(np.concatenate(found))], names=["id", "key"])
+        for b in _slices(batches):
+            text, _, _, key = Texts(b.column(1)).segments(match)
+            both = np.unique(text << 48 | key)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(both >> 48)), pa.array(both & (1 << 48) - 1)], names=["id", "key"])
 
     return rows.where("id IS NOT NULL").mapInArrow(run, f"id {dict(rows.dtypes)['id']}, key bigint")
 
@@ -107,29 +135,19 @@ def shared_keys(rows: DataFrame, match: int, scratch: Scratch) -> DataFrame:
     return out
 
 
-def _held(data: bytes, keys: pa.Scalar, match: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The segments of a text whose anchors are among ``keys``."""
-    if not keys.is_valid:
-        return (np.zeros(0, np.int64),) * 3
-    start, count, key = segments(data, match)
-    shared = np.isin(key, keys.values.to_numpy(zero_copy_only=False))
-    return start[shared], count[shared], key[shared]
-
-
 def owned_segments(rows: DataFrame, keys: DataFrame, match: int) -> DataFrame:
     """key, segment, owner: each different segment with a shared anchor, and the smallest id that holds it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k, t in enumerate(b.column("text")):
-                data = _text(t)
-                start, count, key = _held(data, b.column("keys")[k], match)
-                for at in range(0, len(start), PIECE // CUT):
-                    own = slice(at, at + PIECE // CUT)
-                    size = count[own] + match - 1
-                    body = np.frombuffer(data, np.uint8)[spans(start[own], size)]
-                    ends = pa.py_buffer(np.r_[0, np.cumsum(size)].astype(np.int32))
-                    found = pa.Array.from_buffers(pa.binary(), len(size), [None, ends, pa.py_buffer(body)])
-                    yield pa.RecordBatch.from_arrays([pa.array(key[own]), found, b.column("id").take(pa.array(np.full(len(size), k)))], names=["key", "segment", "id"])
+        for b in _slices(batches):
+            texts = Texts(b.column("text"))
+            text, start, count, key = texts.shared(b.column("keys"), match)
+            for at in range(0, len(start), PIECE // CUT):
+                own = slice(at, at + PIECE // CUT)
+                size = count[own] + match - 1
+                body = texts.body[spans(start[own], size)]
+                ends = pa.py_buffer(np.r_[0, np.cumsum(size)].astype(np.int32))
+                found = pa.Array.from_buffers(pa.binary(), len(size), [None, ends, pa.py_buffer(body)])
+                yield pa.RecordBatch.from_arrays([pa.array(key[own]), found, b.column("id").take(pa.array(text[own]))], names=["key", "segment", "id"])
 
     joined = rows.join(keys.hint("shuffle_hash"), "id").select("id", "text", "keys")
     return (joined.mapInArrow(run, f"key bigint, segment binary, id {dict(rows.dtypes)['id']}")
@@ -273,42 +291,56 @@ def _by_string(owned: DataFrame, match: int) -> DataFrame:
     return lost.groupBy("id", "segment_hash").agg(F.collect_list("offset").alias("offsets"))
 
 
+def removal(texts: Texts, keys: pa.Array, owned: pa.Array, match: int) -> np.ndarray:
+    """Which bytes go: those of strings in segments of other owners, and of the strings listed in ``owned`` (hash, offsets)."""
+    text, start, count, _ = texts.shared(keys, match)
+    view, hashed = memoryview(texts.body), xxhash.xxh64_intdigest
+    own = np.array([hashed(view[a:z], 42) for a, z in zip(start.tolist(), (start + count + match - 1).tolist())], np.uint64).view(np.int64)
+    listed = owned.flatten()
+    owner = np.repeat(np.arange(len(owned)), owned.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    code = listed.field("segment_hash").to_numpy(zero_copy_only=False).astype(np.int64)
+    order = np.lexsort((code, owner))
+    both = np.empty(len(order), [("t", np.int64), ("h", np.int64)])
+    both["t"], both["h"] = owner[order], code[order]
+    asked = np.empty(len(own), both.dtype)
+    asked["t"], asked["h"] = text, own
+    _, number = np.unique(np.concatenate([both, asked]), return_inverse=True)
+    place = np.full(number.max(initial=-1) + 1, -1)
+    place[number[:len(both)]] = order
+    place = place[number[len(both):]]       # of each segment in ``listed``, or -1
+    alien = place < 0
+    edge = np.zeros(len(texts.body) + 1, np.int32)
+    np.add.at(edge, start[alien], 1)
+    np.add.at(edge, (start + count + match - 1)[alien], -1)
+    offsets = listed.field("offsets")
+    size = offsets.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    first = np.cumsum(size) - size
+    lost = np.repeat(start[~alien], size[place[~alien]]) + offsets.flatten().to_numpy(zero_copy_only=False)[spans(first[place[~alien]], size[place[~alien]])]
+    np.add.at(edge, lost, 1)
+    np.add.at(edge, lost + match, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
 def _cut(rows: DataFrame, facts: DataFrame, match: int, id_type: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            size, removed, runs, digest = [], [], [], []
-            for k, t in enumerate(b.column("text")):
-                data = _text(t)
-                start, count, _ = _held(data, b.column("keys")[k], match)
-                lost = removal(data, start, count, b.column("owned")[k].as_py() or [], match)
-                body = np.frombuffer(data, np.uint8)
-                size.append(len(data))
-                removed.append(int(lost.sum()))
-                runs.append(int(lost[:1].sum() + np.count_nonzero(lost[1:] & ~lost[:-1])))
-                digest.append(hashlib.sha256(body[~lost].tobytes() if removed[-1] else data).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(x, pa.int64()) for x in (size, removed, runs)), pa.array(digest, pa.string())],
+        for b in _slices(batches):
+            texts = Texts(b.column("text"))
+            gone = removal(texts, b.column("keys"), b.column("owned"), match)
+            starts, ends = texts.at[:-1], texts.at[1:]
+            head = gone.copy()
+            head[1:] &= ~gone[:-1]
+            full = starts[starts < ends]
+            head[full] = gone[full]
+            removed, runs = (np.r_[0, np.cumsum(x)] for x in (gone, head))
+            removed, runs = removed[ends] - removed[starts], runs[ends] - runs[starts]
+            digest = [hashlib.sha256(texts.body[a:z][~gone[a:z]] if n else texts.body[a:z]).hexdigest() for a, z, n in zip(starts.tolist(), ends.tolist(), removed.tolist())]
+            yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(x, pa.int64()) for x in (ends - starts, removed, runs)), pa.array(digest, pa.string())],
                                              names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     joined = rows.join(facts.hint("shuffle_hash"), "id", "left").select("id", "text", "keys", "owned")
     return joined.mapInArrow(run, f"id {id_type}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
-def removal(data: bytes, start: np.ndarray, count: np.ndarray, owned: list, match: int) -> np.ndarray:
-    """Which bytes of a text go: those of strings in segments of other owners, and of the strings listed in ``owned``."""
-    own = {o["segment_hash"]: o["offsets"] for o in owned}
-    edge = np.zeros(len(data) + 1, np.int32)
-    for s, n in zip(start.tolist(), count.tolist()):
-        offsets = own.get(np.int64(np.uint64(xxhash.xxh64_intdigest(data[s:s + n + match - 1], 42))).item()) if own else None
-        if offsets is None:
-            edge[s] += 1
-            edge[s + n + match - 1] -= 1
-        else:
-            for o in offsets:
-                edge[s + o] += 1
-                edge[s + o + match] -= 1
-    return np.cumsum(edge[:-1]) > 0
-
-
 def cut_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", match: int = 50) -> DataFrame:
     """``id``, n_bytes, n_removed, n_spans, kept_sha256 for every row.
 
@@ -324,10 +356,11 @@ def cut_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", matc
     keys = shared_keys(rows, match, scratch)
     owned = scratch.keep(owned_segments(rows, keys, match), "segments")
     scratch.release()
-    many = owned.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > MOST_SEGMENTS).select("key")
-    many = scratch.keep(many, "many")
-    few = owned.join(many, "key", "left_anti")
-    lost = scratch.keep(_indexed(few, match, id_type).unionByName(_by_string(owned.join(many, "key", "left_semi"), match)), "lost")
+    sizes = scratch.keep(owned.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    some, many = (sizes.where(F.col("n").between(2, MOST_SEGMENTS)).select("key"), sizes.where(F.col("n") > MOST_SEGMENTS).select("key"))
+    alone = owned.join(sizes.select("key"), "key", "left_anti").select(F.col("owner").alias("id"), F.xxhash64("segment").alias("segment_hash"), F.array().cast("array<int>").alias("offsets"))
+    compared = _indexed(owned.join(some, "key", "left_semi"), match, id_type).unionByName(_by_string(owned.join(many, "key", "left_semi"), match))
+    lost = scratch.keep(alone.unionByName(compared), "lost")
     scratch.release()
     of_owner = lost.groupBy("id").agg(F.collect_list(F.struct("segment_hash", "offsets")).alias("owned"))
     facts = scratch.keep(keys.join(of_owner, "id", "left"), "facts")

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
 from stratum.llm import repeats
@@ -66,10 +67,12 @@ def test_many_segments_and_small_pieces(spark, monkeypatch):
 
 def test_pieces_of_a_long_text(spark, monkeypatch):
     docs = [(1, corpus(60)[7][1] * 3), (2, " ".join(t for _, t in corpus(60)))]
-    whole = repeats.segments(docs[1][1].encode(), 50)
+    texts = repeats.Texts(pa.array([t.encode() for _, t in docs] + [None, b"", b"x" * 50]))
+    whole = texts.segments(50)
     monkeypatch.setattr(repeats, "PIECE", 333)
-    cut = repeats.segments(docs[1][1].encode(), 50)
-    strings = lambda s: {(a + k, key) for a, n, key in zip(*(x.tolist() for x in s)) for k in range(n)}
+    cut = texts.segments(50)
+    strings = lambda s: {(t, a + k, key) for t, a, n, key in zip(*(x.tolist() for x in s)) for k in range(n)}
+    assert sum(n for n in whole[2].tolist()) == sum(len(t.encode()) - 49 for _, t in docs) + 1
     assert strings(whole) == strings(cut)
 
 
