@@ -31,10 +31,10 @@ from stratum.llm.common import Scratch
 _BREAKS = re.compile("[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 QUERY_TERMS = 100_000           # (item, term) pairs answered at once
-SHARD_POSTINGS = 500_000
+SHARD_POSTINGS = 250_000
 BLOCK = 64                      # documents of a block, about
 DIMENSIONS = 16                 # of the projected vectors
-ENTRIES = 2_000_000             # summary entries made at once
+ENTRIES = 1_000_000             # summary entries made at once
 
 
 def terms(text: str) -> list[str]:
@@ -128,20 +128,19 @@ class Shard:
     def _summarise(self) -> None:
         """For each term the blocks that have it, with the largest gain of their documents."""
         entries = np.add.reduceat(self.size[self.block_docs], self.block_start) if len(self.block_size) else self.block_size
-        part = np.cumsum(entries) // ENTRIES
+        part = np.cumsum(entries + self.n_terms) // ENTRIES
         blocks, found, best = [], [], []
         for p in np.unique(part):
             own = np.flatnonzero(part == p)
             docs = self.block_docs[spans(self.block_start[own], self.block_size[own])]
-            block = np.repeat(np.repeat(own, self.block_size[own]), self.size[docs])
             place = spans(self.start[docs], self.size[docs])
-            key = block * self.n_terms + self.term[place]
-            order = np.argsort(key, kind="stable")
-            key = key[order]
-            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            blocks.append(key[first] // self.n_terms)
-            found.append(key[first] % self.n_terms)
-            best.append(np.maximum.reduceat(self.gain[place][order], first))
+            cell = np.repeat(np.repeat(np.arange(len(own)) * self.n_terms, self.block_size[own]), self.size[docs]) + self.term[place]
+            most = np.zeros(len(own) * self.n_terms, np.int64)
+            np.maximum.at(most, cell, self.gain[place])
+            cell = np.flatnonzero(most)
+            blocks.append((own[cell // self.n_terms]).astype(np.int32))
+            found.append((cell % self.n_terms).astype(np.int32))
+            best.append(most[cell])
         none = [np.zeros(0, np.int64)]
         block, term, best = (np.concatenate(x or none) for x in (blocks, found, best))
         order = np.argsort(term, kind="stable")
