@@ -102,10 +102,10 @@ def neighbours(words: DataFrame, scratch: Scratch, shortest: int) -> DataFrame:
     ends = paths.select(F.element_at("path", -1)["node"].alias("node"), F.col("word").alias("other"))
     seeds = scratch.keep(_seeds(paths), "seeds")
     lost = seeds.where("rest <> ''").select("word", _part("rest", F.lit(1)).alias("rest"), "node")
-    states = scratch.keep(_branch(seeds, edges).unionByName(lost).distinct(), "states")
+    states = scratch.keep(_branch(seeds, edges).unionByName(lost), "states")
     done = states.where("rest = ''")
     while not states.where("rest <> ''").isEmpty():
-        states = scratch.keep(_advance(states, edges).distinct(), "states")
+        states = scratch.keep(_advance(states, edges), "states")
         done = done.union(states.where("rest = ''"))
     pairs = done.select("word", "node").join(ends, "node").select("word", "other").distinct()
     return pairs.where(F.levenshtein("word", "other", 1) == 1)
