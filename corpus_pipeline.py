@@ -25,4 +25,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        scratch.release()
     return STAGES[-1][1](spark, docs, sf_dir)
