@@ -5,7 +5,7 @@ term's posting list is clustered by the similarity of its documents (projected v
 their weighted terms; evenly spaced documents of the list are the centres).  A block keeps a
 summary: for each term the largest contribution to a score of any of its documents.  A query
 visits the blocks of its terms from the highest bound (the sum of the summary over the
-query's terms) downwards, scores their documents in full, and leaves out a block only if its
+query's terms; a summary holds what queries can ask of the block) downwards, scores their documents in full, and leaves out a block only if its
 bound lies below the score of the tenth document found so far.  Scores are 64-bit integers,
 so bounds are exact and no document of the true ranking is ever skipped.
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stratum.llm.common import Scratch
+from stratum.llm.common import Scratch, split_by_size
 
 # Fixed value of the contract: what separates terms.
 _BREAKS = re.compile("[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -34,7 +34,7 @@ QUERY_TERMS = 100_000           # (item, term) pairs answered at once
 SHARD_POSTINGS = 250_000
 BLOCK = 64                      # documents of a block, about
 DIMENSIONS = 16                 # of the projected vectors
-ENTRIES = 1_000_000             # summary entries made at once
+ENTRIES = 1_000_000             # postings summarised at once
 
 
 def terms(text: str) -> list[str]:
@@ -81,17 +81,29 @@ def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def partners(queries: list[np.ndarray]) -> dict[int, np.ndarray]:
+    """For each term the terms that some query has beside it, and itself."""
+    beside: dict[int, list[np.ndarray]] = {}
+    for q in queries:
+        for t in q.tolist():
+            beside.setdefault(t, []).append(q)
+    return {t: np.unique(np.concatenate(qs)) for t, qs in beside.items()}
+
+
 class Shard:
-    """Documents (rows) with their terms' contributions, and the blocks of every posting list."""
+    """Documents (rows) with their terms' contributions, and the blocks of every posting list.
+
+    A block of term t is only ever asked for terms that queries have beside t: ``beside``.
+    """
 
-    def __init__(self, size: np.ndarray, term: np.ndarray, gain: np.ndarray, n_terms: int):
+    def __init__(self, size: np.ndarray, term: np.ndarray, gain: np.ndarray, n_terms: int, beside: dict[int, np.ndarray]):
         self.ends = np.cumsum(size)
         self.size, self.start, self.term, self.gain, self.n_terms = size, self.ends - size, term, gain, n_terms
         doc = np.repeat(np.arange(len(size)), size)
         order = np.argsort(term, kind="stable")
         self.listed, counts = doc[order], np.bincount(term, minlength=n_terms)
         self._cluster(counts)
-        self._summarise()
+        self._summarise(beside)
 
     def _vectors(self) -> np.ndarray:
         """The documents' gains in a few random directions, scaled to length 1."""
@@ -125,27 +137,26 @@ class Shard:
         self.block_docs, self.block_size, self.block_term = (np.concatenate(x or none) for x in (docs, sizes, owner))
         self.block_start = np.cumsum(self.block_size) - self.block_size
 
-    def _summarise(self) -> None:
-        """For each term the blocks that have it, with the largest gain of their documents."""
-        entries = np.add.reduceat(self.size[self.block_docs], self.block_start) if len(self.block_size) else self.block_size
-        part = np.cumsum(entries + self.n_terms) // ENTRIES
-        blocks, found, best = [], [], []
-        for p in np.unique(part):
-            own = np.flatnonzero(part == p)
-            docs = self.block_docs[spans(self.block_start[own], self.block_size[own])]
-            place = spans(self.start[docs], self.size[docs])
-            cell = np.repeat(np.repeat(np.arange(len(own)) * self.n_terms, self.block_size[own]), self.size[docs]) + self.term[place]
-            most = np.zeros(len(own) * self.n_terms, np.int64)
-            np.maximum.at(most, cell, self.gain[place])
-            cell = np.flatnonzero(most)
-            blocks.append((own[cell // self.n_terms]).astype(np.int32))
-            found.append((cell % self.n_terms).astype(np.int32))
-            best.append(most[cell])
-        none = [np.zeros(0, np.int64)]
-        block, term, best = (np.concatenate(x or none) for x in (blocks, found, best))
-        order = np.argsort(term, kind="stable")
-        self.summary_block, self.summary_gain = block[order], best[order]
-        self.summary_at = np.r_[0, np.cumsum(np.bincount(term, minlength=self.n_terms))]
+    def _summarise(self, beside: dict[int, np.ndarray]) -> None:
+        """For each term: its blocks and, by block and term beside it, the largest gain of the block's documents."""
+        self.blocks, column = {}, np.full(self.n_terms, -1)
+        edges = np.flatnonzero(np.r_[True, self.block_term[1:] != self.block_term[:-1], True]) if len(self.block_term) else np.zeros(1, np.int64)
+        for first, last in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            t = int(self.block_term[first])
+            if t not in beside:
+                continue
+            column[beside[t]] = np.arange(len(beside[t]))
+            most = np.zeros((last - first) * len(beside[t]), np.int64)
+            block = np.repeat(np.arange(last - first), self.block_size[first:last])
+            docs = self.block_docs[self.block_start[first]:self.block_start[first] + len(block)]
+            for own in split_by_size(self.size[docs], ENTRIES) if len(docs) > 1 else [slice(0, 1)]:
+                place = spans(self.start[docs[own]], self.size[docs[own]])
+                at = column[self.term[place]]
+                used = at >= 0
+                cell = np.repeat(block[own] * len(beside[t]), self.size[docs[own]]) + at
+                np.maximum.at(most, cell[used], self.gain[place][used])
+            column[beside[t]] = -1
+            self.blocks[t] = (first, beside[t], most.reshape(last - first, -1))
 
     def scores(self, docs: np.ndarray, asked: np.ndarray) -> np.ndarray:
         """Whole scores of some documents; ``asked``: 1 at the query's terms."""
@@ -158,19 +169,22 @@ class Shard:
         """Rows and scores of the ``top`` documents of a query (term numbers), ties by ``ids``."""
         asked = np.zeros(self.n_terms, np.int64)
         asked[query] = 1
-        place = spans(self.summary_at[query], self.summary_at[query + 1] - self.summary_at[query])
-        bounds = np.bincount(self.summary_block[place], self.summary_gain[place], len(self.block_term)).astype(np.int64)
-        visit = np.flatnonzero(asked[self.block_term].astype(bool) & (bounds > 0))
-        visit = visit[np.argsort(-bounds[visit], kind="stable")]
+        visit, bounds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for first, beside, most in (self.blocks[t] for t in query.tolist() if t in self.blocks):
+            bounds.append(most[:, np.searchsorted(beside, query)].sum(1))
+            visit.append(np.arange(first, first + len(most)))
+        visit, bounds = np.concatenate(visit), np.concatenate(bounds)
+        order = np.argsort(-bounds, kind="stable")
+        visit, bounds = visit[order], bounds[order]
         rows, values, seen, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(self.size), bool), 0, 4
         while at < len(visit):
-            if len(rows) == top and bounds[visit[at]] < values[-1]:
+            if len(rows) == top and bounds[at] < values[-1]:
                 break           # no block from here on can hold a better document
             own = visit[at:at + step]
             if len(rows) == top:
-                own = own[bounds[own] >= values[-1]]
-            docs = np.unique(self.block_docs[spans(self.block_start[own], self.block_size[own])])
-            docs = docs[~seen[docs]]
+                own = own[bounds[at:at + step] >= values[-1]]
+            docs = self.block_docs[spans(self.block_start[own], self.block_size[own])]
+            docs = np.unique(docs[~seen[docs]])
             seen[docs] = True
             rows, values = np.r_[rows, docs], np.r_[values, self.scores(docs, asked)]
             best = np.lexsort((ids[rows], -values))[:top]
@@ -182,17 +196,18 @@ class Shard:
 def _ranked(kept: DataFrame, facts, top: int, id_type: str, item_type: str) -> DataFrame:
     """item, id, score: the best documents of each shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        beside = partners([q for _, q in facts.value[0]])
         waiting, n = [], 0
         for b in batches:
             waiting.append(b)
             n += len(b.column("ids").flatten())
             if n >= SHARD_POSTINGS:
-                yield from answer(pa.Table.from_batches(waiting))
+                yield from answer(pa.Table.from_batches(waiting), beside)
                 waiting, n = [], 0
         if waiting:
-            yield from answer(pa.Table.from_batches(waiting))
+            yield from answer(pa.Table.from_batches(waiting), beside)
 
-    def answer(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    def answer(t: pa.Table, beside: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         t = t.combine_chunks()
         items, weights, n_docs, n_all = facts.value
         lists = t.column("ids").combine_chunks()
@@ -202,7 +217,7 @@ def _ranked(kept: DataFrame, facts, top: int, id_type: str, item_type: str) -> D
         # a document's length in hundredths of the mean, a tenth of it fixed
         m = 100 - 90 + (90 * t.column("n").to_numpy().astype(np.int64) * n_docs) // n_all
         gain = weights[term] * ((1_000_000_000 * tf) // (1000 * tf + 8 * np.repeat(m, size)))
-        shard = Shard(size, term, gain, len(weights))
+        shard = Shard(size, term, gain, len(weights), beside)
         ids = t.column("id").combine_chunks()
         order = np.empty(len(ids), np.int64)
         order[pc.sort_indices(ids, null_placement="at_end").to_numpy()] = np.arange(len(ids))

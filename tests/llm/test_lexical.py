@@ -71,7 +71,8 @@ def test_no_better_document_is_skipped(lists, query):
     try:
         gains = [{t: 1 + (t * 7 + len(own) * 3) % 11 for t in own} for own in lists]
         shard = lexical.Shard(np.array([len(g) for g in gains], np.int64), np.array([t for g in gains for t in g], np.int64),
-                              np.array([v for g in gains for v in g.values()], np.int64), 13)
+                              np.array([v for g in gains for v in g.values()], np.int64), 13,
+                              lexical.partners([np.array(sorted(query)), np.arange(5)]))
         rows, scores = shard.search(np.array(sorted(query)), np.arange(len(gains)), 5)
     finally:
         lexical.BLOCK = lexical_block
@@ -85,7 +86,7 @@ def test_blocks_are_left_out(spark):
     rng = np.random.default_rng(0)
     size = np.full(2000, 3, np.int64)
     term = np.concatenate([rng.choice(20, 3, False) for _ in size])
-    shard = lexical.Shard(size, term, rng.integers(1, 1_000_000, len(term)) ** 2, 20)
+    shard = lexical.Shard(size, term, rng.integers(1, 1_000_000, len(term)) ** 2, 20, lexical.partners([np.array([3])]))
     shard.scores = lambda docs, asked: (scored.append(len(docs)), lexical.Shard.scores(shard, docs, asked))[1]
     shard.search(np.array([3]), np.arange(2000), 10)
     assert 10 <= sum(scored) < np.count_nonzero(term == 3)
