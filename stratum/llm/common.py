@@ -58,9 +58,9 @@ class Scratch:
         self.n += 1
         return f"{self.root}/{self.n:03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
         path = self.path(name)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.scratch_path = path
         return out

@@ -135,7 +135,7 @@ def shared_keys(rows: DataFrame, match: int, scratch: Scratch) -> DataFrame:
     return out
 
 
-def owned_segments(rows: DataFrame, keys: DataFrame, match: int) -> DataFrame:
+def owned_segments(rows: DataFrame, keys: DataFrame, match: int, scratch: Scratch) -> DataFrame:
     """key, segment, owner: each different segment with a shared anchor, and the smallest id that holds it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
@@ -150,8 +150,13 @@ def owned_segments(rows: DataFrame, keys: DataFrame, match: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(key[own]), found, b.column("id").take(pa.array(text[own]))], names=["key", "segment", "id"])
 
     joined = rows.join(keys.hint("shuffle_hash"), "id").select("id", "text", "keys")
-    return (joined.mapInArrow(run, f"key bigint, segment binary, id {dict(rows.dtypes)['id']}")
-            .groupBy("key", "segment").agg(F.min("id").alias("owner")))
+    # written by itself, so that the shuffled texts are gone before the segments are shuffled
+    found = scratch.keep(joined.mapInArrow(run, f"key bigint, segment binary, id {dict(rows.dtypes)['id']}"), "found", compression="zstd")
+    scratch.release()
+    owned = scratch.keep(found.groupBy("key", "segment").agg(F.min("id").alias("owner")), "segments", compression="zstd")
+    scratch.drop(found)
+    scratch.release()
+    return owned
 
 
 class RunLengthIndex:
@@ -202,7 +207,7 @@ class RunLengthIndex:
             key = rank << 32
             key[:-width] |= rank[width:]
             width *= 2
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
 
     def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common prefix of the suffixes at ``a`` and ``b``."""
@@ -354,8 +359,7 @@ def cut_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", matc
     scratch = Scratch(docs.sparkSession, "repeats")
     rows, id_type = _rows(docs, id, text), dict(docs.dtypes)[id]
     keys = shared_keys(rows, match, scratch)
-    owned = scratch.keep(owned_segments(rows, keys, match), "segments")
-    scratch.release()
+    owned = owned_segments(rows, keys, match, scratch)
     sizes = scratch.keep(owned.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     some, many = (sizes.where(F.col("n").between(2, MOST_SEGMENTS)).select("key"), sizes.where(F.col("n") > MOST_SEGMENTS).select("key"))
     alone = owned.join(sizes.select("key"), "key", "left_anti").select(F.col("owner").alias("id"), F.xxhash64("segment").alias("segment_hash"), F.array().cast("array<int>").alias("offsets"))
