@@ -505,6 +505,7 @@ def flow_sql() -> dict[str, str]:
         "lineage_columns": f"SELECT o_orderkey, {_ORDERS_MONTH} AS extraction_month, true AS path_has_month, "
                            "true AS path_ends_with_name, true AS stamped FROM orders",
         "scd2_streaming": SCD2_HISTORY,
+        "scd2_retry": SCD2_HISTORY,
         "scd1_streaming": SCD1_LATEST,
         "append_epoch_conversion": "SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_day, "
                                    "ts AS created_at FROM events",

@@ -340,6 +340,41 @@ def q_scd2_streaming(spark, sf):
         "user_id", "event_type", "value", cdc.START_AT, cdc.END_AT)
 
 
+class _Lost(RuntimeError):
+    """Stands for the loss of a batch."""
+
+
+def interrupted(spark, spec, batch_id, lost_at):
+    """For ``cdc_batch_writer``: the batch is lost at a step; at the swap when the buckets it
+    replaces are deleted and none of the new ones has arrived."""
+    def at_step(name):
+        if name != lost_at:
+            return
+        if name == "swap":
+            staged = spark.read.parquet(flows._staging(spec, batch_id))
+            for r in staged.select(flows.KEY_BUCKET).distinct().collect():
+                flows._delete(spark, f"{spec.target_path}/{flows.KEY_BUCKET}={r[0]}")
+        raise _Lost(name)
+    return at_step
+
+
+def q_scd2_retry(spark, sf):
+    """C11: each batch of events is lost at another step of its write, and run again."""
+    root = scratch_dir(spark, "cdc-retry")
+    spec = flows.CdcSpec(keys=("user_id",), sequence="ts", except_cols=("ts",), target_path=f"{root}/silver",
+                         changelog_path=f"{root}/changelog", checkpoint=f"{root}/checkpoint", key_buckets=8)
+    log = change_log(spark, sf)
+    group = F.pmod(F.xxhash64(F.coalesce("event_type", F.lit(""))), F.lit(ARRIVALS))
+    for g, lost_at in zip(range(ARRIVALS), ("stage", "record", "swap", "forget", "clear")):
+        batch = log.where(group == g)
+        try:
+            flows.cdc_batch_writer(spark, spec, interrupted(spark, spec, g, lost_at))(batch, g)
+        except _Lost:
+            pass
+        flows.cdc_batch_writer(spark, spec)(batch, g)
+    return flows.read_scd(spark, spec.target_path).select("user_id", "event_type", "value", cdc.START_AT, cdc.END_AT)
+
+
 def q_scd1_streaming(spark, sf):
     return _streaming_cdc(spark, sf, 1, "cdc-scd1").select("user_id", "event_type", "value")
 

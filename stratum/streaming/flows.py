@@ -24,8 +24,10 @@ CDC micro-batch (batch id ``b``):
    (a retried batch rewrites the same partitions);
 2. re-run the batch operator over the full history of the keys in this batch
    (partition pruning reads only their buckets, a semi-join keeps only their
-   events), keep the other keys' rows of those buckets, cut lineage with a
-   reliable ``checkpoint()`` and overwrite those partitions of the silver table;
+   events), keep the other keys' rows of those buckets, write the result as a
+   staging copy with a completion record and replace those partitions of the
+   silver table by it (a retried batch goes on from the record, see
+   :func:`cdc_batch_writer`);
 3. write the batch's expectation counts to the metrics table partition
    ``_batch_id=b``.
 Late events need no special case: they land in the log and their key is
@@ -36,7 +38,7 @@ partitions are rewritten whole; ``N`` sets that granularity.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +49,7 @@ from stratum.functions import (cdc_struct_sequence, epoch_day_to_date, epoch_us_
                                hex_text, sequence_of, uuid_text)
 from stratum.operators import cdc, quality
 from stratum.operators.projection import drop_columns
+from stratum.session import read_text, write_text
 
 SEQ = "_sequence_timestamp"
 KEY_BUCKET = "_key_bucket"
@@ -231,16 +234,22 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def rebuild_keys(spark: SparkSession, spec: CdcSpec, buckets: list[int],
-                 touched_keys: DataFrame, batch_id: int) -> DataFrame:
+def _staging(spec: CdcSpec, batch_id: int) -> str:
+    return f"{spec.target_path.rstrip('/')}_staging/batch={batch_id}"
+
+
+def _staged_record(spec: CdcSpec, batch_id: int) -> str:
+    """Exists while the batch's staging copy is complete and its swap may be under way."""
+    return f"{_staging(spec, batch_id)}.complete"
+
+
+def rebuild_keys(spark: SparkSession, spec: CdcSpec, buckets: list[int], touched_keys: DataFrame) -> DataFrame:
     """New content of the touched bucket partitions.
 
     The full history of the touched keys is read back from the change log
     (partition pruning on the buckets, then a join on the keys) and re-run
     through the SCD operator; rows of other keys in those buckets are kept as
-    they are.  Lineage is cut by writing the result as a staging table in the
-    shared folder (it overwrites the partitions it was read from); a retried
-    batch rewrites the same staging folder.
+    they are.
     """
     keys = list(spec.keys)
     log = (spark.read.parquet(spec.changelog_path).where(F.col(KEY_BUCKET).isin(buckets))
@@ -251,18 +260,36 @@ def rebuild_keys(spark: SparkSession, spec: CdcSpec, buckets: list[int],
         old = (spark.read.parquet(spec.target_path).where(F.col(KEY_BUCKET).isin(buckets))
                .join(touched_keys, keys, "left_anti"))
         rebuilt = old.unionByName(rebuilt, allowMissingColumns=True)
-    staging = f"{spec.target_path.rstrip('/')}_staging/batch={batch_id}"
-    rebuilt.write.mode("overwrite").parquet(staging)
-    return spark.read.parquet(staging)
+    return rebuilt
+
 
+def swap_buckets(spark: SparkSession, spec: CdcSpec, batch_id: int) -> None:
+    """Replace the touched bucket partitions of the table by the batch's complete staging copy."""
+    staged = spark.read.parquet(_staging(spec, batch_id))
+    (_by_bucket(staged, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(KEY_BUCKET).parquet(spec.target_path))
+
+
+def cdc_batch_writer(spark: SparkSession, spec: CdcSpec, at_step: Callable[[str], None] | None = None):
+    """The ``foreachBatch`` function of a CDC flow (exposed for tests and replays).
+
+    The table changes in two phases.  The new buckets are written to a staging
+    folder first; then a record says that this copy is complete; only then do
+    they replace the table's.  A batch that was lost before the record is
+    rebuilt from a table it has not touched; one that was lost after it, however
+    far its swap had come, is swapped again from the same copy and never reads
+    the table.  ``at_step`` is called before each step (tests interrupt there).
+    """
+    def step(name: str) -> None:
+        if at_step:
+            at_step(name)
 
-def cdc_batch_writer(spark: SparkSession, spec: CdcSpec):
-    """The ``foreachBatch`` function of a CDC flow (exposed for tests and replays)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = (batch.withColumn(KEY_BUCKET, _bucket(spec.keys, spec.key_buckets))
                   .withColumn(BATCH, F.lit(batch_id).cast("long")))
         tagged.persist()
         try:
+            step("log")
             (_by_bucket(tagged, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(KEY_BUCKET, BATCH).parquet(spec.changelog_path))
             touched = sorted(r[0] for r in tagged.select(KEY_BUCKET).distinct().collect())
@@ -275,12 +302,20 @@ def cdc_batch_writer(spark: SparkSession, spec: CdcSpec):
                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(spec.metrics_path))
             if touched:
-                keys = (cdc.valid_events(tagged, list(spec.keys), spec.sequence)
-                        .select(*spec.keys).distinct())
-                rebuilt = rebuild_keys(spark, spec, touched, keys, batch_id)
-                (_by_bucket(rebuilt, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(KEY_BUCKET).parquet(spec.target_path))
-                _delete(spark, f"{spec.target_path.rstrip('/')}_staging/batch={batch_id}")
+                staging, record = _staging(spec, batch_id), _staged_record(spec, batch_id)
+                if not (_exists(spark, record) and read_text(spark, record) == spec.checkpoint):
+                    keys = (cdc.valid_events(tagged, list(spec.keys), spec.sequence)
+                            .select(*spec.keys).distinct())
+                    step("stage")
+                    rebuild_keys(spark, spec, touched, keys).write.mode("overwrite").parquet(staging)
+                    step("record")
+                    write_text(spark, record, spec.checkpoint)
+                step("swap")
+                swap_buckets(spark, spec, batch_id)
+                step("forget")
+                _delete(spark, record)
+                step("clear")
+                _delete(spark, staging)
         finally:
             tagged.unpersist()
 
