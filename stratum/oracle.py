@@ -504,6 +504,17 @@ def flow_sql() -> dict[str, str]:
             p=f"CASE WHEN {_ORDERS_MONTH} <= '1997-12' THEN NULL ELSE o_orderpriority END") + " FROM orders",
         "lineage_columns": f"SELECT o_orderkey, {_ORDERS_MONTH} AS extraction_month, true AS path_has_month, "
                            "true AS path_ends_with_name, true AS stamped FROM orders",
+        "ingest_mixed_types": f"""
+            SELECT CASE WHEN m <= '1997-12' THEN k WHEN k * 1000003 <= 2147483647 THEN k * 1000003 END::INT AS o_orderkey, o_orderstatus,
+                   CASE WHEN m > '1997-12' AND k * 1000003 > 2147483647 THEN '{{"o_orderkey":"' || (k * 1000003) || '"}}' END AS _rescued, m AS extraction_month
+            FROM (SELECT o_orderkey::BIGINT AS k, o_orderstatus, {_ORDERS_MONTH} AS m FROM orders)""",
+        "ingest_csv_mixed_types": f"""
+            SELECT CASE WHEN m <= '1997-12' OR k % 2 = 1 THEN k END::INT AS o_orderkey, o_orderstatus,
+                   CASE WHEN m > '1997-12' AND k % 2 = 0 THEN '{{"o_orderkey":"K' || k || '"}}' END AS _rescued, m AS extraction_month
+            FROM (SELECT o_orderkey::BIGINT AS k, o_orderstatus, {_ORDERS_MONTH} AS m FROM orders)""",
+        "ingest_case_clash": f"""
+            SELECT o_orderkey::BIGINT AS o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS status,
+                   CASE WHEN o_orderkey % 3 = 0 THEN '{{"status":"' || o_orderstatus || '"}}' END AS _rescued, {_ORDERS_MONTH} AS extraction_month FROM orders""",
         "scd2_streaming": SCD2_HISTORY,
         "scd2_retry": SCD2_HISTORY,
         "scd1_streaming": SCD1_LATEST,

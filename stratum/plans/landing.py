@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.session import materialize
+from stratum.session import materialize, workers_import
 
 MONTH = "extraction_month"
 
@@ -177,6 +177,7 @@ def _copy(files: DataFrame, incoming: str) -> DataFrame:
             names = [n for n in b.schema.names if n != "path"]
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(errors, pa.string())], names=[*names, "error"])
 
+    workers_import(files.sparkSession)
     return files.select("path", "schema_name", "table_name", "month", "name", "bytes").mapInArrow(
         run, "schema_name string, table_name string, month string, name string, bytes bigint, error string")
 

@@ -292,6 +292,39 @@ def q_schema_evolution(spark, sf):
     return b.select(*ORDERS_COLS, feeds.MONTH)
 
 
+def _one_run_ingest(spark, sf, fmt, name, early, late):
+    """Months up to the split through ``early``, later ones through ``late``, all taken in by one run."""
+    root = scratch_dir(spark, name)
+    spec = ing.FeedSpec(f"{root}/incoming/claims/orders", f"{root}/bronze/orders", f"{root}/checkpoints/orders", fmt=fmt)
+    o = _orders_feed(spark, sf).select("o_orderkey", "o_orderstatus", feeds.MONTH)
+    for part, shape in ((o.where(F.col(feeds.MONTH) <= SPLIT_MONTH), early), (o.where(F.col(feeds.MONTH) > SPLIT_MONTH), late)):
+        shape(part).write.mode("append").partitionBy(feeds.MONTH).format("text" if fmt == "json" else fmt).option("header", True).save(spec.source_path)
+    ing.ingest(spark, spec)
+    return ing.read_bronze(spark, spec.target_path)
+
+
+def q_ingest_mixed_types(spark, sf):
+    """INT and BIGINT files in one run; what the first file's type cannot hold is rescued."""
+    b = _one_run_ingest(spark, sf, "parquet", "ingest-mixed", lambda d: d.withColumn("o_orderkey", F.col("o_orderkey").cast("int")),
+                        lambda d: d.withColumn("o_orderkey", F.col("o_orderkey").cast("long") * 1_000_003))
+    return b.select("o_orderkey", "o_orderstatus", ing.RESCUED, feeds.MONTH)
+
+
+def q_ingest_csv_mixed_types(spark, sf):
+    """Files with another column order and another inferred type in one run."""
+    b = _one_run_ingest(spark, sf, "csv", "ingest-csv-mixed", lambda d: d,
+                        lambda d: d.select("o_orderstatus", F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("K"), "o_orderkey")).otherwise(F.col("o_orderkey").cast("string")).alias("o_orderkey"), feeds.MONTH))
+    return b.select("o_orderkey", "o_orderstatus", ing.RESCUED, feeds.MONTH)
+
+
+def q_ingest_case_clash(spark, sf):
+    """Keys that differ in case only, in one JSON object."""
+    other = F.when(F.col("o_orderkey") % 3 == 0, F.lit(',"STATUS":"X"')).otherwise("")
+    text = lambda d: d.select(F.concat(F.lit('{"o_orderkey":'), F.col("o_orderkey"), F.lit(',"status":"'), "o_orderstatus", F.lit('"'), other, F.lit("}")).alias("value"), feeds.MONTH)
+    b = _one_run_ingest(spark, sf, "json", "ingest-case", text, text)
+    return b.select("o_orderkey", F.col("status").alias("status"), ing.RESCUED, feeds.MONTH)
+
+
 def q_lineage_columns(spark, sf):
     """Every bronze row names its file, and the file sits in its month folder."""
     b = _two_run_ingest(spark, sf, "parquet", name="ingest-lineage")

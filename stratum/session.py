@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +46,14 @@ def build_session(master: str | None = None, app: str = "stratum",
     return spark
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver did (a cluster ships it with --py-files)."""
+    root = str(Path(__file__).resolve().parents[1])
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, change logs and scratch tables.
 

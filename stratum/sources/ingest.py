@@ -8,8 +8,10 @@ One triggered run (``availableNow``) picks up every file not seen by earlier run
 * ``foreachBatch`` reads just the batch's new files with the format's own schema
   inference (Parquet footers, JSON / CSV type inference), so inference cost is
   proportional to new data, not to the whole feed.
-* CSV files are grouped by header line and each group is read on its own, then
-  combined by name -- files with reordered or extra header columns map right.
+* CSV files are grouped by header line and Parquet files by schema (both read in
+  tasks); each group is read on its own and aligned to the record before they are
+  combined, in the order of their first file, as if each had come in its own run:
+  the first file's type is the column's, and names that differ in case are one column.
 * The result is aligned to the feed's *schema record* (kept beside the
   checkpoint): new columns are appended, a known column never changes type; a
   value that does not fit the recorded type becomes NULL and its text goes to
@@ -29,6 +31,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.session import workers_import
+
 LINEAGE = ("_source_file_path", "_source_file_name", "_processing_timestamp")
 RESCUED = "_rescued"
 BATCH_COL = "_batch_id"
@@ -97,13 +101,13 @@ def bronze_schema(spark: SparkSession, spec: FeedSpec) -> T.StructType | None:
 def evolve(record: T.StructType | None, seen: T.StructType) -> T.StructType:
     """Known columns keep their type; new columns are appended in arrival order.
 
+    Names that differ in case only are one column, under the name that came first.
     The same holds inside structs, also those in arrays and maps."""
-    if record is None:
-        return T.StructType([f for f in seen.fields])
-    new = {f.name: f for f in seen.fields}
-    known = [T.StructField(f.name, _evolve_type(f.dataType, new[f.name].dataType) if f.name in new else f.dataType, True, f.metadata)
-             for f in record.fields]
-    return T.StructType(known + [f for f in seen.fields if f.name not in {k.name for k in known}])
+    known = {f.name.lower(): f for f in (record.fields if record is not None else [])}
+    for f in seen.fields:
+        old = known.get(f.name.lower())
+        known[f.name.lower()] = T.StructField(old.name, _evolve_type(old.dataType, f.dataType), True, old.metadata) if old else f
+    return T.StructType(list(known.values()))
 
 
 def _evolve_type(old: T.DataType, seen: T.DataType) -> T.DataType:
@@ -177,19 +181,31 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     A nested column with a misfit leaf keeps its other leaves and is rescued whole."""
     cols: list[Column] = []
     rescues: list[Column] = []
-    have = {f.name: f.dataType for f in df.schema.fields}
+    have: dict[str, list[T.StructField]] = {}
+    for g in df.schema.fields:
+        have.setdefault(g.name.lower(), []).append(g)
+
+    def rescue(g: T.StructField, lost: Column) -> None:
+        src = F.col(f"`{g.name}`")
+        rescues.append(F.when(lost, F.struct(F.lit(g.name).alias("k"), _text(src, g.dataType).alias("v"))))
+
     for f in schema.fields:
-        if f.name not in have:
+        own = sorted(have.pop(f.name.lower(), []), key=lambda g: g.name != f.name)
+        if not own:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
-        src = F.col(f"`{f.name}`")
-        cols.append(_fit(src, have[f.name], f.dataType).alias(f.name))
-        lost = _misfits(src, have[f.name], f.dataType)
-        if lost is not None:
-            rescues.append(F.when(lost, F.struct(F.lit(f.name).alias("k"), _text(src, have[f.name]).alias("v"))))
-    for n in (n for n in have if n not in {f.name for f in schema.fields}):   # record written by another run
-        src = F.col(f"`{n}`")
-        rescues.append(F.when(src.isNotNull(), F.struct(F.lit(n).alias("k"), _text(src, have[n]).alias("v"))))
+        fitted = [_fit(F.col(f"`{g.name}`"), g.dataType, f.dataType) for g in own]
+        taken = fitted[0] if len(own) == 1 else F.coalesce(*fitted)
+        cols.append(taken.alias(f.name))
+        for k, g in enumerate(own):
+            src, lost = F.col(f"`{g.name}`"), _misfits(F.col(f"`{g.name}`"), g.dataType, f.dataType)
+            if k:       # the same name in other case: what the column does not hold
+                other = src.isNotNull() if _nested(f.dataType) else src.isNotNull() & ~fitted[k].eqNullSafe(taken)
+                lost = other if lost is None else lost | other
+            if lost is not None:
+                rescue(g, lost)
+    for g in (g for own in have.values() for g in own):     # record written by another run
+        rescue(g, F.col(f"`{g.name}`").isNotNull())
     if rescues:
         entries = F.filter(F.array(*rescues), lambda x: x.isNotNull())
         rescued = F.when(F.size(entries) > 0, F.to_json(F.map_from_entries(entries)))
@@ -200,40 +216,45 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 # ---------------------------------------------------------------- reading new files
 
-def _csv_header(spark: SparkSession, path: str) -> str:
-    """First line of a file, compressed or not, through the Hadoop file system (a few bytes per file)."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    stream = p.getFileSystem(conf).open(p)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
-    try:
-        return reader.readLine() or ""
-    finally:
-        reader.close()
-
-
-def read_new_files(spark: SparkSession, paths: list[str], spec: FeedSpec) -> DataFrame:
-    """Batch read of the given files with inference and lineage columns."""
+def _signatures(spark: SparkSession, paths: list[str], fmt: str) -> list[tuple[str, str]]:
+    """path, signature of each file, read in tasks: a CSV file's header line, a Parquet file's schema."""
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs, parquet
+        for b in batches:
+            found = []
+            for path in b.column(0).to_pylist():
+                store, name = (fs.LocalFileSystem(), "/" + path[5:].lstrip("/")) if path.startswith("file:") else fs.FileSystem.from_uri(path)
+                if fmt == "parquet":
+                    with store.open_input_file(name) as f:
+                        found.append("; ".join(f"{c.name}: {c.type}" for c in parquet.read_schema(f)))
+                else:
+                    with store.open_input_stream(name, compression="detect") as f:
+                        line = b""
+                        while b"\n" not in line and (more := f.read(4096)):
+                            line += more
+                    found.append(line.split(b"\n")[0].rstrip(b"\r").decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string())], names=["path", "signature"])
+
+    workers_import(spark)
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), 64))
+    # at most max_files_per_trigger rows
+    return sorted((r["path"], r["signature"]) for r in listed.mapInArrow(run, "path string, signature string").collect())
+
+
+def read_new_files(spark: SparkSession, paths: list[str], spec: FeedSpec) -> list[DataFrame]:
+    """Batch reads of the given files with inference and lineage columns: one for each schema, in the order of the first file with it."""
     def lineage(df: DataFrame) -> DataFrame:
         return df.select("*", F.col("_metadata.file_path").alias("_source_file_path"),
                          F.col("_metadata.file_name").alias("_source_file_name"))
 
-    if spec.fmt == "csv":
-        groups: dict[str, list[str]] = {}
-        for p in paths:
-            groups.setdefault(_csv_header(spark, p), []).append(p)
-        out = None
-        for _, group in sorted(groups.items()):
-            part = lineage(spark.read.option("header", spec.header).option("inferSchema", True)
-                           .csv(group))
-            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-        return out
-    reader = spark.read.format(spec.fmt)
-    if spec.fmt == "parquet":
-        reader = reader.option("mergeSchema", True)
-    return lineage(reader.load(paths))
+    if spec.fmt not in ("csv", "parquet"):
+        return [lineage(spark.read.format(spec.fmt).load(paths))]
+    groups: dict[str, list[str]] = {}
+    for path, signature in _signatures(spark, paths, spec.fmt):
+        groups.setdefault(signature, []).append(path)
+    reader = spark.read.option("header", spec.header).option("inferSchema", True) if spec.fmt == "csv" else spark.read
+    return [lineage(reader.format(spec.fmt).load(group)) for group in groups.values()]
 
 
 # ---------------------------------------------------------------- the run
@@ -261,22 +282,20 @@ def ingest(spark: SparkSession, spec: FeedSpec, timeout_s: float | None = None)
              .select("path", "length"))
     stats = {"batches": 0, "files": 0}
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        # file paths of this micro-batch only: at most max_files_per_trigger names
-        paths = sorted(r.path for r in batch.select("path").collect())
-        if not paths:
-            return
-        df = read_new_files(spark, paths, spec)
-        data_cols = [c for c in df.columns if c not in ("_source_file_path", "_source_file_name")]
-        seen = T.StructType([df.schema[c] for c in data_cols if c != MONTH_COL])
-        old = read_schema_record(spark, spec)
-        record = evolve(old, seen)
+    def write(paths: list[str], batch_id: int) -> None:
+        groups = read_new_files(spark, paths, spec)
+        lineage = [T.StructField("_source_file_path", T.StringType()),
+                   T.StructField("_source_file_name", T.StringType())]
+        old = record = read_schema_record(spark, spec)
+        for df in groups:       # as if each schema's files had come in a run of their own
+            record = evolve(record, T.StructType([f for f in df.schema.fields if f.name not in ("_source_file_path", "_source_file_name", MONTH_COL)]))
         if old is None or record != old:
             _write_schema_record(spark, spec, record)
         # align() keeps only record columns; carry the lineage through it
-        lineage = [T.StructField("_source_file_path", T.StringType()),
-                   T.StructField("_source_file_name", T.StringType())]
-        aligned = align(df.drop(MONTH_COL), T.StructType(list(record.fields) + lineage))
+        aligned = None
+        for df in groups:
+            part = align(df.drop(MONTH_COL), T.StructType(list(record.fields) + lineage))
+            aligned = part if aligned is None else aligned.union(part)
         month = F.regexp_extract("_source_file_path", _MONTH_RE, 1)
         result = aligned.select(
             *[F.col(f"`{f.name}`") for f in record.fields],
@@ -287,6 +306,19 @@ def ingest(spark: SparkSession, spec: FeedSpec, timeout_s: float | None = None)
             F.lit(batch_id).cast("long").alias(BATCH_COL))
         (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(spec.target_path))
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        # file paths of this micro-batch only: at most max_files_per_trigger names
+        paths = sorted(r.path for r in batch.select("path").collect())
+        if not paths:
+            return
+        # columns whose names differ in case only are told apart until align() has put them together
+        case = spark.conf.get("spark.sql.caseSensitive")
+        spark.conf.set("spark.sql.caseSensitive", "true")
+        try:
+            write(paths, batch_id)
+        finally:
+            spark.conf.set("spark.sql.caseSensitive", case)
         stats["batches"] += 1
         stats["files"] += len(paths)
 
