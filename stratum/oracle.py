@@ -486,6 +486,16 @@ SELECT simulation_month, 2::INTEGER AS total_tables_found, files::INTEGER AS tab
 FROM f
 """
 
+TRACKER_ATTEMPTS = f"""
+WITH m AS (SELECT DISTINCT {_ORDERS_MONTH} AS simulation_month FROM orders WHERE {_ORDERS_MONTH} <= '1996-06'),
+a AS (SELECT simulation_month, 1 AS attempt, simulation_month <> '1996-03' AS good FROM m
+      UNION ALL SELECT simulation_month, 2, simulation_month = '1996-02' FROM m WHERE simulation_month IN ('1996-02', '1996-03')
+      UNION ALL SELECT simulation_month, 3, true FROM m WHERE simulation_month = '1996-03')
+SELECT simulation_month, attempt::INTEGER AS attempt, good::INTEGER AS files, if(good, 'success', 'failed') AS status, true AS bytes_agree, true AS mb_agree,
+       (SUM(good::INT) OVER ())::BIGINT AS all_successful_runs, (SUM((NOT good)::INT) OVER ())::BIGINT AS all_failed_runs
+FROM a
+"""
+
 
 def flow_sql() -> dict[str, str]:
     plain = _ORDERS_OUT.format(d="o_orderdate", p="o_orderpriority")
@@ -495,6 +505,9 @@ def flow_sql() -> dict[str, str]:
         "release_csv_reordered": f"SELECT {_ORDERS_OUT.format(d='CAST(o_orderdate AS DATE)', p='o_orderpriority')} FROM orders",
         "release_late_files": f"SELECT {plain} FROM orders",
         "tracker_status_partial": TRACKER_STATUS,
+        "tracker_attempts": TRACKER_ATTEMPTS,
+        "release_corrected_file": f"""SELECT o_orderkey, CASE WHEN {_ORDERS_MONTH} > '1997-12' THEN 'Z' ELSE o_orderstatus END AS o_orderstatus, {_ORDERS_MONTH} AS extraction_month,
+            ({_ORDERS_MONTH} > '1997-12')::BIGINT AS versions_replaced FROM orders""",
         "ingest_parquet_incremental": f"SELECT {plain} FROM orders",
         "ingest_json_incremental": f"SELECT {plain} FROM orders",
         "ingest_csv_incremental":

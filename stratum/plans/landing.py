@@ -13,26 +13,29 @@ Layout: ``<root>/<schema>/<table>/extraction_month=YYYY-MM/<files>``.
                            the next month
 * :func:`release`          copies the files of the chosen months, byte for byte and
                            under their names, one file per row of a distributed copy;
-                           files that lie in the incoming area with the same name and
-                           size are not copied again, so late files of a month arrive
-                           and nothing arrives twice.  A file that cannot be copied is
-                           recorded and the others go on.  One tracker row per month,
-                           replacing that month's earlier row
+                           a manifest holds the size and modification time of every
+                           delivered file; files that are unchanged since and still
+                           lie there are not copied again, so late files arrive,
+                           corrected ones replace what they correct, and nothing
+                           arrives twice.  A file that cannot be copied is recorded and
+                           the others go on.  Every attempt at a month appends a
+                           tracker row; the last one is the month's state
 * :func:`dry_run_listing`, :func:`tracker_history`, :func:`tracker_overview`,
-  :func:`reset_month`, :func:`restart`
+  :func:`tracker_attempts`, :func:`superseded`, :func:`reset_month`, :func:`restart`
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import re
+import time
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +54,10 @@ TRACKER_SCHEMA = T.StructType([
     T.StructField("last_updated", T.TimestampType(), False),
     T.StructField("status", T.StringType(), False),
 ])
+# beside the tracker's own columns: which attempt at its month a row is, and the run that wrote it
+ATTEMPT = [T.StructField("attempt", T.IntegerType()), T.StructField("run", T.StringType())]
+DELIVERED = "schema_name string, table_name string, name string, bytes bigint, modified timestamp, released bigint, month string"
+ERRORS = "schema_name string, table_name string, name string, error string, run string, month string"
 
 
 @dataclass(frozen=True)
@@ -65,13 +72,18 @@ class LandingConfig:
         """Table of the files that could not be copied, one partition per month."""
         return _strip(self.tracker) + "_errors"
 
+    @property
+    def manifest(self) -> str:
+        """Table of the delivered files, one partition per month; a file has a row for each version."""
+        return _strip(self.tracker) + "_files"
+
 
 def _strip(p: str) -> str:
     return p.rstrip("/")
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """One row per file: schema_name, table_name, month, path, bytes."""
+    """One row per file: schema_name, table_name, month, path, bytes, modified."""
     listing = T.StructType([
         T.StructField("path", T.StringType()),
         T.StructField("modificationTime", T.TimestampType()),
@@ -82,12 +94,12 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
     rel = rf"^(?:file:)?/*{base}/([^/]+)/([^/]+)/{MONTH}=(\d{{4}}-\d{{2}})/[^/]+$"
     files = (spark.read.format("binaryFile").schema(listing)
              .option("recursiveFileLookup", "true").load(root)
-             .select("path", "length"))
+             .select("path", "length", "modificationTime"))
     return (files.select(
         F.regexp_extract("path", rel, 1).alias("schema_name"),
         F.regexp_extract("path", rel, 2).alias("table_name"),
         F.regexp_extract("path", rel, 3).alias("month"),
-        F.col("path"), F.col("length").alias("bytes"))
+        F.col("path"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
         .where(F.col("month") != ""))
 
 
@@ -99,19 +111,61 @@ def months(inv: DataFrame) -> DataFrame:
     return inv.select("month").distinct()
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Rows of a table, none before its first write.  A table that cannot be read is an error."""
+    if not _fs_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def tracker_attempts(spark: SparkSession, cfg: LandingConfig) -> DataFrame:
+    """All tracker rows, with the number (from 1) of the attempt at the month and its run."""
+    return _read(spark, cfg.tracker, T.StructType(TRACKER_SCHEMA.fields + ATTEMPT)).select(
+        *[f.name for f in TRACKER_SCHEMA.fields], F.coalesce("attempt", F.lit(0)).alias("attempt"), "run")
+
+
+def _last_attempts(spark: SparkSession, cfg: LandingConfig) -> DataFrame:
+    attempts = tracker_attempts(spark, cfg)
+    order = ["attempt", "last_updated"]
+    row = F.struct(*order, *[c for c in attempts.columns if c not in order])
+    return attempts.groupBy("simulation_month").agg(F.max(row).alias("last")).select([f"last.{c}" for c in attempts.columns])
+
+
 def read_tracker(spark: SparkSession, cfg: LandingConfig) -> DataFrame:
-    """Tracker rows; none before the first release.  A tracker that cannot be read is an error."""
-    if not _fs_exists(spark, cfg.tracker):
-        return spark.createDataFrame([], TRACKER_SCHEMA)
-    return spark.read.schema(TRACKER_SCHEMA).parquet(cfg.tracker).select(*[f.name for f in TRACKER_SCHEMA.fields])
+    """The row of the last attempt at each month; none before the first release."""
+    return _last_attempts(spark, cfg).select(*[f.name for f in TRACKER_SCHEMA.fields])
 
 
 def read_errors(spark: SparkSession, cfg: LandingConfig) -> DataFrame:
-    """month, schema_name, table_name, name, error of the files that the last release of their month could not copy."""
-    schema = "schema_name string, table_name string, name string, error string, month string"
-    if not _fs_exists(spark, cfg.errors):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(cfg.errors)
+    """schema_name, table_name, name, error, month of the files that the last release of their month could not copy."""
+    last = _last_attempts(spark, cfg).select(F.col("simulation_month").alias("month"), "run")
+    return (_read(spark, cfg.errors, ERRORS).join(last, ["month", "run"], "left_semi")
+            .select("schema_name", "table_name", "name", "error", "month"))
+
+
+FILE = ["schema_name", "table_name", "month", "name"]
+
+
+def delivered(spark: SparkSession, cfg: LandingConfig, month_list: list[str] | None = None) -> DataFrame:
+    """The version (bytes, modified) of each file that was delivered last."""
+    files = _read(spark, cfg.manifest, DELIVERED)
+    if month_list is not None:
+        files = files.where(F.col("month").isin(month_list))
+    return files.groupBy(*FILE).agg(F.max(F.struct("released", "bytes", "modified")).alias("last")).select(
+        *FILE, "last.bytes", "last.modified")
+
+
+def superseded(spark: SparkSession, cfg: LandingConfig) -> DataFrame:
+    """schema_name, table_name, month, name, bytes, modified, path: delivered versions that a corrected file has replaced.
+
+    Rows that were read from ``path`` before the correction no longer stand in the incoming area.
+    """
+    files = _read(spark, cfg.manifest, DELIVERED)
+    version = F.struct("bytes", "modified")
+    later = F.lead(version).over(Window.partitionBy(*FILE).orderBy("released"))
+    path = F.concat_ws("/", F.lit(_strip(cfg.incoming)), "schema_name", "table_name", F.concat(F.lit(f"{MONTH}="), "month"), "name")
+    return (files.withColumn("later", later).where(F.col("later") != version)
+            .select(*FILE, "bytes", "modified", path.alias("path")))
 
 
 def last_processed(spark: SparkSession, cfg: LandingConfig, only_success: bool = False) -> str | None:
@@ -162,7 +216,7 @@ def _copy_file(source: str, folder: str, name: str) -> None:
 
 
 def _copy(files: DataFrame, incoming: str) -> DataFrame:
-    """schema_name, table_name, month, name, bytes, error (null: copied) of each file."""
+    """schema_name, table_name, month, name, bytes, modified, error (null: copied) of each file."""
     root = _strip(incoming)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,8 +232,8 @@ def _copy(files: DataFrame, incoming: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(errors, pa.string())], names=[*names, "error"])
 
     workers_import(files.sparkSession)
-    return files.select("path", "schema_name", "table_name", "month", "name", "bytes").mapInArrow(
-        run, "schema_name string, table_name string, month string, name string, bytes bigint, error string")
+    return files.select("path", "schema_name", "table_name", "month", "name", "bytes", "modified").mapInArrow(
+        run, "schema_name string, table_name string, month string, name string, bytes bigint, modified timestamp, error string")
 
 
 def _named(inv: DataFrame) -> DataFrame:
@@ -192,18 +246,24 @@ def release(spark: SparkSession, cfg: LandingConfig, month_list: list[str],
 
     The tracker counts the vault's files of the month that lie in the incoming area after
     the run.  A month is ``success`` if all of them do, ``failed`` if none, else ``partial``.
+
+    Files are written first, then their manifest, the errors and last the tracker.  A run
+    that is lost in between leaves files without a record, which the next run copies again.
     """
+    run, released = uuid.uuid4().hex, time.time_ns()
     inv = inventory(spark, cfg.vault) if inv is None else inv
     chosen = materialize(_named(inv.where(F.col("month").isin(month_list))), "landing-files")
-    key = ["schema_name", "table_name", "month", "name", "bytes"]
+    version = [*FILE, "bytes", "modified"]
     todo = chosen
     if _fs_exists(spark, cfg.incoming):
-        todo = chosen.join(_named(inventory(spark, cfg.incoming)).select(*key).distinct(), key, "left_anti")
+        there = _named(inventory(spark, cfg.incoming).where(F.col("month").isin(month_list))).select(*FILE, "bytes")
+        same = delivered(spark, cfg, month_list).join(there, [*FILE, "bytes"], "left_semi")
+        todo = chosen.join(same, version, "left_anti")
     # each file once, dealt out evenly; the result is written, so no file is copied again when rows are read twice
     parts = spark.sparkContext.defaultParallelism * 2
     done = materialize(_copy(todo.repartition(parts, "path"), cfg.incoming), "landing-copied")
     failed = done.where(F.col("error").isNotNull())
-    state = chosen.join(failed.select(*key, F.lit(True).alias("bad")), key, "left").withColumn("ok", F.col("bad").isNull())
+    state = chosen.join(failed.select(*FILE, F.lit(True).alias("bad")), FILE, "left").withColumn("ok", F.col("bad").isNull())
     n_tables = tables(inv).count()
     per_table = (state.groupBy("month", "schema_name", "table_name")
                  .agg(F.count_if("ok").alias("files"), F.sum(F.when(F.col("ok"), F.col("bytes")).otherwise(0)).alias("bytes"),
@@ -224,16 +284,19 @@ def release(spark: SparkSession, cfg: LandingConfig, month_list: list[str],
                 stamp.cast("timestamp").alias("last_updated"),
                 F.when(F.col("errors") > 0, F.when(F.col("files") > 0, "partial").otherwise("failed"))
                 .otherwise("success").alias("status")))
-    _replace_months(failed.select("schema_name", "table_name", "name", "error", "month"), cfg.errors, "month", month_list, spark)
-    _replace_months(rows, cfg.tracker, "simulation_month", month_list, spark)
+    before = tracker_attempts(spark, cfg).groupBy("simulation_month").agg(F.max("attempt").alias("before"))
+    rows = materialize(rows.join(before, "simulation_month", "left").withColumn("attempt", F.coalesce("before", F.lit(0)) + 1)
+                       .drop("before").withColumn("run", F.lit(run)), "landing-tracker")
+    copied = done.where(F.col("error").isNull()).withColumn("released", F.lit(released))
+    _append(copied.select("schema_name", "table_name", "name", "bytes", "modified", "released", "month"), cfg.manifest, "month")
+    _append(failed.select("schema_name", "table_name", "name", "error", F.lit(run).alias("run"), "month"), cfg.errors, "month")
+    _append(rows, cfg.tracker, "simulation_month")
     return read_tracker(spark, cfg).where(F.col("simulation_month").isin(month_list))
 
 
-def _replace_months(rows: DataFrame, path: str, month: str, month_list: list[str], spark: SparkSession) -> None:
-    """Replace the partitions of ``month_list``; the other months' files are not touched."""
-    for m in month_list:                    # a calendar's worth of folders
-        _fs_delete(spark, f"{_strip(path)}/{month}={m}")
-    rows.coalesce(1).write.mode("append").partitionBy(month).parquet(path)
+def _append(rows: DataFrame, path: str, month: str) -> None:
+    """Add rows to a table with a partition per month; nothing that lies there is touched."""
+    rows.repartition(month).write.mode("append").partitionBy(month).parquet(path)
 
 
 def run(spark: SparkSession, cfg: LandingConfig, specific: str | None = None,
@@ -262,8 +325,9 @@ def tracker_history(spark: SparkSession, cfg: LandingConfig, limit: int = 50) ->
             .orderBy(F.col("simulation_month").desc()).limit(limit))
 
 
-def tracker_overview(spark: SparkSession, cfg: LandingConfig) -> DataFrame:
-    t = read_tracker(spark, cfg)
+def tracker_overview(spark: SparkSession, cfg: LandingConfig, every_attempt: bool = False) -> DataFrame:
+    """Figures over the last attempt at each month, or over every attempt."""
+    t = tracker_attempts(spark, cfg) if every_attempt else read_tracker(spark, cfg)
     return t.agg(
         F.count(F.lit(1)).alias("months_processed"),
         F.min("simulation_month").alias("first_month"),
@@ -293,12 +357,13 @@ def _fs_delete(spark: SparkSession, path: str) -> None:
 
 
 def reset_month(spark: SparkSession, cfg: LandingConfig, month: str) -> None:
-    """Forget one month in the tracker."""
+    """Forget one month in the tracker, with all attempts at it; what was delivered stays known."""
     _fs_delete(spark, f"{_strip(cfg.tracker)}/simulation_month={month}")
 
 
 def restart(spark: SparkSession, cfg: LandingConfig) -> None:
-    """Drop the tracker with its errors and clear the incoming area (only these configured paths)."""
+    """Drop the tracker with its manifest and errors and clear the incoming area (only these configured paths)."""
     _fs_delete(spark, cfg.tracker)
+    _fs_delete(spark, cfg.manifest)
     _fs_delete(spark, cfg.errors)
     _fs_delete(spark, cfg.incoming)

@@ -627,9 +627,58 @@ def q_release_late_files(spark, sf):
     return ing.read_bronze(spark, spec.target_path).select(*ORDERS_COLS, feeds.MONTH)
 
 
+def correct_files(spark, source, vault):
+    """Files of the vault are replaced, under their names, by the corrected months in ``source``."""
+    names = {(f.schema_name, f.table_name, f.month): f.path for f in landing.inventory(spark, vault).collect()}    # a calendar's worth
+    for f in landing.inventory(spark, source).collect():
+        old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (names[f.schema_name, f.table_name, f.month], f.path))
+        fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.delete(old, False)
+        fs.rename(new, old)
+
+
+def q_release_corrected_file(spark, sf):
+    """M4, M6: corrected files of equal size replace what was delivered; the versions they replace are known."""
+    cfg, _, vault = _orders_vault(spark, sf, "release-corrected", "csv")
+    o = _orders_feed(spark, sf).select("o_orderkey", "o_orderstatus", feeds.MONTH)
+    feeds.write_months(o, vault, "csv")
+    released = landing.run(spark, cfg, up_to="9999-12")
+    corrected = o.where(F.col(feeds.MONTH) > SPLIT_MONTH).withColumn("o_orderstatus", F.lit("Z"))
+    feeds.write_months(corrected, f"{cfg.vault}-corrected/claims/orders", "csv")
+    correct_files(spark, f"{cfg.vault}-corrected", cfg.vault)
+    landing.release(spark, cfg, released)
+    landing.release(spark, cfg, released)           # nothing is left to deliver
+    replaced = landing.superseded(spark, cfg).groupBy(F.col("month").alias(feeds.MONTH)).agg(F.count("*").alias("versions_replaced"))
+    rows = spark.read.schema(f"o_orderkey bigint, o_orderstatus string, {feeds.MONTH} string").option("header", True).csv(f"{cfg.incoming}/claims/orders")
+    return rows.join(replaced, feeds.MONTH, "left").select("o_orderkey", "o_orderstatus", feeds.MONTH, F.coalesce("versions_replaced", F.lit(0)).alias("versions_replaced"))
+
+
 BLOCKED_MONTH, HALF_MONTH = "1996-03", "1996-05"
 
 
+def q_tracker_attempts(spark, sf):
+    """Each attempt at a month stays in the tracker, also the failed one that was made good."""
+    root = scratch_dir(spark, "release-attempts")
+    cfg = landing.LandingConfig(f"{root}/vault", f"{root}/incoming", f"{root}/tracker")
+    feeds.write_months(_orders_feed(spark, sf), f"{cfg.vault}/claims/orders")
+    blocked = f"{cfg.incoming}/claims/orders/{feeds.MONTH}={BLOCKED_MONTH}"
+    write_text(spark, blocked, "blocked")           # a file where the month's folder should be
+    landing.run(spark, cfg, up_to="1996-06")
+    landing.run(spark, cfg, specific=BLOCKED_MONTH)
+    landing._fs_delete(spark, blocked)
+    landing.run(spark, cfg, specific=BLOCKED_MONTH)
+    landing.run(spark, cfg, specific="1996-02")
+    vault = landing.inventory(spark, cfg.vault).groupBy(F.col("month").alias("simulation_month")).agg(F.sum("bytes").alias("vault_bytes"))
+    history = landing.tracker_history(spark, cfg).select("simulation_month", F.col("mb_transferred").alias("last_mb"))
+    every = landing.tracker_overview(spark, cfg, every_attempt=True)
+    attempts = landing.tracker_attempts(spark, cfg).join(vault, "simulation_month").join(history, "simulation_month", "left")
+    return attempts.select(
+        "simulation_month", "attempt", F.col("total_files_transferred").alias("files"), "status",
+        (F.col("total_bytes_transferred") == F.when(F.col("status") == "success", F.col("vault_bytes")).otherwise(0)).alias("bytes_agree"),
+        (F.col("last_mb") == F.round(F.col("vault_bytes") / 1048576, 2)).alias("mb_agree"),
+        every.select("successful_runs").scalar().alias("all_successful_runs"), every.select("failed_runs").scalar().alias("all_failed_runs"))
+
+
 def q_tracker_status_partial(spark, sf):
     """M7: a month with no file copied, one with half of them, and the others; bytes are those of the vault's files."""
     root = scratch_dir(spark, "release-status")

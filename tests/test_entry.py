@@ -12,7 +12,7 @@ SLOW = {"month_replay_gold", "month_replay_billing", "month_replay_usage", "next
         "released_rows", "ingest_parquet_incremental", "ingest_json_incremental",
         "ingest_csv_incremental", "schema_evolution", "lineage_columns", "scd2_streaming",
         "scd1_streaming", "month_inventory", "dry_run_listing", "release_new_column",
-        "release_csv_reordered", "release_late_files", "tracker_status_partial"}
+        "release_csv_reordered", "release_late_files", "tracker_status_partial", "release_corrected_file", "tracker_attempts"}
 
 
 def test_entry_smoke(spark):

@@ -30,7 +30,8 @@ def test_month_selection_and_release(spark, scratch):
     assert t["2020-02"].status == "success"
     assert landing.run(spark, cfg, up_to="2020-02") == []              # nothing left below the ceiling
     assert landing.run(spark, cfg, specific="2020-01") == ["2020-01"]  # explicit month, no done-check
-    assert landing.read_tracker(spark, cfg).count() == 2               # the month's row is replaced
+    assert landing.read_tracker(spark, cfg).count() == 2               # the last attempt is the month's row
+    assert rows(landing.tracker_attempts(spark, cfg), "simulation_month", "attempt") == [("2020-01", 1), ("2020-01", 2), ("2020-02", 1)]
     assert landing.run(spark, cfg) == ["2020-03"]
     assert landing.run(spark, cfg) == []                               # everything released
     inc = spark.read.parquet(f"{cfg.incoming}/s/b")
@@ -134,6 +135,51 @@ def test_one_bad_file_fails_alone(spark, scratch):
     assert _bytes(cfg.incoming) == {p: b for p, b in _bytes(cfg.vault).items()}
 
 
+def test_corrected_file_of_equal_size_replaces_the_first(spark, scratch):
+    folder = "s/t/extraction_month=2020-01"
+    cfg = landing.LandingConfig(f"{scratch}/vault", f"{scratch}/incoming", f"{scratch}/tracker")
+    os.makedirs(f"{cfg.vault}/{folder}")
+
+    def put(text, at):
+        with open(f"{cfg.vault}/{folder}/a.csv", "w") as f:
+            f.write(text)
+        os.utime(f"{cfg.vault}/{folder}/a.csv", (at, at))
+
+    for text, at in (("x\n1\n", 1000), ("x\n2\n", 2000), ("x\n1\n", 1000)):      # the last one takes the correction back
+        put(text, at)
+        landing.run(spark, cfg, specific="2020-01")
+        assert _bytes(cfg.incoming) == _bytes(cfg.vault)
+    kept = os.stat(f"{cfg.incoming}/{folder}/a.csv").st_mtime_ns
+    landing.run(spark, cfg, specific="2020-01")
+    assert os.stat(f"{cfg.incoming}/{folder}/a.csv").st_mtime_ns == kept
+    assert landing.superseded(spark, cfg).count() == 2
+    os.remove(f"{cfg.incoming}/{folder}/a.csv")             # what no longer lies there is delivered again
+    landing.run(spark, cfg, specific="2020-01")
+    assert _bytes(cfg.incoming) == _bytes(cfg.vault) and landing.superseded(spark, cfg).count() == 2
+
+
+def test_run_lost_before_its_records_is_made_good(spark, scratch, monkeypatch):
+    cfg = _vault(spark, scratch)
+    append = landing._append
+    for lost_at in (cfg.manifest, cfg.errors, cfg.tracker):
+        def lose(frame, path, month):
+            if path == lost_at:
+                raise RuntimeError(path)
+            append(frame, path, month)
+        monkeypatch.setattr(landing, "_append", lose)
+        try:
+            landing.run(spark, cfg, specific="2020-01")
+            assert False
+        except RuntimeError:
+            pass
+    monkeypatch.setattr(landing, "_append", append)
+    assert landing.read_tracker(spark, cfg).count() == 0
+    landing.run(spark, cfg)
+    assert rows(landing.tracker_attempts(spark, cfg), "simulation_month", "attempt", "status") == [("2020-01", 1, "success")]
+    assert _bytes(cfg.incoming) == {p: b for p, b in _bytes(cfg.vault).items() if "2020-01" in p}
+    assert landing.superseded(spark, cfg).count() == 0
+
+
 def test_unreadable_tracker_is_an_error(spark, scratch):
     import pytest
     cfg = _vault(spark, scratch)
