@@ -12,6 +12,7 @@ of the cluster is content, and all its lines that are no boilerplate are kept, s
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -49,6 +50,8 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, bool, int, int]] = []
         self.open: list[tuple[str, bool, bool, bool, int, int, bool]] = []     # tag, silent, boiler, comment, region, section, link
+        self.number = Counter()                 # open elements by tag
+        self.blocks: list[int] = []             # where in ``open`` the blocks are
         self.silent = self.boiler = self.comment = self.link = False
         self.region = self.section = 0          # 0: outside of any
         self.count = 0
@@ -95,12 +98,11 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         if tag == "p" or tag == "li":           # an open one of the same list or flow ends here
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] == tag:
-                    self._close(i)
-                    break
-                if self.open[i][0] in BLOCKS:
-                    break
+            if self.blocks and self.open[self.blocks[-1]][0] == tag:
+                self._close(self.blocks[-1])
+        self.number[tag] += 1
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
         self.open.append((tag, self.silent, self.boiler, self.comment, self.region, self.section, self.link))
         boiler, comment = self._kind(tag, attrs) if attrs or tag in BOILER_TAGS or tag == "header" else (False, False)
         self.silent |= tag in SILENT
@@ -117,20 +119,23 @@ class Lines(HTMLParser):
 
     def _end_head(self) -> None:
         """The end tag of a head may be left out: the body, or what may not stand in a head, ends it."""
-        for i, x in enumerate(self.open):
+        for i, x in enumerate(self.open) if self.number["head"] else ():
             if x[0] == "head":
                 self._close(i)
                 break
 
     def _close(self, at: int) -> None:
         _, self.silent, self.boiler, self.comment, self.region, self.section, self.link = self.open[at]
+        self.number.subtract(x[0] for x in self.open[at:])
+        while self.blocks and self.blocks[-1] >= at:
+            self.blocks.pop()
         del self.open[at:]
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCKS:
             self.flush()
         self.tags += 1
-        for i in range(len(self.open) - 1, -1, -1):
+        for i in range(len(self.open) - 1, -1, -1) if self.number[tag] else ():
             if self.open[i][0] == tag:
                 self._close(i)
                 break

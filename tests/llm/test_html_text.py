@@ -55,6 +55,13 @@ def test_very_long_and_deep_pages():
     assert H.main_text("<div>" * 3000 + LONG) == LONG
 
 
+def test_stray_end_tags_take_linear_time():
+    import time
+    start = time.time()
+    assert H.main_text("<article>" + "<span>" * 60_000 + "</b>" * 60_000 + "<p></p>" * 2_000 + f"<p>{LONG}</p></article>") == LONG
+    assert time.time() - start < 10
+
+
 def test_given_pages_equal_their_articles(spark):
     df = table(spark, "/root/testdata/sf0.01", "pages")
     rows = H.extract(df.withColumn("text", df["url"])).select("html", "text").collect()
