@@ -10,7 +10,9 @@ transitions; it is fitted by gradient ascent on the exact likelihood.
 Forward-backward marginals give each word's probability of being toxic.  A document's score
 is a logistic function of their sum over different words (as a ratio to and an excess over
 what a clean text of the length has by chance), its share of the words, and the highest; runs of words with a marginal of a half or more are the offending
-spans.  The chain starts anew at every ``WINDOW``-th word, which bounds the recursion.
+spans.  The recursion runs over windows of ``WINDOW`` words; when texts are scored the windows
+overlap, and each word's marginal comes from the window in which it has at least ``MARGIN``
+words of context on either side (or the text's end), so it does not depend on its place.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stratum.llm.common import small_batches, split_by_size
 
 WINDOW = 128
+MARGIN = 16                     # words on each side that only lend their context
 EVIDENCE = 5                    # figures of a document
 CHUNK = 1_000_000               # characters scored at once
 CACHE = 200_000                 # word scores a worker remembers
@@ -63,6 +66,26 @@ class WordScores(dict):
         return score
 
 
+def overlapping(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of ``WINDOW`` words that overlap by twice ``MARGIN``, so that every word has its neighbours in one of them.
+
+    Returns the words (their numbers) of the windows one after the other, the windows'
+    lengths, and for each word where it stands there, furthest from an edge.
+    """
+    stride = WINDOW - 2 * MARGIN
+    per = np.where(lengths > 0, np.maximum(-(-(lengths - 2 * MARGIN) // stride), 1), 0)
+    owner = np.repeat(np.arange(len(lengths)), per)
+    first_window, first_word = np.cumsum(per) - per, np.cumsum(lengths) - lengths
+    start = (np.arange(len(owner)) - first_window[owner]) * stride
+    size = np.minimum(lengths[owner] - start, WINDOW)
+    at = np.cumsum(size) - size
+    words = np.arange(size.sum()) + np.repeat(first_word[owner] + start - at, size)
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    place = np.arange(lengths.sum()) - first_word[text]
+    window = first_window[text] + np.clip((place - MARGIN) // stride, 0, per[text] - 1)
+    return words, size, at[window] + place - start[window]
+
+
 @dataclass
 class Chain:
     """Words of several texts laid out as windows: row = place in the window, column = window."""
@@ -150,7 +173,10 @@ class Tagger:
         words = [t.split() for t in texts]
         lengths = np.array([len(w) for w in words], np.int64)
         flat = np.fromiter(map(scores.__getitem__, chain.from_iterable(words)), np.float64, int(lengths.sum()))
-        marginals = Chain.of(lengths).marginals(flat, self.transitions) if len(flat) else flat
+        marginals = flat
+        if len(flat):
+            own, size, place = overlapping(lengths)
+            marginals = Chain.of(size).marginals(flat[own], self.transitions)[place]
         ends = np.cumsum(lengths)
         for own, n, end in zip(words, lengths, ends):
             m = marginals[end - n:end]
@@ -358,6 +384,6 @@ def tag(docs: DataFrame, tagger: Tagger, *, text: str = "text", into: str = "tox
     """All rows with a struct column ``into``: score, predicted, toxic_words, spans.
 
     Null and empty texts get the score of a text without evidence and no spans.  Equal texts
-    get equal answers.  An existing column ``into`` is replaced, other columns stay.
+    get equal answers, also in repeated rows; texts of any length are scored whole.  An existing column ``into`` is replaced, other columns stay.
     """
     return docs.withColumn(into, scorer(docs, tagger, threshold)(F.col(text)))

@@ -37,6 +37,32 @@ def test_windows_are_independent_of_the_batch():
     assert np.allclose(together, alone)
 
 
+def test_overlapping_windows_give_the_marginals_of_the_whole_chain(monkeypatch):
+    rng = np.random.default_rng(4)
+    a, lengths = rng.normal(size=(2, 2)), np.array([3, 0, T.WINDOW, T.WINDOW + 1, 5 * T.WINDOW + 7, 1, 2 * T.MARGIN])
+    scores = rng.normal(size=lengths.sum())
+    words, size, place = T.overlapping(lengths)
+    assert size.max() <= T.WINDOW and (words[place] == np.arange(lengths.sum())).all()
+    got = T.Chain.of(size).marginals(scores[words], a)[place]
+    monkeypatch.setattr(T, "WINDOW", 6 * T.WINDOW)
+    assert np.allclose(got, T.Chain.of(lengths).marginals(scores, a), atol=1e-6)
+
+
+def test_a_word_is_scored_alike_wherever_it_stands():
+    tagger = T.Tagger({"=bad": 4.0}, -2.0, np.array([[0.5, -1.0], [-1.0, 1.5]]), 0.01, np.ones(T.EVIDENCE + 1))
+    for at in (100, T.WINDOW - 2, T.WINDOW - 1, T.WINDOW, 400):
+        text = " ".join(["fine"] * at + ["bad", "bad", "so", "bad"] + ["fine"] * 300)
+        (_, m, _), = tagger.evidence([text], tagger.scorer())
+        assert np.allclose(m[at - 5:at + 9], FIRST if at > 100 else (FIRST := m[at - 5:at + 9]), atol=1e-6)
+
+
+def test_repeated_rows_and_very_long_texts():
+    tagger = T.Tagger({"=bad": 6.0}, -3.0, np.zeros((2, 2)), 0.01, np.ones(T.EVIDENCE + 1))
+    text = "fine " * 300_000 + "bad"
+    out = tagger.predict([text, "bad", text, "bad"], tagger.scorer(), 0.7)
+    assert out.score[0] == out.score[2] and out.score[1] == out.score[3] and [s["start"] for s in out.spans[0]] == [1_500_000]
+
+
 def test_spans_are_code_point_offsets():
     text = "é bad  worse ok\tbad"
     spans = T._spans(text, np.array([0.1, 0.9, 0.8, 0.2, 0.7]))
