@@ -188,26 +188,37 @@ class RunLengthIndex:
     def _sort(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffixes in order and the rank of each; the ranks by the first 7, 14, 28 ... symbols stay in ``rounds``."""
         n, width = len(symbols), 7
-        padded = np.r_[symbols, np.zeros(width, np.int64)]
-        key, alive = np.zeros(n, np.int64), np.ones(n, bool)
-        for j in range(width):
-            key = key << 9 | np.where(alive, padded[j:j + n], 0)
-            alive &= padded[j:j + n] != 0
-        order = np.argsort(key, kind="stable")
+        one = np.r_[symbols, np.zeros(width, np.int64)]
+        two = one[:-1] << 9 | one[1:]
+        three, four = two[:-1] << 9 | one[2:], two[:-2] << 18 | two[2:]
+        key = four[:n] << 27 | three[4:4 + n]
+        ends = np.flatnonzero(symbols == 0)
+        # suffixes that end within the key: nothing of the next text counts, and none is like any other
+        before = np.diff(np.r_[-1, ends])
+        left = spans(np.zeros(len(ends), np.int64), np.minimum(before, width))
+        ended = np.repeat(ends, np.minimum(before, width)) - left
+        key[ended] &= -1 << 9 * (width - left)
+        order = np.argsort(key)
+        alive = np.ones(n, bool)
+        alive[ended] = False
+        last = np.flatnonzero(~alive[order])
+        ended = np.sort(ended)
+        order[last] = ended[np.argsort(key[ended], kind="stable")]     # equal ones in the order of the texts
+        ordered = key[order]
+        fresh = np.r_[True, ordered[1:] != ordered[:-1]] | ~alive[order]
         while True:
-            ordered = key[order]
-            fresh = np.r_[True, ordered[1:] != ordered[:-1]]
-            if not self.rounds:
-                fresh |= ~alive[order]      # ended: unlike any other, in the order of the texts
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(fresh) - 1
             self.rounds.append((width, rank))
-            if fresh.all():
+            tied = np.flatnonzero(~(fresh & np.r_[fresh[1:], True]))
+            if not len(tied):
                 return order, rank
-            key = rank << 32
-            key[:-width] |= rank[width:]
+            own = order[tied]               # ended ones are never tied, so the text goes on for ``width`` symbols
+            key = rank[own] << 32 | rank[own + width]
+            by_key = np.argsort(key)
+            order[tied], key = own[by_key], key[by_key]
+            fresh[tied] = np.r_[True, key[1:] != key[:-1]]
             width *= 2
-            order = np.argsort(key)
 
     def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common prefix of the suffixes at ``a`` and ``b``."""
@@ -264,6 +275,16 @@ def _indexed(owned: DataFrame, match: int, id_type: str) -> DataFrame:
         size = pc.binary_length(t.column("segment")).to_numpy().astype(np.int64)
         heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         ends = np.r_[heads[1:], len(key)]
+        alone = np.repeat(ends - heads == 1, ends - heads)
+        if alone.any():                 # nothing to compare them with: the owner keeps all of them
+            own = t.filter(pa.array(alone))
+            nothing = pa.ListArray.from_arrays(pa.array(np.zeros(own.num_rows + 1, np.int32)), pa.array([], pa.int32()))
+            yield from pa.table({"id": own.column("owner"), "segment_hash": own.column("segment_hash"), "offsets": nothing}).to_batches()
+            t, key, size = t.filter(pa.array(~alone)), key[~alone], size[~alone]
+            if not len(key):
+                return
+            heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            ends = np.r_[heads[1:], len(key)]
         start = 0
         while start < len(heads):       # whole anchors, about INDEXED bytes at once
             total = np.cumsum(np.add.reduceat(size, heads[start:]))
@@ -276,7 +297,9 @@ def _indexed(owned: DataFrame, match: int, id_type: str) -> DataFrame:
         owner = pc.rank(t.column("owner"), tiebreaker="dense").to_numpy().astype(np.int64)
         own = t.column("segment").combine_chunks()
         size = pc.binary_length(own).to_numpy(zero_copy_only=False).astype(np.int64)
-        body = np.frombuffer(b"".join(own.to_pylist()), np.uint8)
+        _, at, data = own.buffers()
+        first = np.frombuffer(at, np.int32)[own.offset]
+        body = np.frombuffer(data, np.uint8)[first:first + size.sum()]
         text, offset = held_earlier(body, size, owner, match)
         number = np.bincount(text, minlength=len(size))
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(number)].astype(np.int32)), pa.array(offset.astype(np.int32)))
@@ -360,11 +383,8 @@ def cut_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", matc
     rows, id_type = _rows(docs, id, text), dict(docs.dtypes)[id]
     keys = shared_keys(rows, match, scratch)
     owned = owned_segments(rows, keys, match, scratch)
-    sizes = scratch.keep(owned.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-    some, many = (sizes.where(F.col("n").between(2, MOST_SEGMENTS)).select("key"), sizes.where(F.col("n") > MOST_SEGMENTS).select("key"))
-    alone = owned.join(sizes.select("key"), "key", "left_anti").select(F.col("owner").alias("id"), F.xxhash64("segment").alias("segment_hash"), F.array().cast("array<int>").alias("offsets"))
-    compared = _indexed(owned.join(some, "key", "left_semi"), match, id_type).unionByName(_by_string(owned.join(many, "key", "left_semi"), match))
-    lost = scratch.keep(alone.unionByName(compared), "lost")
+    many = scratch.keep(owned.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > MOST_SEGMENTS).select("key"), "many")
+    lost = scratch.keep(_indexed(owned.join(many, "key", "left_anti"), match, id_type).unionByName(_by_string(owned.join(many, "key", "left_semi"), match)), "lost")
     scratch.release()
     of_owner = lost.groupBy("id").agg(F.collect_list(F.struct("segment_hash", "offsets")).alias("owned"))
     facts = scratch.keep(keys.join(of_owner, "id", "left"), "facts")
