@@ -12,26 +12,47 @@ def _state(edges: DataFrame) -> tuple:
     return row["n"], row["s"]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _least(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """u, m: the smallest neighbour of each node, as a written table.
+
+    The join with it then has nothing but a shuffle on either side, so that Spark can deal a
+    node with very many links out to several tasks.
+    """
+    return scratch.keep(links.groupBy("u").agg(F.min("v").alias("m")), "least")
+
+
+def _large_star(both: DataFrame, least: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest of the node and its neighbours."""
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = least.select("u", F.least("u", "m").alias("m"))
     return both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, least: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
+    moved = links.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return moved.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
+
+
+def _round(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    links = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = _least(both, scratch)
+    large = scratch.keep(_large_star(both, least), "large")
+    links = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    lowest = _least(links, scratch)
+    small = scratch.keep(_small_star(links, lowest), "edges")
+    for done in (least, large, lowest):
+        scratch.drop(done)
+    return small
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """node, root: every node that has a link, but for the roots themselves; root is the smallest node it reaches.
 
     Alternating star contraction: the rounds grow with the logarithm of the largest
-    component's size.  Minima are combined before the shuffle and joined back, so a node with
-    very many links is split over tasks.  Each round is a written table in the shared folder.
+    component's size.  Minima are combined before the shuffle, written and joined back, so the
+    join's tasks can share a node with very many links.  Each round is a written table in the
+    shared folder.
     ``edges`` has two columns a, b; order, repeats and loops do not matter, nulls are left out.
     """
     a, b = edges.columns
@@ -39,7 +60,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     edges = scratch.keep(edges, "edges")
     state = _state(edges)
     while state[0]:
-        step = scratch.keep(_small_star(_large_star(edges)), "edges")
+        step = _round(edges, scratch)
         scratch.drop(edges)
         edges, before, state = step, state, _state(step)
         if state == before:

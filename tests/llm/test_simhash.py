@@ -106,3 +106,25 @@ def test_components_of_chains_stars_and_loops(spark):
     df = spark.createDataFrame(chain + star + [(7, 7), (None, 3), (9, 8), (8, 9)], "x bigint, y bigint")
     got = {r["node"]: r["root"] for r in components(df, Scratch(spark, "t")).collect()}
     assert got == {**{i: 100 for i in range(101, 161)}, **{i: 500 for i in range(501, 700)}, 9: 8}
+
+
+def test_links_of_a_hub_are_split_over_tasks(spark):
+    from stratum.llm import components as C
+    from stratum.llm.common import Scratch
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.enabled": "true",
+             "spark.sql.adaptive.skewJoin.enabled": "true", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        scratch = Scratch(spark, "t")
+        # the hub is the smallest of its neighbours in one table, the largest in the other
+        for hub, star in ((0, C._large_star), (10**9, C._small_star)):
+            links = scratch.keep(spark.range(0, 200_000, 1, 8).selectExpr(f"CAST({hub} AS BIGINT) u", "id + 1 v")
+                                 .union(spark.range(300_000, 320_000).selectExpr("id + 1 u", "id v")), "links")
+            joined = star(links, C._least(links.union(links.select("v", "u")), scratch) if star is C._large_star else C._least(links, scratch))
+            joined.collect()
+            assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
