@@ -33,7 +33,7 @@ from stratum.llm.common import Scratch
 ANCHOR = 16                     # bytes of an anchor
 PIECE = 1 << 18                 # strings looked at once
 CUT = 64                        # strings of a segment
-INDEXED = 1 << 19               # bytes of segments indexed at once
+INDEXED = 1 << 17               # bytes of segments indexed at once; its arrays stay in the cache
 MOST_SEGMENTS = 8192            # of an anchor in an index
 _MIX = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9], np.uint64)
 
