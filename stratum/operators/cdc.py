@@ -16,11 +16,10 @@ Semantics (batch; the streaming flows give the same answer over all events so fa
 
 Skew: one key may own a large share of all events.  Type 1 is a partial
 (map-side combined) aggregate, so a hot key never lands whole in one task.  Type 2
-needs ordered scans per key; the key's timeline is split into ``chunks`` sequence
-ranges (boundaries are approximate quantiles of the sequence, computed once and
-passed as literals so a retried task sees the same split).  Each (key, chunk)
-group is scanned on its own and the chunk edges are stitched with a small
-per-(key, chunk) summary, which keeps results exact.
+needs ordered scans per key; the timeline of a key with too many events is cut into
+as many sequence ranges as it needs, where its own events say
+(:mod:`stratum.operators.ranges`).  Each (key, range) group is scanned on its own and
+the edges are stitched with a small per-(key, range) summary, which keeps results exact.
 """
 
 from __future__ import annotations
@@ -30,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.operators import skew
+from stratum.operators import ranges
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -103,56 +102,29 @@ def _seq_number(c: Column, dtype) -> Column:
     return c.cast("double")
 
 
-def _chunk_of(c: Column, dtype, splits: list[float]) -> Column:
-    """Index of the sequence range a value falls into (binary search, JVM side).
-
-    NULL, which Spark sorts first, has the leading range -1."""
-    if not splits:
-        return F.lit(0)
-    num = _seq_number(c, dtype).cast("double")
-    # array_position over a sorted literal array is linear; a balanced CASE tree
-    # keeps it logarithmic and stays inside whole-stage codegen.
-    return F.when(num.isNull(), F.lit(-1)).otherwise(_bsearch(num, splits, 0, len(splits)))
-
-
-def _bsearch(x: Column, splits: list[float], lo: int, hi: int) -> Column:
-    # returns count of splits <= x among splits[lo:hi], offset by lo
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(x < F.lit(splits[mid]), _bsearch(x, splits, lo, mid)).otherwise(
-        _bsearch(x, splits, mid + 1, hi))
-
-
 def scd2(events: DataFrame, keys: str | Sequence[str], seq: str, *,
          partial: bool = False, except_cols: Sequence[str] = (),
-         chunks: int = 1, splits: list[float] | None = None, hot_rows: int | None = None,
+         chunks: int = 1, hot_rows: int | None = None,
          start_col: str = START_AT, end_col: str = END_AT) -> DataFrame:
     """Full version history (SCD type 2) from change events.
 
-    With ``chunks > 1`` the split plan is used when a key holds more than
-    ``hot_rows`` events (default: session setting, see :mod:`stratum.operators.skew`;
-    ``0`` forces it).
+    With ``chunks > 1`` keys of more than ``hot_rows`` events (default: session setting,
+    see :mod:`stratum.operators.skew`) are cut into ranges of about that many; ``0`` cuts
+    the largest key into ``chunks`` ranges and others by the same limit.
 
     One hash exchange on ``(keys, chunk)`` and one sort serve the whole
     computation: a first window (ordered by sequence, then business columns
     descending) keeps one row per (key, sequence) -- in partial mode the peers
     of a sequence have that same order and each column takes its first non-NULL
     value in it -- and a second window over the same order gives ``lead`` and the
-    forward fill.  ``chunks > 1`` splits each key's timeline into sequence
-    ranges so that no task holds all versions of a hot key (module doc);
-    ``splits`` may be given to skip the quantile pass.
+    forward fill.  No task holds all versions of a hot key (module doc).
     """
     keys = _as_list(keys)
     valid = valid_events(events, keys, seq)
-    if splits is None:
-        splits = []
-        if chunks > 1 and skew.needs_split(valid, keys, hot_rows):
-            # one narrow scan of the sequence column, before any shuffle
-            splits = sequence_splits(valid, seq, chunks)
     business = [c for c in valid.columns if c not in keys and c != seq]
-    seq_type = valid.schema[seq].dataType
-    ev = valid.withColumn(_CHUNK, _chunk_of(F.col(seq), seq_type, splits))
+    # narrow passes over the keys and the sequence, before any shuffle of the events
+    hot = ranges.hot_keys(valid, keys, hot_rows, chunks) if chunks > 1 else None
+    ev = hot.ranges(F.col(seq)).of(valid, F.col(seq), _CHUNK) if hot else valid.withColumn(_CHUNK, F.lit(0))
     part = [*keys, _CHUNK]
 
     # 1) one row per (key, sequence)
@@ -180,17 +152,17 @@ def scd2(events: DataFrame, keys: str | Sequence[str], seq: str, *,
         w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(c)
         for c in business] if partial else [F.col(c) for c in business]
     local = [F.lead(seq).over(w2).alias("__next_local")]
-    if splits:
+    if hot:
         local.append(F.min(seq).over(
             w2.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__first"))
     scanned = one.select(*part, seq, *filled, *local)
 
-    if not splits:
+    if not hot:
         out = scanned.withColumn("__next", F.col("__next_local"))
     else:
         # 3) stitch chunk edges.  Only the last row of each (key, chunk) needs a
         #    new end (the next chunk's first sequence): a window over just those
-        #    rows, at most `chunks` per key.  In partial mode rows that still hold
+        #    rows, one per range.  In partial mode rows that still hold
         #    a NULL after the local fill take the last non-NULL value of earlier
         #    chunks; only those rows are joined with the small carry table.
         w_chunks = Window.partitionBy(*keys).orderBy(_CHUNK)

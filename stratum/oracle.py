@@ -285,6 +285,18 @@ hist AS (
   FROM one
 )"""
 
+SCD2_BURST_KEY = """
+WITH ev AS (
+  SELECT if(event_id % 20 = 0, -1, user_id) AS user_id, event_type, value,
+         if(event_id % 20 = 0, '2024-01-15 12:00:00.' || lpad(event_id::VARCHAR, 12, '0'), strftime(ts, '%Y-%m-%d %H:%M:%S.%f')) AS at
+  FROM events),
+one AS (
+  SELECT * FROM ev WHERE user_id IS NOT NULL AND at IS NOT NULL
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, at ORDER BY event_type DESC NULLS LAST, value DESC NULLS LAST) = 1)
+SELECT user_id, event_type, value, at AS __START_AT, LEAD(at) OVER (PARTITION BY user_id ORDER BY at) AS __END_AT
+FROM one
+"""
+
 SCD2_HISTORY = _SCD2_FULL + "\nSELECT * FROM hist\n"
 SCD2_CURRENT = _SCD2_FULL + "\nSELECT * FROM hist WHERE __END_AT IS NULL\n"
 
@@ -428,6 +440,7 @@ def operator_sql() -> dict[str, str]:
         "scd2_partial_update": SCD2_PARTIAL_UPDATE,
         "scd2_current": SCD2_CURRENT,
         "scd2_composite_key": SCD2_COMPOSITE_KEY,
+        "scd2_burst_key": SCD2_BURST_KEY,
         "sequence_fallback": SEQUENCE_FALLBACK,
         "uuid_text": UUID_TEXT,
         "hex_text": HEX_TEXT,

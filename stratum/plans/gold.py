@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions import days_between, flag
-from stratum.operators.cdc import current_versions, sequence_splits
+from stratum.operators.cdc import current_versions
 from stratum.operators.latest import latest_per_key
-from stratum.operators import ordered, skew
+from stratum.operators import ordered
+from stratum.operators.ranges import HotKeys, hot_keys
 from stratum.operators.rank import percent_rank_table
 from stratum.session import materialize
 
@@ -156,21 +157,22 @@ def policy_billing_summary(invoice: DataFrame, payment: DataFrame,
                     "last_payment_date", rate.alias("payment_rate_pct"))
 
 
-def member_windows(claims: DataFrame, chunks: int = 1, date_splits: list[float] | None = None,
-                   charge_splits: list[float] | None = None) -> DataFrame:
+def member_windows(claims: DataFrame, chunks: int = 1, hot: HotKeys | None = None) -> DataFrame:
     """Per-member sequence, gap, running, moving, lifetime and rank columns.
 
     ``chunks <= 1``: plain windows that share the partition key ``member_id`` so
     Catalyst plans one exchange; the ``(service_date, claim_id)`` order is total.
     ``chunks > 1``: the split form of :mod:`stratum.operators.ordered` -- same
-    values, but a member holding a large share of all claims is scanned in
-    ``chunks`` parallel date ranges instead of one task.
+    values, but the members ``hot`` (default: those that the limit cuts which makes ``chunks``
+    ranges of the largest) are scanned in parallel ranges instead of one task.
     """
-    if chunks > 1:
-        seq = ordered.sequence_windows(claims, "member_id", ("service_date", "claim_id"),
-                                       "total_charge", "total_benefit", chunks, date_splits)
-        return ordered.rank_desc_within(seq, "member_id", "total_charge",
-                                        "member_charge_rank", chunks, charge_splits)
+    if chunks > 1 and hot is None:
+        hot = hot_keys(claims, ["member_id"], 0, chunks)
+    if chunks > 1 and hot is not None:
+        seq = ordered.sequence_windows(claims, "member_id", ("service_date", "claim_id"), "total_charge", "total_benefit",
+                                       hot.ranges(F.struct("service_date", "claim_id")))
+        return ordered.rank_desc_within(seq, "member_id", "total_charge", "member_charge_rank",
+                                        hot.ranges(F.col("total_charge")))
     w = Window.partitionBy("member_id").orderBy("service_date", "claim_id")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     moving3 = w.rowsBetween(-2, Window.currentRow)
@@ -194,7 +196,7 @@ def member_windows(claims: DataFrame, chunks: int = 1, date_splits: list[float]
 def member_claim_activity(claim: DataFrame, claim_line: DataFrame,
                           claim_assessment: DataFrame, *,
                           distributed_percent_rank: bool = True,
-                          rank_buckets: int = 64, member_chunks: int = 16,
+                          rank_buckets: int = 1, member_chunks: int = 16,
                           hot_rows: int | None = None,
                           materialize_base: bool = False) -> DataFrame:
     """One row per current claim with per-member trend windows and risk flags.
@@ -220,16 +222,11 @@ def member_claim_activity(claim: DataFrame, claim_line: DataFrame,
                     days_between("payment_date", c["assessment_date"]).alias("days_to_pay")))
     if materialize_base:
         base = materialize(base, "member-claims")
-    # Split points come from the narrow current-claims frame: a quantile pass over
-    # the joined frame would recompute all of its joins once more.  The split
-    # plan is chosen only when some member holds more than `hot_rows` claims.
-    date_splits = charge_splits = None
-    if member_chunks > 1 and not skew.needs_split(c, ["member_id"], hot_rows):
-        member_chunks = 1
-    if member_chunks > 1:
-        date_splits = sequence_splits(c, "service_date", member_chunks)
-        charge_splits = ordered.value_splits(c, "total_charge", member_chunks)
-    enriched = member_windows(base, member_chunks, date_splits, charge_splits)
+    # Members are counted in the narrow current-claims frame: the joined one would
+    # run all of its joins once more.  The split plan is chosen only when some member
+    # holds more than `hot_rows` claims.
+    hot = hot_keys(c, ["member_id"], hot_rows, member_chunks) if member_chunks > 1 else None
+    enriched = member_windows(base, member_chunks if hot else 1, hot)
 
     if distributed_percent_rank:
         # Every claim of a member carries the member's lifetime charge, so rank the

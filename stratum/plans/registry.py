@@ -75,6 +75,20 @@ def q_scd2_composite_key(spark, sf):
     return cdc.scd2(e, ["user_id", "event_type"], "ts", except_cols=["ts"], chunks=SCD2_CHUNKS, hot_rows=0)
 
 
+BURST_ROWS = 64
+
+
+def q_scd2_burst_key(spark, sf):
+    """Text sequences; each twentieth event belongs to one key and falls into one second.  Keys of more than
+    ``BURST_ROWS`` events are cut into ranges of about that many."""
+    ev = events(spark, sf).select(
+        F.when(F.col("event_id") % 20 == 0, F.lit(-1).cast("long")).otherwise(F.col("user_id")).alias("user_id"),
+        F.when(F.col("event_id") % 20 == 0, F.concat(F.lit("2024-01-15 12:00:00."), F.lpad(F.col("event_id").cast("string"), 12, "0")))
+         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("at"),
+        "event_type", "value")
+    return cdc.scd2(ev, "user_id", "at", except_cols=["at"], chunks=SCD2_CHUNKS, hot_rows=BURST_ROWS)
+
+
 def q_sequence_fallback(spark, sf):
     """sequence = modified time, else created time; both NULL -> set aside."""
     e = events(spark, sf).select(
