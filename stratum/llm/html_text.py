@@ -36,7 +36,12 @@ SECTIONS = frozenset("body div section td blockquote".split())
 BOILER_STARTS = ("advert", "banner", "breadcrumb", "consent", "cookie", "copyright", "disqus", "footer", "gdpr", "menu", "navbar", "navigation", "newsletter",
                  "notice", "pagination", "popup", "promo", "sidebar", "sponsor", "subscri", "toolbar", "widget", "masthead", "signup", "login")
 BOILER_WORDS = frozenset("ad ads adv nav share sharing social related recommended modal overlay topbar header aside alert search form skip".split())
-COMMENTS = ("comment", "disqus", "replies", "respond")
+COMMENTS = re.compile("comment(s|er|ers|list|form|box|section|area|block|body|text|thread)?|disqus.*|replies|respond")
+# Inside an article or main a class names boilerplate only if each part of it is such a word, a word for a place or shape, or a number.
+BOILER_IN_REGION = re.compile("adverts?|advertisements?|advertising|banners?|breadcrumbs?|consent|cookies?|copyright|footers?|gdpr|menus?|navbar|navigation|"
+                              "newsletters?|notices?|pagination|popups?|promos?|promotions?|sidebars?|sponsor(s|ed)?|subscri(be|ption)|toolbars?|widgets?|masthead|signup|login")
+PLACES = re.compile("[a-z]?[0-9]+|area|articles?|bar|block|body|bottom|box|btn|buttons?|card|col|container|content|fixed|form|global|grid|group|header|icons?|inline|inner|"
+                    "items?|left|links?|list|main|page|panel|posts?|right|row|section|site|slot|sticky|stories|story|title|top|unit|wrap|wrapper")
 DEVIATIONS = 0.6
 KERNEL = np.exp(-0.5 * (np.arange(-2, 3) / 1.0) ** 2)
 _PARTS = re.compile("[a-z0-9]+")
@@ -44,15 +49,17 @@ _SPACE = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, link characters, boilerplate, region, section) of each line."""
+    """Collects (text, tags, link characters, boilerplate, region, section, doubt) of each line.
+
+    Doubt: inside of a region, by a class that holds a word of boilerplate beside others (``notice-period``)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, int, int]] = []
-        self.open: list[tuple[str, bool, bool, bool, int, int, bool]] = []     # tag, silent, boiler, comment, region, section, link
+        self.lines: list[tuple[str, int, int, bool, int, int, bool]] = []
+        self.open: list[tuple[str, bool, bool, bool, int, int, bool, bool]] = []   # tag, silent, boiler, comment, region, section, link, doubt
         self.number = Counter()                 # open elements by tag
         self.blocks: list[int] = []             # where in ``open`` the blocks are
-        self.silent = self.boiler = self.comment = self.link = False
+        self.silent = self.boiler = self.comment = self.link = self.doubt = False
         self.region = self.section = 0          # 0: outside of any
         self.count = 0
         self.text: list[str] = []
@@ -61,13 +68,13 @@ class Lines(HTMLParser):
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append((text, self.tags, self.linked, self.boiler, self.region, self.section))
+            self.lines.append((text, self.tags, self.linked, self.boiler, self.region, self.section, self.doubt))
             self.tags = 0
         self.text, self.linked = [], 0
 
-    def _kind(self, tag: str, attrs: list) -> tuple[bool, bool]:
-        """Whether the element is boilerplate, and whether it holds comments."""
-        boiler, comment = tag in BOILER_TAGS or (tag == "header" and not self.region), False
+    def _kind(self, tag: str, attrs: list) -> tuple[bool, bool, bool]:
+        """Whether the element is boilerplate, whether it holds comments, and whether there is doubt."""
+        boiler, comment, doubt = tag in BOILER_TAGS or (tag == "header" and not self.region), False, False
         for name, value in attrs:
             if name in ("hidden", "inert") or name == "aria-hidden" and value == "true":
                 boiler = True
@@ -78,12 +85,14 @@ class Lines(HTMLParser):
             elif name == "style":
                 boiler |= "display:none" in value.replace(" ", "").lower()
             elif name in ("class", "id") and tag not in ("html", "body"):
-                for part in _PARTS.findall(value.lower()):
-                    if part.startswith(COMMENTS):
+                for word in value.lower().split():
+                    parts = _PARTS.findall(word)
+                    if any(map(COMMENTS.fullmatch, parts)):
                         boiler = comment = True
-                    elif tag not in REGIONS and (part in BOILER_WORDS or part.startswith(BOILER_STARTS)):
-                        boiler = True
-        return boiler, comment
+                    elif tag not in REGIONS and any(p in BOILER_WORDS or p.startswith(BOILER_STARTS) for p in parts):
+                        sure = not self.region or all(p in BOILER_WORDS or BOILER_IN_REGION.fullmatch(p) or PLACES.fullmatch(p) for p in parts)
+                        boiler, doubt = boiler or sure, doubt or not sure
+        return boiler, comment, doubt
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCKS:
@@ -103,10 +112,11 @@ class Lines(HTMLParser):
         self.number[tag] += 1
         if tag in BLOCKS:
             self.blocks.append(len(self.open))
-        self.open.append((tag, self.silent, self.boiler, self.comment, self.region, self.section, self.link))
-        boiler, comment = self._kind(tag, attrs) if attrs or tag in BOILER_TAGS or tag == "header" else (False, False)
+        self.open.append((tag, self.silent, self.boiler, self.comment, self.region, self.section, self.link, self.doubt))
+        boiler, comment, doubt = self._kind(tag, attrs) if attrs or tag in BOILER_TAGS or tag == "header" else (False, False, False)
         self.silent |= tag in SILENT
         self.comment |= comment
+        self.doubt |= doubt
         self.link |= tag == "a"
         if tag in REGIONS or tag in SECTIONS:
             self.count += 1
@@ -125,7 +135,7 @@ class Lines(HTMLParser):
                 break
 
     def _close(self, at: int) -> None:
-        _, self.silent, self.boiler, self.comment, self.region, self.section, self.link = self.open[at]
+        _, self.silent, self.boiler, self.comment, self.region, self.section, self.link, self.doubt = self.open[at]
         self.number.subtract(x[0] for x in self.open[at:])
         while self.blocks and self.blocks[-1] >= at:
             self.blocks.pop()
@@ -149,7 +159,7 @@ class Lines(HTMLParser):
                 self.linked += len(data)
 
 
-def lines_of(html: str) -> list[tuple[str, int, int, bool, int, int]]:
+def lines_of(html: str) -> list[tuple[str, int, int, bool, int, int, bool]]:
     parser = Lines()
     parser.feed(html)
     parser.close()
@@ -158,8 +168,9 @@ def lines_of(html: str) -> list[tuple[str, int, int, bool, int, int]]:
 
 
 def ratios(lines: list[tuple]) -> np.ndarray:
-    """Smoothed text-to-tag ratio of each line."""
-    raw = np.array([0.0 if boiler or linked > 0.6 * len(text) else len(text) / max(tags, 1) for text, tags, linked, boiler, _, _ in lines])
+    """Smoothed text-to-tag ratio of each line; a doubtful line counts half."""
+    raw = np.array([0.0 if boiler or linked > 0.6 * len(text) else len(text) / max(tags, 1) / (1 + doubt)
+                    for text, tags, linked, boiler, _, _, doubt in lines])
     weight = np.convolve(np.ones(len(raw)), KERNEL, "same") if len(raw) >= len(KERNEL) else None
     if weight is None:
         padded = np.convolve(np.r_[np.zeros(2), raw, np.zeros(2)], KERNEL, "valid")
@@ -179,7 +190,7 @@ def main_text(html: str | None) -> str:
     if not regions:                             # a region whose lines are all short
         regions = {x[4] for x in lines if x[4] and not x[3]}
     if regions:
-        kept = [x[0] for x in lines if x[4] in regions and not x[3]]
+        kept = [x[0] for x, c in zip(lines, content) if x[4] in regions and not x[3] and (c or not x[6])]
     else:
         sections = {x[5] for x, c in zip(lines, content) if c}
         kept = [x[0] for x in lines if x[5] in sections and not x[3] and x[2] <= 0.6 * len(x[0])]

@@ -33,6 +33,23 @@ def test_head_without_end_tag(start):
     assert H.main_text(f"<!doctype html>{start}<nav>Menu</nav><article><h1>T</h1><p>{LONG}</p></article>") == f"T\n\n{LONG}"
 
 
+@pytest.mark.parametrize("name", ["notice-period", "share-price", "related-works", "widgetry", "menu-of-the-day", "commentary", "loginless", "search-results-explained"])
+def test_words_beside_others_drop_no_text_of_an_article(name):
+    for text in (LONG, "Three months."):
+        assert H.main_text(f"<article><p>{LONG}</p><div class='x {name}'><p>{text}</p></div><p>{LONG}</p></article>") == f"{LONG}\n\n{text}\n\n{LONG}"
+
+
+@pytest.mark.parametrize("name", ["notice", "cookie-notice", "ad", "ad-slot-3", "share-buttons", "related", "related-posts", "newsletter_signup", "sidebar-left",
+                                  "promo box", "comment-17", "comments", "social-links", "sponsored"])
+def test_boilerplate_classes_go_from_an_article(name):
+    assert H.main_text(f"<article><p>{LONG}</p><div class='{name}'><p>{LONG}</p></div><p>End.</p></article>") == f"{LONG}\n\nEnd."
+
+
+def test_doubtful_link_lists_go():
+    links = "<a href=x>Other</a> <a href=y>Another one</a>"
+    assert H.main_text(f"<article>{f'<p>{LONG}</p>' * 8}</article>".replace("</article>", f"<div class='related-works'>{f'<p>{links}</p>' * 6}</div></article>")).count("Other") < 3
+
+
 def test_text_ends_a_head():
     assert H.main_text(f"<head><title>T</title>\n{LONG}") == LONG
     assert H.main_text(f"<head><title>T</title>\n<style>a</style></head><p>{LONG}") == LONG
