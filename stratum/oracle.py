@@ -288,12 +288,12 @@ hist AS (
 SCD2_BURST_KEY = """
 WITH ev AS (
   SELECT if(event_id % 20 = 0, -1, user_id) AS user_id, event_type, value,
-         if(event_id % 20 = 0, '2024-01-15 12:00:00.' || lpad(event_id::VARCHAR, 12, '0'), strftime(ts, '%Y-%m-%d %H:%M:%S.%f')) AS at
+         if(event_id % 20 = 0, '2024-01-15 12:00:00.' || lpad(event_id::VARCHAR, 12, '0'), strftime(ts, '%Y-%m-%d %H:%M:%S.%f')) AS seq_at
   FROM events),
 one AS (
-  SELECT * FROM ev WHERE user_id IS NOT NULL AND at IS NOT NULL
-  QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, at ORDER BY event_type DESC NULLS LAST, value DESC NULLS LAST) = 1)
-SELECT user_id, event_type, value, at AS __START_AT, LEAD(at) OVER (PARTITION BY user_id ORDER BY at) AS __END_AT
+  SELECT * FROM ev WHERE user_id IS NOT NULL AND seq_at IS NOT NULL
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, seq_at ORDER BY event_type DESC NULLS LAST, value DESC NULLS LAST) = 1)
+SELECT user_id, event_type, value, seq_at AS __START_AT, LEAD(seq_at) OVER (PARTITION BY user_id ORDER BY seq_at) AS __END_AT
 FROM one
 """
 
