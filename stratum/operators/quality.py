@@ -64,9 +64,15 @@ def expectation_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
                     (F.col("__n") - F.col("__s.passed")).cast("long").alias("failed")))
 
 
-def observe_expectations(df: DataFrame, rules: list[Rule], name: str) -> DataFrame:
-    """Pass rows through unchanged; count failures per rule as observed metrics."""
-    metrics = [F.count(F.lit(1)).alias("rows")]
+# Names in a flow's observation beside its rules'.
+OBSERVATION, ROWS, INVALID = "_expectations", "rows", "__invalid"
+
+
+def observe_expectations(df: DataFrame, rules: list[Rule], name: str, invalid: Column | None = None) -> DataFrame:
+    """Pass rows through unchanged; count failures per rule (and ``invalid`` rows) as observed metrics."""
+    metrics = [F.count(F.lit(1)).alias(ROWS)]
+    if invalid is not None:
+        metrics.append(F.count_if(invalid).alias(INVALID))
     metrics += [F.count_if(~r.passed()).alias(r.name) for r in rules]
     return df.observe(name, *metrics)
 

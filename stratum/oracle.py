@@ -285,6 +285,19 @@ hist AS (
   FROM one
 )"""
 
+PROGRESS_EVENTS = """
+WITH ev AS (SELECT event_id % 3 AS batch_id, if(event_id % 11 <> 0, user_id, NULL) AS user_id, ts, event_type, value FROM events),
+tops AS (SELECT user_id, batch_id, max(ts) AS top FROM ev WHERE user_id IS NOT NULL GROUP BY ALL),
+late AS (SELECT ev.batch_id, count_if(coalesce(ev.ts < (SELECT max(top) FROM tops t WHERE t.user_id = ev.user_id AND t.batch_id < ev.batch_id), false)) AS late_rows
+         FROM ev GROUP BY ev.batch_id),
+counts AS (SELECT batch_id, count(*) AS input_rows, count_if(user_id IS NULL OR ts IS NULL) AS invalid_rows,
+                  count_if(coalesce(value > 50, false)) AS p1, count_if(coalesce(event_type <> 'error', false)) AS p2 FROM ev GROUP BY batch_id),
+rules AS (SELECT batch_id, input_rows, invalid_rows, unnest(['value_over_50', 'no_error']) AS rule, unnest([p1, p2]) AS passed FROM counts)
+SELECT f.layer, f.flow, batch_id, input_rows, if(f.flow = 'user_state', invalid_rows, NULL)::BIGINT AS invalid_rows,
+       if(f.flow = 'user_state', late_rows, NULL)::BIGINT AS late_rows, rule, passed::BIGINT AS passed, (input_rows - passed)::BIGINT AS failed
+FROM rules JOIN late USING (batch_id), (VALUES ('silver', 'user_state'), ('bronze', 'event_rows')) f(layer, flow)
+"""
+
 SCD2_BURST_KEY = """
 WITH ev AS (
   SELECT if(event_id % 20 = 0, -1, user_id) AS user_id, event_type, value,
@@ -554,6 +567,7 @@ def flow_sql() -> dict[str, str]:
         "quality_metrics_table": "SELECT 'events' AS \"table\", rule, sum(ok::BIGINT)::BIGINT AS passed, sum((NOT ok)::BIGINT)::BIGINT AS failed, true AS several_batches FROM ("
                                  "SELECT unnest(['value_over_50', 'known_user', 'no_error']) AS rule, "
                                  "unnest([coalesce(value > 50, false), user_id IS NOT NULL, coalesce(event_type <> 'error', false)]) AS ok FROM events) GROUP BY rule",
+        "progress_events": PROGRESS_EVENTS,
         "month_inventory": f"WITH {_MONTHS} SELECT schema_name, table_name, month, CAST(1 AS BIGINT) AS files "
                            "FROM table_months",
         "dry_run_listing": f"WITH {_MONTHS} SELECT schema_name, table_name, COUNT(DISTINCT month) AS months, "

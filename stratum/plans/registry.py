@@ -22,7 +22,7 @@ from stratum.plans import domain, feeds, gold, landing, pipeline, silver
 from stratum.session import scratch_dir, write_text
 from stratum.sources import ingest as ing
 from stratum.sources import sql as sql_text
-from stratum.streaming import flows
+from stratum.streaming import flows, progress
 
 SCD2_CHUNKS = 8   # with hot_rows=0 the split plan always runs, so the oracle checks it
 
@@ -522,6 +522,25 @@ def q_quality_metrics_table(spark, sf):
             .agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"), (F.count_distinct("batch_id") > 1).alias("several_batches")))
 
 
+def q_progress_events(spark, sf):
+    """Q1, Q8: the progress table over a CDC and an append flow that take the events in in three runs."""
+    root = scratch_dir(spark, "progress")
+    rules = quality.rules_from_pairs([("value_over_50", "value > 50"), ("no_error", "event_type <> 'error'")])
+    log = events(spark, sf).select("event_id", F.when(F.col("event_id") % 11 != 0, F.col("user_id")).alias("user_id"), "ts", "event_type", "value")
+    spec = flows.CdcSpec(keys=("user_id",), sequence="ts", except_cols=("ts",), target_path=f"{root}/silver", changelog_path=f"{root}/changelog",
+                         checkpoint=f"{root}/cdc", key_buckets=8, rules=tuple(rules), table="user_state")
+    with progress.recorded(spark, f"{root}/progress", {"user_state": "silver", "event_rows": "bronze"}):
+        for g in range(3):
+            log.where(F.col("event_id") % 3 == g).write.mode("append").parquet(f"{root}/arrivals")
+            stream = spark.readStream.schema(log.schema).parquet(f"{root}/arrivals")
+            flows.run_cdc_flow(spark, stream, spec)
+            flows.run_append_flow(stream, f"{root}/rows", f"{root}/append", rules, "event_rows")
+    late = progress.late_rows(spark, spec).select(F.lit("user_state").alias("flow"), "batch_id", "late_rows")
+    return (progress.read_progress(spark, f"{root}/progress").join(late, ["flow", "batch_id"], "left")
+            .select("layer", "flow", "batch_id", "input_rows", "invalid_rows", "late_rows", F.explode("rules").alias("rule", "c"))
+            .select("layer", "flow", "batch_id", "input_rows", "invalid_rows", "late_rows", "rule", "c.passed", "c.failed"))
+
+
 # ---------------------------------------------------------------- landing
 
 def _vault(spark, sf, root):

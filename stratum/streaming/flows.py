@@ -43,7 +43,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from stratum.functions import (cdc_struct_sequence, epoch_day_to_date, epoch_us_to_timestamp,
                                hex_text, sequence_of, uuid_text)
@@ -122,6 +122,11 @@ def with_processing_time(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- append flows
 
+def _named(writer: DataStreamWriter, name: str) -> DataStreamWriter:
+    """Flows with a name of their own show it in their progress reports."""
+    return writer if name in ("flow", "table") else writer.queryName(name)
+
+
 def run_append_flow(stream: DataFrame, target_path: str, checkpoint: str,
                     rules: list[quality.Rule] | None = None, name: str = "flow",
                     timeout_s: float | None = None,
@@ -133,7 +138,7 @@ def run_append_flow(stream: DataFrame, target_path: str, checkpoint: str,
     and rule, partition ``batch_id`` replaced on a re-run).
     """
     out = stream
-    obs = f"{name}_expectations"
+    obs = f"{name}{quality.OBSERVATION}"
     if rules:
         out = quality.observe_expectations(out, rules, obs)
     # counts come from the progress reports: keep those of every batch of the run, not the last 100
@@ -141,7 +146,7 @@ def run_append_flow(stream: DataFrame, target_path: str, checkpoint: str,
     before = spark.conf.get(PROGRESS_KEPT, None)
     spark.conf.set(PROGRESS_KEPT, str(2**31 - 1))
     try:
-        q = (out.writeStream.format("parquet").outputMode("append")
+        q = (_named(out.writeStream, name).format("parquet").outputMode("append")
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start(target_path))
         q.awaitTermination(timeout_s)
@@ -324,7 +329,11 @@ def cdc_batch_writer(spark: SparkSession, spec: CdcSpec, at_step: Callable[[str]
 
 def run_cdc_flow(spark: SparkSession, stream: DataFrame, spec: CdcSpec,
                  max_batches_timeout_s: float | None = None) -> StreamingQuery:
-    q = (stream.writeStream.foreachBatch(cdc_batch_writer(spark, spec))
+    invalid = F.col(spec.sequence).isNull()
+    for k in spec.keys:
+        invalid |= F.col(k).isNull()
+    out = quality.observe_expectations(stream, list(spec.rules), f"{spec.table}{quality.OBSERVATION}", invalid)
+    q = (_named(out.writeStream, spec.table).foreachBatch(cdc_batch_writer(spark, spec))
          .option("checkpointLocation", spec.checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination(max_batches_timeout_s)
