@@ -75,24 +75,27 @@ class Texts:
 
     def segments(self, match: int) -> tuple[np.ndarray, ...]:
         """text, start, number of strings and 48-bit key of each run of strings with one anchor."""
-        found = [(np.zeros(0, np.int64),) * 4]
-        whole = self.at[-1] - match + 1
-        for first in range(int(self.at[0]), int(whole), PIECE):
-            n = min(PIECE, int(whole) - first)
+        whole = int(self.at[-1]) - match + 1
+        places, anchors, last = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], None
+        for first in range(int(self.at[0]), whole, PIECE):
+            n = min(PIECE, whole - first)
             low = _anchors(self.body, first, n, match)
-            head = np.r_[True, low[1:] != low[:-1]]
+            # a run goes on over the end of a piece: where segments start depends on their text alone
+            head = np.r_[last is None or low[0] != last, low[1:] != low[:-1]]
             head[self.at[(self.at >= first) & (self.at < first + n)] - first] = True
-            heads = np.flatnonzero(head)
-            text = np.searchsorted(self.at, heads + first, "right") - 1
-            size = np.minimum(np.r_[heads[1:], n], self.at[text + 1] - match + 1 - first) - heads
-            full = size > 0         # else the strings reach into the next text
-            heads, text, size = heads[full], text[full], size[full]
-            parts = -(-size // CUT)
-            at = spans(np.zeros(len(heads), np.int64), parts) * CUT
-            key = low[heads] * _MIX[0]
-            key = ((key ^ key >> np.uint64(32)) & np.uint64((1 << 48) - 1)).astype(np.int64)
-            found.append((np.repeat(text, parts), np.repeat(heads, parts) + at + first, np.minimum(np.repeat(size, parts) - at, CUT), np.repeat(key, parts)))
-        return tuple(np.concatenate(x) for x in zip(*found))
+            heads, last = np.flatnonzero(head), low[-1]
+            places.append(heads + first)
+            anchors.append(low[heads])
+        heads, low = np.concatenate(places), np.concatenate(anchors)
+        text = np.searchsorted(self.at, heads, "right") - 1
+        size = np.minimum(np.r_[heads[1:], max(whole, 0)][:len(heads)], self.at[text + 1] - match + 1) - heads
+        full = size > 0             # else the strings reach into the next text
+        heads, text, size = heads[full], text[full], size[full]
+        parts = -(-size // CUT)
+        at = spans(np.zeros(len(heads), np.int64), parts) * CUT
+        key = low[full] * _MIX[0]
+        key = ((key ^ key >> np.uint64(32)) & np.uint64((1 << 48) - 1)).astype(np.int64)
+        return np.repeat(text, parts), np.repeat(heads, parts) + at, np.minimum(np.repeat(size, parts) - at, CUT), np.repeat(key, parts)
 
     def shared(self, keys: pa.Array, match: int) -> tuple[np.ndarray, ...]:
         """The segments whose anchors are among their text's ``keys``."""

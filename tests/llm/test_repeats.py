@@ -76,6 +76,19 @@ def test_pieces_of_a_long_text(spark, monkeypatch):
     assert strings(whole) == strings(cut)
 
 
+def test_segments_depend_on_their_text_alone(monkeypatch):
+    """Texts are read in batches that differ from step to step; a segment has to be the same in all of them."""
+    texts = [t.encode() for _, t in corpus(60)] + [b"x" * 300, None, b"", b"y" * 49]
+    monkeypatch.setattr(repeats, "PIECE", 333)
+    together = repeats.Texts(pa.array(texts, pa.binary()))
+    text, start, count, key = together.segments(50)
+    found = sorted(zip(text.tolist(), (start - together.at[text]).tolist(), count.tolist(), key.tolist()))
+    alone = [(i, a, n, k) for i, t in enumerate(texts) for _, a, n, k in zip(*(x.tolist() for x in repeats.Texts(pa.array([t], pa.binary())).segments(50)))]
+    assert found == sorted(alone)
+    monkeypatch.setattr(repeats, "PIECE", 1 << 18)
+    assert [x.tolist() for x in together.segments(50)] == [x.tolist() for x in (text, start, count, key)]
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
