@@ -121,3 +121,11 @@ def test_partial_ties_take_one_common_order(spark):
     for kw in ({}, {"chunks": 3, "hot_rows": 0}):
         out = cdc.scd2(df, "id", "seq", partial=True, **kw)
         assert rows(out, "id", "x", "y", cdc.START_AT) == [("j", "b", 9, 5), ("k", "b", 1, 5), ("k", "b", 2, 6)]
+
+
+def test_scd2_partial_of_clustered_events_makes_no_other_shuffle(spark):
+    ev = spark.createDataFrame([("x", T(1), "a1", 1), ("x", T(2), None, 2), ("y", T(2), "b", None), ("x", T(2), "a2", None), ("y", T(1), None, 7)], SCHEMA)
+    build = lambda clustered: cdc.scd2(ev.repartition(3, "k"), "k", "seq", partial=True, except_cols=["seq"], clustered=clustered)
+    assert rows(build(True)) == rows(build(False))
+    plan = build(True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

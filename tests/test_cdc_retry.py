@@ -35,3 +35,18 @@ def test_record_of_another_checkpoint_is_not_used(spark, scratch):
     flows.write_text(spark, flows._staged_record(spec, 0), "another")
     flows.cdc_batch_writer(spark, spec)(log, 0)
     assert flows.read_scd(spark, spec.target_path).count() == len(EVENTS)
+
+
+def test_swap_moves_the_staged_files(spark, scratch):
+    import os
+    spec = flows.CdcSpec(keys=("k",), sequence="s", except_cols=("s",), target_path=f"{scratch}/t", changelog_path=f"{scratch}/l", checkpoint=f"{scratch}/c", key_buckets=4)
+    log = spark.createDataFrame(EVENTS, "k int, s int, v string")
+    staged = []
+
+    def at_step(name):
+        if name == "swap":
+            staged.extend(f for _, _, names in os.walk(flows._staging(spec, 0)) for f in names if f.endswith(".parquet"))
+
+    flows.cdc_batch_writer(spark, spec, at_step)(log, 0)
+    there = [f for _, _, names in os.walk(spec.target_path) for f in names if f.endswith(".parquet")]
+    assert staged and sorted(there) == sorted(staged)
