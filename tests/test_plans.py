@@ -67,3 +67,24 @@ def test_member_percent_rank_joins_back_on_member(static):
     assert "hashpartitioning(member_lifetime_charge" not in p
     assert "SinglePartition" in p            # only the bucket-totals window
     assert p.count("SinglePartition") == 1
+
+
+def test_each_month_has_a_writer_task_of_its_own(spark, scratch):
+    import os
+    from stratum.plans import feeds
+    days = spark.sql("SELECT id, timestampadd(MONTH, CAST(id % 84 AS INT), TIMESTAMP'1992-01-15') AS d FROM range(840)")
+    feeds.write_months(feeds.with_month(days, "d"), f"{scratch}/months")
+    tasks = {folder: [f.split("-")[1] for f in names if f.startswith("part-")] for folder, _, names in os.walk(f"{scratch}/months")}
+    tasks = [t for found in tasks.values() for t in found]
+    assert len(tasks) == 84 and len(set(tasks)) == 84
+
+
+def test_a_task_of_few_months_sorts_nothing(spark, scratch, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    from stratum.plans import feeds
+    days = feeds.with_month(spark.sql("SELECT id, TIMESTAMP'2024-01-15' AS d FROM range(1000)"), "d")
+    seen, save = [], DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "save", lambda w, path: (seen.append(spark.conf.get(feeds.OPEN_FILES)), save(w, path)))
+    feeds.write_months(days, f"{scratch}/one")
+    assert seen == ["4"] and spark.conf.get(feeds.OPEN_FILES) == "0"
+    assert spark.read.parquet(f"{scratch}/one").count() == 1000
