@@ -9,9 +9,9 @@ extensions), each order its own absolute discount.
 Scoring: sorted hash arrays, one per order, hold for each n-gram seen in any language its
 interpolated log-probability under *every* language, so that a position costs one binary
 search; unseen n-grams go through the context's back-off weights to the next lower order.
-The language with the lowest cross-entropy per character wins.  Rejection is calibrated:
-on bounded samples of documents (``calibration_docs`` of all, ``language_docs`` of each
-language) scored by a model without their counts, mean and spread of the right language's
+The language with the lowest cross-entropy per character wins.  Rejection is calibrated by
+cross-validation: every document that the model learns from is scored in tasks by a model
+without the counts of its fold, and from all these scores mean and spread of the right language's
 cross-entropy are fitted as functions of the text's length; a text whose cross-entropy lies ``reject_z`` spreads,
 and ``reject_margin`` nats, above the mean is rejected.
 """
@@ -27,11 +27,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stratum.llm.common import small_batches, split_by_size
+from stratum.llm.common import Scratch, small_batches, split_by_size
 
 ORDER = 4
 BITS = 12                               # of a character's id; 0 is "no letter"
 PIECE = 250_000                       # characters handled at once
+FOLDS = 4                               # of the cross-validation
+SLOPES = np.geomspace(0.02, 1, 12)      # of the confidence, to choose from
+MEDIAN = 10_000                         # accuracy: ranks are right to one in so many
 UNDETERMINED = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)    # odd, so that multiplying is one-to-one
 
@@ -97,9 +100,9 @@ def _add_up(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
 
 
 def count_ngrams(docs: DataFrame, text: str, lang: str, fold: Column) -> DataFrame:
-    """lang, code, n, n_fit: counts over all rows with text and language; n_fit leaves out rows where ``fold``."""
+    """lang, code, n, n_0, n_1 ...: counts over all rows with text and language; n_k leaves out the rows of fold k."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: dict[tuple[str, bool], list] = {}
+        got: dict[tuple[str, int], list] = {}
         for batch in batches:
             frame = batch.to_pandas()
             for key, part in frame.groupby(["lang", "fold"], sort=False):
@@ -118,15 +121,19 @@ def count_ngrams(docs: DataFrame, text: str, lang: str, fold: Column) -> DataFra
         for (name, fold_), (codes, n, _) in got.items():
             if codes:
                 codes, n = _add_up(codes, n)
+                n = n.astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(codes)), pa.array(codes),
-                     pa.array(n.astype(np.int64)), pa.array(np.where(fold_, 0, n).astype(np.int64))],
-                    names=["lang", "code", "n", "n_fit"])
+                    [pa.array([name] * len(codes)), pa.array(codes), pa.array(n), *(pa.array(n * (fold_ != k)) for k in range(FOLDS))],
+                    names=["lang", "code", "n", *without])
 
-    rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), fold.alias("fold"))
-    return (rows.mapInArrow(count, "lang string, code bigint, n bigint, n_fit bigint")
-            .groupBy("lang", "code").agg(F.sum("n").alias("n"), F.sum("n_fit").alias("n_fit")))
+    without = [f"n_{k}" for k in range(FOLDS)]
+    return (_labelled(docs, text, lang, fold).mapInArrow(count, "lang string, code bigint, n bigint" + "".join(f", {c} bigint" for c in without))
+            .groupBy("lang", "code").agg(*[F.sum(c).alias(c) for c in ("n", *without)]))
+
+
+def _labelled(docs: DataFrame, text: str, lang: str, fold: Column) -> DataFrame:
+    return docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
+        F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), fold.cast("int").alias("fold"))
 
 
 @dataclass
@@ -269,50 +276,72 @@ class Identifier:
         return out
 
 
-def calibrated(fit: Model, final: Model, sample: pd.DataFrame, reject_z: float, reject_margin: float,
-               least: int = 20) -> Identifier:
+def fold_scores(docs: DataFrame, models: list[Model], text: str, lang: str, fold: Column) -> DataFrame:
+    """lang, chars, own, losses: each labelled row under the model without its fold.
+
+    ``own`` is the right language's cross-entropy, ``losses`` the log loss of each slope in
+    ``SLOPES``.  Rows whose language that model does not know are left out.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(models)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, part in batch.to_pandas().groupby("fold", sort=False):
+                model = held.value[k]
+                part = part[part["lang"].isin(model.langs)]
+                if not len(part):
+                    continue
+                chars, h = model.cross_entropies(part["text"].tolist())
+                right = np.searchsorted(model.langs, part["lang"].to_numpy(object))
+                each = np.arange(len(h))
+                gaps = -(h - h.min(1)[:, None]) * np.minimum(chars, 200)[:, None]
+                losses = []
+                for t in SLOPES:
+                    p = np.exp(gaps * t)
+                    losses.append(-np.log(np.maximum(p[each, right] / p.sum(1), 1e-12)))
+                losses = pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1, dtype=np.int32) * len(SLOPES)), pa.array(np.stack(losses, 1).ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(part["lang"].tolist(), pa.string()), pa.array(chars), pa.array(h[each, right]), losses],
+                                                 names=["lang", "chars", "own", "losses"])
+
+    return _labelled(docs, text, lang, fold).mapInArrow(run, "lang string, chars double, own double, losses array<double>")
+
+
+def calibrated(final: Model, scores: DataFrame, reject_z: float, reject_margin: float, least: int = 20) -> Identifier:
     """Mean and spread of the right language's cross-entropy; slope of the confidence.
 
-    ``sample`` holds lang, text and, in ``overall``, whether a row is one of the sample of all
-    languages, which alone gives the slope and the figures of all.  A language with fewer than
-    ``least`` usable rows takes the figures of all.
-    With none at all nothing is rejected but texts without a letter.
+    ``scores`` (see :func:`fold_scores`) is read whole; a row of figures for each language
+    comes to the driver.  A language with fewer than ``least`` usable rows takes the figures
+    of all.  With none at all nothing is rejected but texts without a letter.  Medians, so
+    that a few rows with a wrong label change nothing; 0.455 is the median of a squared
+    normal deviate.
     """
     size = len(final.langs)
     mean, spread, per_char, slope = np.full(size, np.inf), np.zeros(size), np.zeros(size), 0.05
-    sample = sample[sample["lang"].isin(fit.langs)]
-    if len(sample):
-        chars, h = fit.cross_entropies(sample["text"].tolist())
-        right = np.array([fit.langs.index(x) for x in sample["lang"]])
-        overall = sample["overall"].to_numpy(bool)
-        ok = chars >= 20
-        own = h[np.arange(len(h)), right]
-
-        def fitted(rows: np.ndarray) -> tuple[float, float, float]:
-            """Medians, so that a few rows with a wrong label change nothing; 0.455 is the median of a squared normal deviate."""
-            middle = np.median(own[rows])
-            n, y = chars[rows], (own[rows] - middle) ** 2 / 0.455
-            return middle, max(np.median(y[n >= np.median(n)]), 0.01 ** 2), max(np.median(y * n), 0.25)
-
-        if (ok & overall).sum() >= least:
-            mean[:], spread[:], per_char[:] = fitted(ok & overall)
-        for i, lang in enumerate(final.langs):
-            rows = ok & (sample["lang"].to_numpy() == lang)
-            if rows.sum() >= least:
-                mean[i], spread[i], per_char[i] = fitted(rows)
-        some = (chars > 0) & overall
-        if some.any():
-            gaps = -(h[some] - h[some].min(1)[:, None]) * np.minimum(chars[some], 200)[:, None]
-            losses = []
-            for t in (grid := np.geomspace(0.02, 1, 12)):
-                p = np.exp(gaps * t)
-                losses.append(-np.log(np.maximum(p[np.arange(len(p)), right[some]] / p.sum(1), 1e-12)).mean())
-            slope = float(grid[int(np.argmin(losses))])
+    at = {lang: [i] for i, lang in enumerate(final.langs)} | {None: range(size)}
+    usable = scores.where("chars >= 20")
+    median = lambda c: F.percentile_approx(c, 0.5, MEDIAN)
+    # the row without a language is that of all
+    middles = usable.rollup("lang").agg(F.count("*").alias("n"), median("own").alias("middle"), median("chars").alias("length")).where(F.col("n") >= least)
+    middles = middles.toArrow().to_pylist()
+    if middles:
+        schema = "lang string, n bigint, middle double, length double"
+        small = scores.sparkSession.createDataFrame([(r["lang"], r["n"], r["middle"], r["length"]) for r in middles], schema)
+        y = (F.col("own") - F.col("middle")) ** 2 / 0.455
+        figures = (usable.withColumnRenamed("lang", "label").join(F.broadcast(small), F.col("lang").isNull() | (F.col("lang") == F.col("label")))
+                   .groupBy("lang", "middle").agg(median(F.when(F.col("chars") >= F.col("length"), y)).alias("spread"), median(y * F.col("chars")).alias("per_char")))
+        for r in sorted(figures.collect(), key=lambda r: r["lang"] is not None):     # the figures of all first
+            for i in at[r["lang"]]:
+                mean[i], spread[i], per_char[i] = r["middle"], max(r["spread"], 0.01 ** 2), max(r["per_char"], 0.25)
+    losses = scores.where("chars > 0").agg(*[F.avg(F.col("losses")[i]) for i in range(len(SLOPES))]).first()
+    if losses[0] is not None:
+        slope = float(SLOPES[int(np.argmin(losses))])
     return Identifier(final, mean, spread, per_char, slope, reject_z, reject_margin)
 
 
 def calibration_sample(rows: DataFrame, docs: int, per_language: int) -> pd.DataFrame:
-    """lang, text, overall: the ``docs`` rows of the smallest draw of all, and the ``per_language`` smallest of each language.
+    """For a look at single rows; no figure of the model comes from it (see :func:`calibrated`).
+
+    lang, text, overall: the ``docs`` rows of the smallest draw of all, and the ``per_language`` smallest of each language.
 
     ``rows`` has draw (a hash), lang and text.  A threshold on the hash, from each language's
     number of draws, leaves few rows before they are ranked.  Repeated rows, which have equal
@@ -332,25 +361,22 @@ def calibration_sample(rows: DataFrame, docs: int, per_language: int) -> pd.Data
 
 
 def train(docs: DataFrame, learn: Column, *, id: str = "doc_id", text: str = "text", lang: str = "lang",
-          calibration_docs: int = 2000, language_docs: int = 200, reject_z: float = 8.0, reject_margin: float = 0.6) -> Identifier:
+          reject_z: float = 8.0, reject_margin: float = 0.6) -> Identifier:
     """Fit on all rows where ``learn`` holds, with text and language.
 
-    ``calibration_docs`` bounds the sample of all languages, which fits the slope, and
-    ``language_docs`` the further one of each language, so that a rare language has a mean and
-    spread of its own.  Both are drawn by hash from a quarter of the rows by id hash; their
-    counts are part of the final model.
+    Rows are dealt to ``FOLDS`` folds by id hash.  Slope, means and spreads come from the scores
+    of all rows, each under a model of the other folds; the final model has the counts of all.
     An empty table gives a model without languages, which answers ``und`` and rejects.
     """
     small_batches(docs.sparkSession)
-    key = F.xxhash64(F.coalesce(F.col(id).cast("string"), F.lit("")), F.lit(7))
-    fold = F.pmod(key, F.lit(4)) == 0
+    fold = F.pmod(F.xxhash64(F.coalesce(F.col(id).cast("string"), F.lit("")), F.lit(7)), F.lit(FOLDS))
     rows = docs.where(learn)
     # one row for each distinct n-gram of a language
     counts = count_ngrams(rows, text, lang, fold).toArrow()
-    draw = F.xxhash64(F.col(id).cast("string"), F.col(text), F.lit(13))
-    sample = calibration_sample(rows.where(fold & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        draw.alias("draw"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")), calibration_docs, language_docs)
-    return calibrated(Model(counts, "n_fit"), Model(counts, "n"), sample, reject_z, reject_margin)
+    scores = fold_scores(rows, [Model(counts, f"n_{k}") for k in range(FOLDS)], text, lang, fold)
+    final = Model(counts, "n")
+    del counts                  # the driver holds one model while the rows are scored
+    return calibrated(final, Scratch(docs.sparkSession, "langid").keep(scores, "scores"), reject_z, reject_margin)
 
 
 def predictor(docs: DataFrame, identifier: Identifier):

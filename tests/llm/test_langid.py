@@ -145,3 +145,20 @@ def test_calibration_sample_is_bounded_and_holds_every_language(spark):
     assert sorted(got[got.lang == "bb"].text) == ["x", "y"]
     own = got[got.lang == "aa"].draw.to_numpy()         # a row repeated 500 times takes one place
     assert set(sorted({d for d, x, _ in rows if x == "aa"})[:30]) <= set(own.tolist())
+
+
+def test_thresholds_and_slope_come_from_every_row(spark):
+    """Also from rows that lie beyond any bound of a sample: all rows of all folds are scored, and all scores count."""
+    docs = spark.range(6000).selectExpr("id AS doc_id", "IF(id % 2 = 0, 'aa', 'bb') AS lang", "concat('the cat and the hat number ', hex(id * 7919)) AS text")
+    fold = F.pmod(F.col("doc_id"), F.lit(L.FOLDS))
+    counts = L.count_ngrams(docs, "text", "lang", fold).toArrow()
+    scores = L.fold_scores(docs, [L.Model(counts, f"n_{k}") for k in range(L.FOLDS)], "text", "lang", fold).toPandas()
+    assert len(scores) == 6000
+    got = L.calibrated(L.Model(counts, "n"), spark.createDataFrame(scores), 8.0, 0.6)
+    for i, lang in enumerate(("aa", "bb")):
+        own = scores[(scores.lang == lang) & (scores.chars >= 20)]
+        middle = np.quantile(own.own, 0.5, method="inverted_cdf")
+        assert math.isclose(got.mean[i], middle)
+        y = (own.own - middle) ** 2 / 0.455
+        assert math.isclose(got.per_char[i], max(np.quantile(y * own.chars, 0.5, method="inverted_cdf"), 0.25))
+    assert got.slope == L.SLOPES[np.argmin(np.stack(scores.losses.to_list()).mean(0))]
