@@ -58,7 +58,7 @@ def widened(cells: DataFrame, targets: DataFrame, by: float) -> DataFrame:
 def rake(cells: DataFrame, targets: DataFrame, scratch: Scratch, *, tolerance: float = 1e-6, rounds: int = 40) -> tuple[DataFrame, float]:
     """Cells with ``weight``, whose sums by source, lang and topic are the targets' shares; by how much a share is off at most.
 
-    Each round scales the weights to the three marginals in turn and writes the cells; it
+    Each round scales the weights to the three marginals in turn and writes the cells after each; it
     ends when no marginal is off by more than ``tolerance``, when the rounds no longer change
     that (the targets contradict each other), or after ``rounds``.  Values without tokens have no cells; targets for them are ignored and the others scaled to 1.
     """
@@ -73,16 +73,16 @@ def rake(cells: DataFrame, targets: DataFrame, scratch: Scratch, *, tolerance: f
     now = scratch.keep(cells.withColumn("weight", F.col("tokens").cast("double")).withColumn("off", F.lit(0.0)), "raked")
     worst = 0.0
     for k in range(rounds):
-        df = now.withColumn("off", F.lit(0.0))
         for d in DIMENSIONS:
-            sums = df.groupBy(d).agg(F.sum("weight").alias("have")).join(wanted[d], d, "left").select(
+            sums = now.groupBy(d).agg(F.sum("weight").alias("have")).join(wanted[d], d, "left").select(
                 d, "have", F.coalesce("share", F.lit(0.0)).alias("share"))
             factor = F.when(F.col("have") > 0, F.col("share") / F.col("have")).otherwise(0.0)
-            df = df.join(sums, d).select(*DIMENSIONS, "docs", "tokens", (F.col("weight") * factor).alias("weight"),
-                                         F.greatest("off", F.abs(F.col("have") - F.col("share"))).alias("off"))
-        step = scratch.keep(df, "raked")
-        scratch.drop(now)
-        now = step
+            worse = F.lit(0.0) if d == DIMENSIONS[0] else F.col("off")
+            # written after each marginal: each joins the cells to their own sums, so the plan of a whole round would read them 2^3 times
+            step = scratch.keep(now.join(sums, d).select(*DIMENSIONS, "docs", "tokens", (F.col("weight") * factor).alias("weight"),
+                                                         F.greatest(worse, F.abs(F.col("have") - F.col("share"))).alias("off")), "raked")
+            scratch.drop(now)
+            now = step
         before, worst = worst, now.agg(F.max("off")).first()[0] or 0.0
         if worst <= tolerance or k > 2 and worst > 0.999 * before:
             break

@@ -92,3 +92,18 @@ def test_targets_that_cannot_be_met(spark):
 def test_very_long_text(spark):
     out = M.mix(frame(spark, [(999, "w " * 400_000, "a", "en")])).first()
     assert out["n_words"] == 400_000 and out["topic"] == "long"
+
+
+def test_plans_of_raking_read_the_cells_twice_at_most(spark, monkeypatch):
+    """A round that joins the cells to their sums by three marginals in one plan reads them eight times."""
+    reads = []
+    keep = M.Scratch.keep
+
+    def counted(self, df, name, *args):
+        if name == "raked":
+            reads.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return keep(self, df, name, *args)
+
+    monkeypatch.setattr(M.Scratch, "keep", counted)
+    M.sample(frame(spark)).count()
+    assert len(reads) > 3 and max(reads) <= 3       # the cells, their sums, the targets
