@@ -355,26 +355,23 @@ def q_lineage_columns(spark, sf):
 ARRIVALS = 5
 
 
-def _event_arrivals(spark, sf, root):
+def _streaming_cdc(spark, sf, scd_type, name):
     """All events, delivered in groups of event types (by hash): arrival order is not
-    sequence order, so most batches carry late events."""
-    src = f"{root}/arrivals"
-    log = change_log(spark, sf)
-    group = F.pmod(F.xxhash64(F.coalesce("event_type", F.lit(""))), F.lit(ARRIVALS))
-    for g in range(ARRIVALS):
-        log.where(group == g).write.mode("append").parquet(src)
-    return src, log.schema
-
+    sequence order, so most batches carry late events.
 
-def _streaming_cdc(spark, sf, scd_type, name):
+    The flow runs after each arrival and takes all of its files as one batch: a batch
+    rewrites the buckets it touches, so there must not be more of them the more files there are.
+    """
     root = scratch_dir(spark, name)
-    src, schema = _event_arrivals(spark, sf, root)
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src))
+    log = change_log(spark, sf)
     spec = flows.CdcSpec(keys=("user_id",), sequence="ts", except_cols=("ts",), scd_type=scd_type,
                          target_path=f"{root}/silver", changelog_path=f"{root}/changelog",
                          checkpoint=f"{root}/checkpoint", key_buckets=8, seq_chunks=4,
                          hot_rows=0)
-    flows.run_cdc_flow(spark, stream, spec)
+    group = F.pmod(F.xxhash64(F.coalesce("event_type", F.lit(""))), F.lit(ARRIVALS))
+    for g in range(ARRIVALS):
+        log.where(group == g).write.mode("append").parquet(f"{root}/arrivals")
+        flows.run_cdc_flow(spark, spark.readStream.schema(log.schema).parquet(f"{root}/arrivals"), spec)
     # replaying a batch changes nothing: rerun the writer for batch 0 from the log
     replay = spark.read.parquet(spec.changelog_path).where(F.col(flows.BATCH) == 0) \
         .drop(flows.BATCH, flows.KEY_BUCKET)

@@ -101,3 +101,20 @@ def test_an_explicit_exclusion_must_exist(spark):
     assert flows.prepare_append(df).columns == ["id"]
     with pytest.raises(ValueError):
         flows.prepare_append(df, exclude=("nothing",))
+
+
+def test_an_arrival_is_one_batch_whatever_its_files(spark, tmp_path, monkeypatch):
+    """scd2_streaming: a batch rewrites whole buckets, so their number must not grow with the input's files."""
+    from stratum.plans import registry
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(6).write.parquet(f"{tmp_path}/events.parquet")
+    batches, writer = [], flows.cdc_batch_writer
+
+    def counted(*args):
+        write = writer(*args)
+        return lambda batch, batch_id: (batches.append(batch_id), write(batch, batch_id))
+
+    monkeypatch.setattr(flows, "cdc_batch_writer", counted)
+    monkeypatch.setattr(registry, "change_log", lambda spark, sf: spark.read.parquet(f"{sf}/events.parquet")
+                        .select("user_id", "ts", "event_type", "value").repartition(6))
+    registry.q_scd2_streaming(spark, str(tmp_path)).count()
+    assert batches == [*range(registry.ARRIVALS), 0]        # the last one is the replay
