@@ -88,3 +88,38 @@ def test_a_task_of_few_months_sorts_nothing(spark, scratch, monkeypatch):
     feeds.write_months(days, f"{scratch}/one")
     assert seen == ["4"] and spark.conf.get(feeds.OPEN_FILES) == "0"
     assert spark.read.parquet(f"{scratch}/one").count() == 1000
+
+
+def test_usage_tasks_follow_the_rows(static):
+    """A task of the joins and of the sums by claim gets about taskRows rows, whatever the session's partitions."""
+    from stratum.plans import domain
+    from tests.conftest import rows
+    query = lambda clustered: gold.benefit_utilization(domain.benefit_usage(static, SF, clustered=clustered),
+                                                       domain.claim(static, SF), clustered=clustered)
+    by_claim = lambda p: {(k, int(n)) for k, n in re.findall(r"Exchange hashpartitioning\((\w+)#\d+L, (\d+)\)", p)}
+    small = query(True)                      # 6,000 rows: one task may hold them all
+    assert {n for _, n in by_claim(plan(small))} == {4}
+    static.conf.set("spark.stratum.taskRows", "100")
+    try:
+        dealt, here = query(True), query(False)
+        p = plan(dealt)
+        n = -(-domain.table(static, SF, "lineitem").count() // 100)
+        assert by_claim(p) == {("l_orderkey", n), ("o_orderkey", n), ("claim_id", n)}
+        assert p.count("REPARTITION_BY_NUM") == 1          # dealt once, before the join with orders
+        assert "l_discount" not in p                       # the shuffle carries only columns that are used
+        assert ("claim_id", n) in by_claim(plan(here))     # usage from anywhere, as from the silver table
+        assert rows(small) == rows(dealt) == rows(here)
+    finally:
+        static.conf.unset("spark.stratum.taskRows")
+
+
+def test_small_tables_are_not_dealt(spark):
+    from stratum.operators import skew
+    df = spark.range(1000)
+    assert skew.dealt(df, ["id"]) is df
+    spark.conf.set("spark.stratum.taskRows", "90")
+    try:
+        assert skew.dealt(df, ["id"]).rdd.getNumPartitions() == 12
+        assert skew.dealt(spark.range(91), ["id"]).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.unset("spark.stratum.taskRows")
