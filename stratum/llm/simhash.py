@@ -35,6 +35,7 @@ GENERATOR = 0xC75                           # x^11 + x^10 + x^6 + x^5 + x^4 + x^
 MOST_BITS = 4                               # what the keys guarantee
 BLOCK = 4096
 PIECE = 200_000                             # shingles counted at once
+FEW_LARGE = 50_000                          # keys of large groups that are sent to all tasks
 
 
 def fingerprint(text: bytes | None, shingle: int) -> int:
@@ -189,10 +190,19 @@ def _links(rows: DataFrame, group: list[str], max_bits: int) -> DataFrame:
             .mapInArrow(run, "a bigint, b bigint").distinct())
 
 
-def linked_fingerprints(fps: DataFrame, max_bits: int) -> DataFrame:
-    """a, b: links whose connected parts are those of all pairs at ``max_bits`` or fewer differing bits."""
+def linked_fingerprints(fps: DataFrame, max_bits: int, scratch: Scratch | None = None) -> DataFrame:
+    """a, b: links whose connected parts are those of all pairs at ``max_bits`` or fewer differing bits.
+
+    Spark takes the key rows for about as small as the fingerprints they are made from, and might
+    send them all to the driver; so the keys of large groups are written, and the join is chosen by their number.
+    """
+    scratch = scratch or Scratch(fps.sparkSession, "links")
     rows = _key_rows(fps)
-    large = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    large = scratch.keep(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK), "large-groups")
+    n = large.count()
+    if not n:
+        return _links(rows, ["key"], max_bits)
+    large = large.hint("broadcast" if n <= FEW_LARGE else "merge")
     small = rows.join(large, "key", "left_anti")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = (rows.join(large, "key").select("key", "fp", blocks.alias("blocks"), F.pmod(F.xxhash64("fp", F.lit(3)), blocks).cast("int").alias("own"))
@@ -214,7 +224,7 @@ def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     scratch = Scratch(spark, "simhash")
     own = scratch.keep(fingerprints(docs, id, text, shingle), "fingerprints")
     fps = scratch.keep(own.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
-    roots = components(linked_fingerprints(fps, max_bits), scratch)
+    roots = components(linked_fingerprints(fps, max_bits, scratch), scratch)
     rooted = (fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
               .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -98,6 +98,24 @@ def test_large_groups_are_dealt_out_without_loss(spark, monkeypatch):
         assert {roots.get(m, m) for m in members} == {min(members)}
 
 
+def test_key_rows_are_not_broadcast(spark, monkeypatch):
+    """The table of fingerprints is under Spark's limit, that of their keys many times above it, some groups are large."""
+    from stratum.llm.common import Scratch
+    monkeypatch.setattr(S, "BLOCK", 16)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "300k")
+    try:
+        near = spark.range(60).selectExpr("bigint(1) << id AS fp")
+        fps = Scratch(spark, "t").keep(spark.range(8000).selectExpr("xxhash64(id) AS fp").union(near), "fps")
+        links = S.linked_fingerprints(fps, 4)
+        assert links.count() >= 59
+        links.collect()
+        plan = links._jdf.queryExecution().executedPlan().toString()
+        assert "BuildLeft" not in plan and "MapInArrow" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_components_of_chains_stars_and_loops(spark):
     from stratum.llm.common import Scratch
     from stratum.llm.components import components
