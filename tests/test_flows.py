@@ -118,3 +118,13 @@ def test_an_arrival_is_one_batch_whatever_its_files(spark, tmp_path, monkeypatch
                         .select("user_id", "ts", "event_type", "value").repartition(6))
     registry.q_scd2_streaming(spark, str(tmp_path)).count()
     assert batches == [*range(registry.ARRIVALS), 0]        # the last one is the replay
+
+
+def test_append_flow_files_are_compressed_like_the_other_layers(spark, scratch):
+    import os
+    spark.range(50).selectExpr("id", "'x' AS t").write.parquet(f"{scratch}/in")
+    stream = spark.readStream.schema("id bigint, t string").parquet(f"{scratch}/in")
+    flows.run_append_flow(stream, f"{scratch}/out", f"{scratch}/c")
+    written = [f for f in os.listdir(f"{scratch}/out") if f.endswith(".parquet")]
+    assert written and all(".zstd." in f for f in written)
+    assert spark.read.parquet(f"{scratch}/out").count() == 50
