@@ -75,3 +75,12 @@ def test_rules_that_do_not_resolve_are_an_error(spark, scratch):
         pipeline._applicable(cfg, "t", rules, spark.range(1))
     lenient = pipeline.PipelineConfig(root=scratch, feeds=(), optional_columns=True)
     assert [r.name for r in pipeline._applicable(lenient, "t", rules, spark.range(1))] == ["there"]
+
+
+def test_gold_views_are_compressed_like_the_other_layers(spark, scratch, monkeypatch):
+    import os
+    cfg = pipeline.PipelineConfig(root=scratch, feeds=())
+    monkeypatch.setattr(pipeline, "gold_views", lambda *_: {"v": spark.range(10)})
+    path = pipeline.run_gold(spark, cfg)["v"]
+    written = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert written and all(".zstd." in f for f in written) and spark.read.parquet(path).count() == 10
